@@ -29,7 +29,10 @@ def parse_flows(records: DataFrame, value_col: str = "value", keep: list[str] |
     v = F.col(value_col).cast("string")
     j = F.from_json(v, _JSON_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).cast(_POSITIONAL)
     keep = [c for c in (keep if keep is not None else records.columns) if c != value_col]
-    parsed = records.select(*keep, v.alias("_v"), j.alias("_j"))
+    # Parse inside a one-element explode: a Generate is a barrier for predicate pushdown, so a
+    # later filter on the parsed fields cannot inline from_json into each reference (which
+    # would parse every record once per field reference).
+    parsed = records.select(*keep, F.inline(F.array(F.struct(v.alias("_v"), j.alias("_j")))))
 
     def field(name: str) -> F.Column:
         return F.coalesce(*[F.col("_j")[f"k{_JSON_KEYS.index(k)}"] for k in FLOW_JSON_KEYS[name]])

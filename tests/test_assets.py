@@ -1,0 +1,53 @@
+"""D3 (contains | exact), F4/F6, E5: brute force on small inputs."""
+
+import itertools
+
+from assetlens import operators as op
+
+
+def assets(spark, groups):
+    rows = [(f"a{i}", f"n{i}", '{"m":["10.0.0.%d"]}' % i, i % 2, g) for i, g in enumerate(groups)]
+    return spark.createDataFrame(rows, "entity_id string, entity_name string, asset_ip string, area_id int, "
+                                       "entity_groups string")
+
+
+def params(spark, lists):
+    rows = [(f"m{i}", 1, True, l) for i, l in enumerate(lists)]
+    return spark.createDataFrame(rows, "model_id string, span int, accumulate boolean, entity_group_list string")
+
+
+def pairs(df):
+    return sorted((r.model_id, r.entity_id) for r in df.collect())
+
+
+GROUPS = ["1", "10", "12", "", None, "BUILDING", "MACHINE", "G%", "a_b", "x,y"]
+LISTS = ["10,12", "BUILDING,MACHINERY", "", None, "G%,a_b", "x,y,z", "1"]
+
+
+def test_contains_matches_substring_semantics(spark):
+    got = pairs(op.scope_assets(assets(spark, GROUPS), params(spark, LISTS), "contains"))
+    want = sorted((f"m{j}", f"a{i}") for (i, g), (j, l) in itertools.product(enumerate(GROUPS), enumerate(LISTS))
+                  if g is not None and l is not None and g in l)
+    assert got == want
+    assert ("m0", "a0") in got      # group "1" is inside "10,12"
+
+
+def test_exact_matches_list_entries(spark):
+    got = pairs(op.scope_assets(assets(spark, GROUPS), params(spark, LISTS), "exact"))
+    want = sorted((f"m{j}", f"a{i}") for (i, g), (j, l) in itertools.product(enumerate(GROUPS), enumerate(LISTS))
+                  if g is not None and l is not None and g in l.split(","))
+    assert got == want
+    assert ("m0", "a0") not in got
+
+
+def test_contains_plan_is_equi_join(spark):
+    df = op.scope_assets(assets(spark, GROUPS), params(spark, LISTS), "contains")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_area_index_unions_rows(spark):
+    rows = [("a", '{"m1":["1.1.1.1"]}', 1), ("a", '{"m2":["2.2.2.2","1.1.1.1"]}', 1), ("b", None, 2)]
+    df = spark.createDataFrame(rows, "entity_id string, asset_ip string, area_id int")
+    got = {(r.area_id, r.entity_id): r.ips for r in op.area_index(df).collect()}
+    assert got == {(1, "a"): ["1.1.1.1", "2.2.2.2"]}
