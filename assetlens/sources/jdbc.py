@@ -33,10 +33,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, fetchsize: int = 500
 def read_assets_jdbc(spark: SparkSession, url: str, table: str = "asset", groups: list[str] | None = None,
                      **kw) -> DataFrame:
     """A4 (whole typed table) and A5 (only the given groups, pushed down as IN)."""
-    df = read_jdbc(spark, url, table, **kw).select(*[F.col(f.name).cast(f.dataType) for f in ASSET.fields])
+    df = read_jdbc(spark, url, table, **kw)
     if groups:
+        # filter on the relation itself so the IN list reaches the database
         df = df.where(F.col("entity_groups").isin(*groups))
-    return df
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ASSET.fields])
 
 
 def read_params_jdbc(spark: SparkSession, url: str, table: str = "modeling_params", **kw) -> DataFrame:
