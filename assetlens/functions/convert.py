@@ -9,7 +9,7 @@
 from pyspark.sql import Column, functions as F
 
 from ._col import col
-from .strings import is_blank, java_trim
+from .strings import java_trim
 
 # The accepted boolean spellings.
 TRUE_WORDS = ("true", "yes", "1")
@@ -21,12 +21,9 @@ def to_str(c) -> Column:
 
 
 def to_int(c) -> Column:
+    # blank text and the word 'null' fail both try_casts, so they become null as well
     s = java_trim(col(c).cast("string"))
-    return (
-        F.when(is_blank(s), F.lit(None).cast("int"))
-        .when(s.contains("."), s.try_cast("double").try_cast("int"))
-        .otherwise(s.try_cast("int"))
-    )
+    return F.when(s.contains("."), s.try_cast("double").try_cast("int")).otherwise(s.try_cast("int"))
 
 
 def to_bool(c, default: bool = False) -> Column:

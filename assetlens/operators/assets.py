@@ -48,10 +48,20 @@ def group_candidates(params: DataFrame, assets: DataFrame, mode: str = "contains
     return out.dropDuplicates(["model_id", "grp"])
 
 
+def candidate_bound(params: DataFrame, mode: str = "contains") -> int:
+    """Upper bound of ``group_candidates`` rows from the params alone: every substring of each
+    list (plus the empty one) for 'contains', every comma-separated entry for 'exact'."""
+    n = F.length("entity_group_list").cast("long")
+    per_model = n * (n + 1) / 2 + 1 if mode == "contains" else F.size(F.split("entity_group_list", ","))
+    v = params.select(F.sum(F.coalesce(per_model, F.lit(0))).cast("long")).first()[0]
+    return int(v or 0)
+
+
 def scope_assets(assets: DataFrame, params: DataFrame, mode: str = "contains",
                  max_broadcast_rows: int = 200_000) -> DataFrame:
     """D3 + C4: one row per (model, asset in scope)."""
-    cand = bounded_broadcast(group_candidates(params, assets, mode), max_broadcast_rows)
+    cand = bounded_broadcast(group_candidates(params, assets, mode), max_broadcast_rows,
+                             bound=candidate_bound(params, mode))
     a = assets.select(*ASSET_COLUMNS)
     j = a.join(cand, a.entity_groups == cand.grp, "inner")
     keep = [c for c in PARAM_COLUMNS if c in cand.columns]

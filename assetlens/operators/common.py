@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      bound: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only when it provably has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows. Larger inputs are returned unchanged, so the
-    optimizer (and AQE at run time) picks a shuffle join for them.
+    ``bound`` is an upper bound the caller already proved (e.g. from a small config table);
+    otherwise the check reads at most ``max_rows + 1`` rows. Larger inputs are returned
+    unchanged, so the optimizer (and AQE at run time) picks a shuffle join for them.
     """
+    if bound is not None and bound <= max_rows:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

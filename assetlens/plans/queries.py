@@ -48,7 +48,10 @@ class Inputs:
         return op.runnable_params(op.active_params(self.params, as_of=fx.AS_OF))
 
     def scoped(self, mode: str = "contains") -> DataFrame:
-        return op.scope_assets(self.assets, self.runnable, mode)
+        cache = self.__dict__.setdefault("_scoped", {})
+        if mode not in cache:
+            cache[mode] = op.scope_assets(self.assets, self.runnable, mode)
+        return cache[mode]
 
     @cached_property
     def kafka(self) -> DataFrame:
@@ -63,6 +66,18 @@ class Inputs:
         return op.profile_edges(self.complete, self.scoped("contains"), side="src", host="own")
 
 
+_INPUTS: dict[tuple[str, str], Inputs] = {}
+
+
+def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """One set of input plans per application and folder. Plans are immutable and lazy, so
+    queries sharing them still run their whole computation when executed."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INPUTS:
+        _INPUTS[key] = Inputs(spark, sf_dir)
+    return _INPUTS[key]
+
+
 def _ntz(c: str) -> F.Column:
     return F.col(c).cast("timestamp_ntz").alias(c)
 
@@ -74,17 +89,17 @@ def _scope_counts(inp: Inputs, params: DataFrame, mode: str, name: str) -> DataF
 
 # ---------------------------------------------------------------- flows
 def flow_parse_complete(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     return op.flow_projection(op.complete_flows(inp.parsed))
 
 
 def flow_quarantine(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     return op.quarantine(inp.parsed).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def kafka_envelope_q(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     p = op.to_upper_json(inp.parsed)
     return p.select("key", "topic", "partition", "offset", _ntz("timestamp"), "parse_status",
                     F.when(F.col("parse_status") == "ok", F.col("flow_json")).alias("flow_json"))
@@ -92,7 +107,7 @@ def kafka_envelope_q(spark, sf_dir):
 
 # ---------------------------------------------------------------- params
 def active_params_q(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     counts = _scope_counts(inp, inp.runnable, "contains", "n_assets")
     return inp.runnable.join(counts, "model_id", "left").select(
         "model_id", "span", "model_rate", "rate_seconds", "valid_rate", "model_cycle", "accumulate",
@@ -100,7 +115,7 @@ def active_params_q(spark, sf_dir):
 
 
 def normalised_params_q(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     c1 = _scope_counts(inp, inp.params, "contains", "n_contains")
     c2 = _scope_counts(inp, inp.params, "exact", "n_exact")
     return inp.params.join(c1, "model_id", "left").join(c2, "model_id", "left").select(
@@ -117,7 +132,7 @@ def _next_params(spark) -> DataFrame:
 
 
 def latest_params_q(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     both = inp.params.unionByName(_next_params(spark))
     latest = op.latest_params(both)
     counts = _scope_counts(inp, latest, "contains", "n_assets")
@@ -127,7 +142,7 @@ def latest_params_q(spark, sf_dir):
 
 
 def params_diff(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     d = op.diff_params(inp.params, _next_params(spark))
     n = inp.src_edges.groupBy("model_id").agg(F.count(F.lit(1)).alias("n_edges"))
     return d.join(n, "model_id", "left").select(
@@ -137,28 +152,28 @@ def params_diff(spark, sf_dir):
 
 # ---------------------------------------------------------------- assets
 def asset_scope_contains(spark, sf_dir):
-    return Inputs(spark, sf_dir).scoped("contains").select(
+    return inputs(spark, sf_dir).scoped("contains").select(
         "model_id", "entity_id", "entity_name", "asset_ip", "area_id")
 
 
 def asset_scope_exact(spark, sf_dir):
-    return Inputs(spark, sf_dir).scoped("exact").select(
+    return inputs(spark, sf_dir).scoped("exact").select(
         "model_id", "entity_id", "entity_name", "asset_ip", "area_id")
 
 
 def asset_ip_inventory(spark, sf_dir):
-    return op.asset_ip_rows(Inputs(spark, sf_dir).assets).select("entity_id", "area_id", "ip")
+    return op.asset_ip_rows(inputs(spark, sf_dir).assets).select("entity_id", "area_id", "ip")
 
 
 def area_ip_index(spark, sf_dir):
-    idx = op.area_index(Inputs(spark, sf_dir).assets)
+    idx = op.area_index(inputs(spark, sf_dir).assets)
     return idx.select("area_id", "entity_id", F.array_join("ips", ",").alias("ips"),
                       F.size("ips").cast("long").alias("n_ips"))
 
 
 # ---------------------------------------------------------------- matching
 def _flow_asset(spark, sf_dir, side):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     j = op.join_assets(inp.complete, inp.scoped("contains"), side)
     return j.select("model_id", "entity_id", "asset_ip", "host_id", "host_ip", "flow_id")
 
@@ -172,20 +187,20 @@ def flow_dst_asset(spark, sf_dir):
 
 
 def flow_touch_semi(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     idx = op.ip_index(inp.scoped("exact"))
     return op.touch_semi(inp.complete, idx).select("model_id", "flow_id", "src_ip", "dst_ip", "area_id")
 
 
 def flow_touch_pairs(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     idx = op.ip_index(inp.scoped("exact"))
     return op.touch_pairs(inp.complete, idx).select("model_id", "flow_id", "entity_id", "ip", "side")
 
 
 # ---------------------------------------------------------------- segments
 def segment_keys(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     ev = inp.complete.select(F.lit("events").alias("source"), "flow_id", "event_time")
     li = fx.flows_from_lineitem(inp.table("lineitem"), inp.table("orders")) \
         .select(F.lit("lineitem").alias("source"), "flow_id", "event_time")
@@ -200,33 +215,33 @@ def segment_keys(spark, sf_dir):
 
 # ---------------------------------------------------------------- profiles
 def profile_src(spark, sf_dir):
-    return op.named_csv_rows(Inputs(spark, sf_dir).src_edges)
+    return op.named_csv_rows(inputs(spark, sf_dir).src_edges)
 
 
 def profile_src_peer(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     return op.named_csv_rows(op.profile_edges(inp.complete, inp.scoped("contains"), side="src", host="peer"))
 
 
 def profile_dst(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     return op.named_csv_rows(op.profile_edges(inp.complete, inp.scoped("contains"), side="dst", host="own"))
 
 
 def profile_match(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     scoped = inp.scoped("exact")
     pairs = op.touch_pairs(inp.complete, op.ip_index(scoped))
     return op.named_csv_rows(op.match_edges(pairs))
 
 
 def profile_multiset_csv(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     return op.multiset_profile(inp.complete, inp.runnable, side="src")
 
 
 def _rendered(spark, sf_dir, encoding):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     r = op.render_profiles(inp.src_edges, inp.scoped("contains"), encoding)
     return r.select("id", "modeling_params_id", "src_id", "src_ip", "dst_ip_segment", _ntz("time"))
 
@@ -244,7 +259,7 @@ def profile_named_csv(spark, sf_dir):
 
 
 def profile_decode(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     stored = op.render_profiles(inp.src_edges, inp.scoped("contains"), "keyed")
     return op.decode_profiles(stored, "keyed").select("model_id", "entity_id", "segment_key", "host_ip")
 
@@ -257,7 +272,7 @@ def _split_edges(inp: Inputs):
 
 
 def _merged(spark, sf_dir, mode):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     history, new = _split_edges(inp)
     return op.named_csv_rows(op.merge_edges(history, new, op.replace_set(inp.runnable, mode)))
 
@@ -276,7 +291,7 @@ def profile_by_mode(spark, sf_dir):
 
 # ---------------------------------------------------------------- status, files
 def status_latest(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     as_of = F.lit(fx.AS_OF).cast("timestamp")
     initial = inp.params.select("model_id", F.col("task_status").alias("status"), F.col("modify_time").alias("at"))
     first_flow = inp.complete.agg(F.min("event_time").alias("t"))
@@ -293,7 +308,7 @@ def status_latest(spark, sf_dir):
 
 
 def flow_day_files(spark, sf_dir):
-    inp = Inputs(spark, sf_dir)
+    inp = inputs(spark, sf_dir)
     day = F.date_format(to_local("event_time", fx.LOCAL_ZONE), "yyyy-MM-dd")
     return inp.complete.groupBy(day.alias("dt")).agg(F.count(F.lit(1)).alias("n_flows"))
 
