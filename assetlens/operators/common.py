@@ -32,3 +32,35 @@ def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     agg = df.groupBy(*keys).agg(
         F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order])).alias("_last"))
     return agg.select(*keys, *[F.col("_last")[c].alias(c) for c in rest])
+
+
+# Largest asset-side table (rows) the flow joins broadcast; above it they shuffle.
+ASSET_BROADCAST_ROWS = 1_000_000
+
+
+def join_small_side(big: DataFrame, small: DataFrame, left_on: list[str], right_on: list[str],
+                    how: str = "inner", max_rows: int = ASSET_BROADCAST_ROWS, salt_buckets: int = 1,
+                    salt_from: list[str] | None = None) -> DataFrame:
+    """Equi join of a large flow-side table with an asset-side table.
+
+    * asset side provably small (<= ``max_rows`` rows): broadcast it, the big side is not shuffled;
+    * otherwise a shuffle join. With ``salt_buckets`` > 1 every big-side row gets a salt from a
+      hash of ``salt_from`` and the small side is replicated once per salt value, so one hot key
+      (say a gateway IP with a third of all flows) is spread over ``salt_buckets`` tasks. AQE's
+      skew-join split covers the remaining cases.
+    Column names of the two sides must not collide except through the join keys.
+    """
+    small_b = bounded_broadcast(small, max_rows)
+    cond = [big[lk] == small_b[rk] for lk, rk in zip(left_on, right_on)]
+    if salt_buckets > 1 and small_b is small:
+        salt_cols = salt_from or left_on
+        big = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(salt_buckets)))
+        small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        cond = [big[lk] == small[rk] for lk, rk in zip(left_on, right_on)] + [big["_salt"] == small["_salt"]]
+        out = big.join(small, cond, how)
+        return out.drop(big["_salt"]).drop(small["_salt"]) if how not in ("left_semi", "left_anti") \
+            else out.drop("_salt")
+    c = cond[0]
+    for x in cond[1:]:
+        c = c & x
+    return big.join(small_b, c, how)

@@ -8,6 +8,9 @@
 The IP rule ``area = a AND (src_ip = ip OR dst_ip = ip)`` is rewritten into two equi joins on
 (area, ip) plus an anti join for the "source wins" rule, so no join has a disjunctive
 condition (which would put a whole area into one hash bucket).
+
+The asset side is broadcast when it is provably small (``join_small_side``); the flows are then
+never shuffled. Otherwise the joins shuffle, optionally salted for hot keys.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .assets import asset_ip_rows
+from .common import ASSET_BROADCAST_ROWS, join_small_side
 
 _MODEL_COLS = ["model_id", "span", "accumulate"]
 
@@ -23,22 +27,21 @@ def _model_cols(df: DataFrame) -> list[str]:
     return [c for c in _MODEL_COLS if c in df.columns]
 
 
-def join_assets(flows: DataFrame, scoped: DataFrame, side: str = "src") -> DataFrame:
+def join_assets(flows: DataFrame, scoped: DataFrame, side: str = "src", max_rows: int = ASSET_BROADCAST_ROWS,
+                salt_buckets: int = 1) -> DataFrame:
     """D1 (side='src') / D2 (side='dst') plus C5: host_id/host_ip are the matched side."""
     if side not in ("src", "dst"):
         raise ValueError("side must be 'src' or 'dst'")
     peer = "dst" if side == "src" else "src"
-    a = scoped.select(*_model_cols(scoped), "entity_id", "asset_ip", "area_id",
-                      F.col("entity_id").alias("_eid"))
-    a = a.drop("area_id")
-    j = flows.join(a, flows[f"{side}_id"] == a["_eid"], "inner")
+    a = scoped.select(*_model_cols(scoped), F.col("entity_id").alias("_eid"), F.col("asset_ip").alias("_aip"))
+    f = flows.select("src_id", "src_ip", "dst_id", "dst_ip", "area_id", "flow_id", "event_time")
+    j = join_small_side(f, a, [f"{side}_id"], ["_eid"], "inner", max_rows, salt_buckets, ["flow_id"])
     return j.select(
-        *_model_cols(scoped), "entity_id", "asset_ip",
+        *_model_cols(scoped), F.col("_eid").alias("entity_id"), F.col("_aip").alias("asset_ip"),
         F.col(f"{side}_id").alias("host_id"),
         F.col(f"{side}_ip").alias("host_ip"),
         F.col(f"{peer}_ip").alias("peer_ip"),
-        flows["area_id"].alias("area_id"),
-        "flow_id", "event_time")
+        "area_id", "flow_id", "event_time")
 
 
 def ip_index(scoped: DataFrame) -> DataFrame:
@@ -48,35 +51,45 @@ def ip_index(scoped: DataFrame) -> DataFrame:
         [c for c in ("model_id", "area_id", "entity_id", "ip")])
 
 
-def touch_pairs(flows: DataFrame, index: DataFrame) -> DataFrame:
+def touch_pairs(flows: DataFrame, index: DataFrame, max_rows: int = ASSET_BROADCAST_ROWS,
+                salt_buckets: int = 1) -> DataFrame:
     """(model, asset, matched ip, side) for every flow touching an asset of its area."""
     mc = _model_cols(index)
     idx = index.select(*mc, "entity_id", F.col("area_id").alias("_area"), F.col("ip").alias("_ip"))
     f = flows.select("flow_id", "area_id", "src_ip", "dst_ip", "event_time")
+    cols = [*mc, "entity_id", "flow_id", "area_id", "src_ip", "dst_ip", "event_time"]
+
+    def hit(ip_col: str, side: str) -> DataFrame:
+        j = join_small_side(f, idx, ["area_id", ip_col], ["_area", "_ip"], "inner", max_rows, salt_buckets,
+                            ["flow_id"])
+        return j.select(*cols, F.col(ip_col).alias("ip"), F.lit(side).alias("side"))
 
-    src_hit = f.join(idx, (f.area_id == idx._area) & (f.src_ip == idx._ip), "inner").select(
-        *mc, "entity_id", "flow_id", "area_id", "src_ip", "dst_ip", "event_time",
-        F.col("src_ip").alias("ip"), F.lit("src").alias("side"))
-    dst_hit = f.join(idx, (f.area_id == idx._area) & (f.dst_ip == idx._ip), "inner").select(
-        *mc, "entity_id", "flow_id", "area_id", "src_ip", "dst_ip", "event_time",
-        F.col("dst_ip").alias("ip"), F.lit("dst").alias("side"))
+    src_hit, dst_hit = hit("src_ip", "src"), hit("dst_ip", "dst")
     # the source IP wins: drop destination matches whose asset also owns the source IP
     mcol = ["model_id"] if "model_id" in index.columns else []
     keys = mcol + ["entity_id", "area_id", "src_ip"]
-    owned = index.select(*mcol, "entity_id", "area_id", F.col("ip").alias("src_ip"))
-    dst_only = dst_hit.join(owned, keys, "left_anti")
+    owned = index.select(*[F.col(k).alias("_o_" + k) for k in mcol + ["entity_id", "area_id"]],
+                         F.col("ip").alias("_o_src_ip"))
+    dst_only = join_small_side(dst_hit, owned, keys, ["_o_" + k for k in keys], "left_anti", max_rows,
+                               salt_buckets, ["flow_id"])
     return src_hit.unionByName(dst_only)
 
 
-def touch_semi(flows: DataFrame, index: DataFrame) -> DataFrame:
+def touch_semi(flows: DataFrame, index: DataFrame, max_rows: int = ASSET_BROADCAST_ROWS,
+               salt_buckets: int = 1) -> DataFrame:
     """D4 (+C8 via the index's models): flows touching at least one asset, once per model."""
-    has_model = "model_id" in index.columns
-    mcol = ["model_id"] if has_model else []
+    mcol = ["model_id"] if "model_id" in index.columns else []
     keys = index.select(*mcol, F.col("area_id").alias("_area"), F.col("ip").alias("_ip")).distinct()
-    src_hit = flows.join(keys, (flows.area_id == keys._area) & (flows.src_ip == keys._ip), "inner") \
-        .drop("_area", "_ip")
-    dst_hit = flows.join(keys, (flows.area_id == keys._area) & (flows.dst_ip == keys._ip), "inner") \
-        .drop("_area", "_ip")
-    owned = keys.select(*mcol, F.col("_area").alias("area_id"), F.col("_ip").alias("src_ip"))
-    dst_only = dst_hit.join(owned, mcol + ["area_id", "src_ip"], "left_anti")
+    salt_from = ["flow_id"] if "flow_id" in flows.columns else ["src_ip", "dst_ip"]
+
+    def hit(ip_col: str) -> DataFrame:
+        return join_small_side(flows, keys, ["area_id", ip_col], ["_area", "_ip"], "inner", max_rows,
+                               salt_buckets, salt_from).drop("_area", "_ip")
+
+    src_hit, dst_hit = hit("src_ip"), hit("dst_ip")
+    owned = keys.select(*[F.col(m).alias("_o_" + m) for m in mcol], F.col("_area").alias("_o_area_id"),
+                        F.col("_ip").alias("_o_src_ip"))
+    k = mcol + ["area_id", "src_ip"]
+    dst_only = join_small_side(dst_hit, owned, k, ["_o_" + c for c in k], "left_anti", max_rows,
+                               salt_buckets, salt_from)
     return src_hit.unionByName(dst_only)

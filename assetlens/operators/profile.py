@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import segment_candidates
 from ..functions.segments import key_for_span
 from ..schemas import EDGE_KEY
-from .common import bounded_broadcast
+from .common import ASSET_BROADCAST_ROWS, bounded_broadcast, join_small_side
 
 _SEGS = ["seg_hour", "seg_isodow", "seg_month"]
 
@@ -43,15 +43,19 @@ def preaggregate(flows: DataFrame, id_col: str, ip_col: str, tz: str | None = No
 
 
 def profile_edges(flows: DataFrame, scoped: DataFrame, side: str = "src", host: str = "own",
-                  tz: str | None = None) -> DataFrame:
+                  tz: str | None = None, max_rows: int = ASSET_BROADCAST_ROWS,
+                  salt_buckets: int = 1) -> DataFrame:
     """Edges of the assets in scope, matched on the flow's ``side`` asset id.
 
     host='own' (parity): the IP the asset itself used in the flow; host='peer': the other end.
+    The flows are first reduced to distinct (asset, ip, hour, weekday, month) with a map-side
+    partial aggregate; only that reduced set meets the (model, asset) table.
     """
     id_col, ip_col = _host(side, host)
     pre = preaggregate(flows, id_col, ip_col, tz)
-    models = scoped.select("model_id", "span", "entity_id")
-    j = pre.join(models, "entity_id", "inner")
+    models = scoped.select("model_id", "span", F.col("entity_id").alias("_eid"))
+    j = join_small_side(pre, models, ["entity_id"], ["_eid"], "inner", max_rows, salt_buckets,
+                        ["entity_id", "host_ip"])
     edges = j.select("model_id", "entity_id", key_for_span("span").cast("int").alias("segment_key"),
                      "host_ip", "updated_at")
     return dedupe_edges(edges)

@@ -12,7 +12,10 @@ Layout under ``root``::
 * Replace (B2) = write the batch into generation G+1 and then append a commit row; readers
   switch generation only when the commit exists, so a crash in between leaves the old
   profile visible. A replay of the same batch reuses the generation it committed.
-* A model's current generation is the highest committed one (0 when none).
+* A model's current generation is the highest committed one. The first accumulate write of a
+  model commits generation 0, so the read view is an equi join of the edges with the (small)
+  generation table on the partition columns (model_id, gen): dynamic partition pruning then
+  skips old generations' folders.
 """
 
 from __future__ import annotations
@@ -56,9 +59,7 @@ class EdgeStore:
 
     def read_edges(self) -> DataFrame:
         """The current profile as distinct edges with the latest ``updated_at``."""
-        e = self.raw_edges()
-        g = bounded_broadcast(self.generations().withColumnRenamed("gen", "_cur"))
-        cur = e.join(g, "model_id", "left").where(F.col("gen") == F.coalesce("_cur", F.lit(0)))
+        cur = self.raw_edges().join(bounded_broadcast(self.generations()), ["model_id", "gen"], "inner")
         return dedupe_edges(cur.select(*EDGE_KEY, "updated_at"))
 
     def read_model(self, model_id: str) -> DataFrame:
@@ -99,7 +100,13 @@ class EdgeStore:
             rep_gens.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(self.commits)
             rep_gens.unpersist()
         models = acc_edges.select("model_id").distinct()
-        self._write(acc_edges, self._target_gens(models, batch_id, replace=False), batch_id)
+        gens = self._target_gens(models, batch_id, replace=False).cache()
+        self._write(acc_edges, gens, batch_id)
+        # first write of a model: commit its generation 0 (after the data, like a replace)
+        known = self.commit_rows().select("model_id").distinct()
+        new = gens.join(bounded_broadcast(known), "model_id", "left_anti")
+        new.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(self.commits)
+        gens.unpersist()
 
     def compact(self, batch_id: int = -1) -> None:
         """Rewrite every model's current profile as one new generation (fewer files, no duplicates).

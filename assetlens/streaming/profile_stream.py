@@ -22,6 +22,7 @@ import time
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import operators as op
@@ -80,14 +81,17 @@ class ProfileStream:
                  .partitionBy("batch_id").parquet(self.quarantine_path))
             df = parsed
         flows = op.complete_flows(df)
-        edges = op.profile_edges(flows, self._scoped, side=self.side, host=self.host, tz=self.tz)
-        replace = op.replace_set(self._params, "by_model") if self.honour_update_mode else None
-        self.store.write_batch(edges, batch_id, replace_models=replace)
-        if self.status is not None and not self._succeeded:
-            # one cheap probe of this batch's output, not of the whole table
-            if len(self.store.raw_edges().where(F.col("batch_id") == batch_id).limit(1).collect()) > 0:
+        # the batch's edges are used by up to three writes and a probe: compute them once
+        edges = op.profile_edges(flows, self._scoped, side=self.side, host=self.host, tz=self.tz) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            replace = op.replace_set(self._params, "by_model") if self.honour_update_mode else None
+            self.store.write_batch(edges, batch_id, replace_models=replace)
+            if self.status is not None and not self._succeeded and not edges.isEmpty():
                 self.status.append(op.status_event(self._params, "success", F.current_timestamp()), batch_id)
                 self._succeeded = True
+        finally:
+            edges.unpersist()
 
     def start(self, flows_stream: DataFrame, checkpoint: str, trigger: dict | None = None,
               query_name: str | None = None):

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from assetlens import operators as op
@@ -37,13 +38,17 @@ def key(span, ts):
 
 SPANS = {"m1": 1, "m2": 2, "m3": 3}
 
+# broadcast path, shuffle path, salted shuffle path
+STRATEGIES = [dict(), dict(max_rows=0), dict(max_rows=0, salt_buckets=4)]
 
-def test_profile_edges_brute_force(spark):
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_profile_edges_brute_force(spark, strategy):
     f, a, p, flows, assets = make(spark)
     scoped = op.scope_assets(a, p, "exact")
     for side, host in [("src", "own"), ("src", "peer"), ("dst", "own")]:
         got = sorted((r.model_id, r.entity_id, r.segment_key, r.host_ip)
-                     for r in op.profile_edges(f, scoped, side, host).collect())
+                     for r in op.profile_edges(f, scoped, side, host, **strategy).collect())
         ids = {x[0] for x in assets}
         want = set()
         for fl in flows:
@@ -60,10 +65,12 @@ def _owned(assets):
     return {(a[0], a[3]): set(ip for v in json.loads(a[2]).values() for ip in v) for a in assets}
 
 
-def test_touch_pairs_and_semi_brute_force(spark):
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_touch_pairs_and_semi_brute_force(spark, strategy):
     f, a, p, flows, assets = make(spark)
     idx = op.ip_index(op.scope_assets(a, p, "exact"))
-    got = sorted((r.model_id, r.flow_id, r.entity_id, r.ip, r.side) for r in op.touch_pairs(f, idx).collect())
+    got = sorted((r.model_id, r.flow_id, r.entity_id, r.ip, r.side)
+                 for r in op.touch_pairs(f, idx, **strategy).collect())
     want, semi = [], set()
     for fl in flows:
         for (ent, area), ips in _owned(assets).items():
@@ -75,16 +82,21 @@ def test_touch_pairs_and_semi_brute_force(spark):
                     want.append((m, fl[5], ent, hit[0], hit[1]))
                     semi.add((m, fl[5]))
     assert got == sorted(want)
-    got_semi = sorted((r.model_id, r.flow_id) for r in op.touch_semi(f, idx).collect())
+    got_semi = sorted((r.model_id, r.flow_id) for r in op.touch_semi(f, idx, **strategy).collect())
     assert got_semi == sorted(semi)
-    plan = op.touch_pairs(f, idx)._jdf.queryExecution().executedPlan().toString()
+    plan = op.touch_pairs(f, idx, **strategy)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert ("xxhash64" in plan) == (strategy.get("salt_buckets", 1) > 1)
+    if "max_rows" not in strategy:       # (without it Spark may still broadcast by its own size stats)
+        assert "BroadcastHashJoin" in plan
 
 
-def test_join_assets(spark):
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_join_assets(spark, strategy):
     f, a, p, flows, assets = make(spark)
     scoped = op.scope_assets(a, p.where("model_id = 'm1'"), "exact")
-    got = sorted((r.entity_id, r.host_ip, r.peer_ip, r.flow_id) for r in op.join_assets(f, scoped, "dst").collect())
+    got = sorted((r.entity_id, r.host_ip, r.peer_ip, r.flow_id)
+                 for r in op.join_assets(f, scoped, "dst", **strategy).collect())
     ids = {x[0] for x in assets}
     want = sorted((fl[2], fl[3], fl[1], fl[5]) for fl in flows if fl[2] in ids)
     assert got == want

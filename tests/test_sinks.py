@@ -46,7 +46,7 @@ def test_replace_generation(spark, tmp_dir):
     assert keyset(st.read_edges()) == want
     st.write_batch(edges(spark, [("m2", "b", 3, "q"), ("m1", "a", 5, "n")]), 1, replace_models=rm)  # replay
     assert keyset(st.read_edges()) == want
-    assert {(r.model_id, r.gen) for r in st.generations().collect()} == {("m2", 1)}
+    assert {(r.model_id, r.gen) for r in st.generations().collect()} == {("m1", 0), ("m2", 1)}
     st.compact(batch_id=2)
     assert keyset(st.read_edges()) == want
 
