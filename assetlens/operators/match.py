@@ -51,45 +51,51 @@ def ip_index(scoped: DataFrame) -> DataFrame:
         [c for c in ("model_id", "area_id", "entity_id", "ip")])
 
 
+def _sides(flows: DataFrame, keep: list[str]) -> DataFrame:
+    """Each flow as two rows (ip, side): its source and its destination IP."""
+    return flows.select(*keep, F.inline(F.array(
+        F.struct(F.col("src_ip").alias("_fip"), F.lit("src").alias("side")),
+        F.struct(F.col("dst_ip").alias("_fip"), F.lit("dst").alias("side")))))
+
+
 def touch_pairs(flows: DataFrame, index: DataFrame, max_rows: int = ASSET_BROADCAST_ROWS,
                 salt_buckets: int = 1) -> DataFrame:
-    """(model, asset, matched ip, side) for every flow touching an asset of its area."""
-    mc = _model_cols(index)
-    idx = index.select(*mc, "entity_id", F.col("area_id").alias("_area"), F.col("ip").alias("_ip"))
-    f = flows.select("flow_id", "area_id", "src_ip", "dst_ip", "event_time")
-    cols = [*mc, "entity_id", "flow_id", "area_id", "src_ip", "dst_ip", "event_time"]
-
-    def hit(ip_col: str, side: str) -> DataFrame:
-        j = join_small_side(f, idx, ["area_id", ip_col], ["_area", "_ip"], "inner", max_rows, salt_buckets,
-                            ["flow_id"])
-        return j.select(*cols, F.col(ip_col).alias("ip"), F.lit(side).alias("side"))
+    """(model, asset, matched ip, side) for every flow touching an asset of its area.
 
-    src_hit, dst_hit = hit("src_ip", "src"), hit("dst_ip", "dst")
-    # the source IP wins: drop destination matches whose asset also owns the source IP
+    One pass over the flows: both IPs are joined with the (area, ip) index at once; a
+    destination match is then dropped when the same asset owns the source IP (the anti join
+    carries ``side`` in its key, so source matches can never hit it).
+    """
+    mc = _model_cols(index)
     mcol = ["model_id"] if "model_id" in index.columns else []
-    keys = mcol + ["entity_id", "area_id", "src_ip"]
+    idx = index.select(*mc, "entity_id", F.col("area_id").alias("_area"), F.col("ip").alias("_ip"))
+    f = _sides(flows, ["flow_id", "area_id", "src_ip", "dst_ip", "event_time"])
+    hits = join_small_side(f, idx, ["area_id", "_fip"], ["_area", "_ip"], "inner", max_rows, salt_buckets,
+                           ["flow_id"])
+    keys = mcol + ["entity_id", "area_id", "src_ip", "side"]
     owned = index.select(*[F.col(k).alias("_o_" + k) for k in mcol + ["entity_id", "area_id"]],
-                         F.col("ip").alias("_o_src_ip"))
-    dst_only = join_small_side(dst_hit, owned, keys, ["_o_" + k for k in keys], "left_anti", max_rows,
-                               salt_buckets, ["flow_id"])
-    return src_hit.unionByName(dst_only)
+                         F.col("ip").alias("_o_src_ip"), F.lit("dst").alias("_o_side"))
+    kept = join_small_side(hits, owned, keys, ["_o_" + k for k in keys], "left_anti", max_rows,
+                           salt_buckets, ["flow_id"])
+    return kept.select(*mc, "entity_id", "flow_id", "area_id", "src_ip", "dst_ip", "event_time",
+                       F.col("_fip").alias("ip"), "side")
 
 
 def touch_semi(flows: DataFrame, index: DataFrame, max_rows: int = ASSET_BROADCAST_ROWS,
                salt_buckets: int = 1) -> DataFrame:
-    """D4 (+C8 via the index's models): flows touching at least one asset, once per model."""
+    """D4 (+C8 via the index's models): flows touching at least one asset, once per model.
+
+    Same single pass as ``touch_pairs`` on distinct (model, area, ip) keys: a destination hit is
+    dropped when the model also owns the source IP in that area, so each (flow, model) appears once.
+    """
     mcol = ["model_id"] if "model_id" in index.columns else []
     keys = index.select(*mcol, F.col("area_id").alias("_area"), F.col("ip").alias("_ip")).distinct()
     salt_from = ["flow_id"] if "flow_id" in flows.columns else ["src_ip", "dst_ip"]
-
-    def hit(ip_col: str) -> DataFrame:
-        return join_small_side(flows, keys, ["area_id", ip_col], ["_area", "_ip"], "inner", max_rows,
-                               salt_buckets, salt_from).drop("_area", "_ip")
-
-    src_hit, dst_hit = hit("src_ip"), hit("dst_ip")
+    f = _sides(flows, flows.columns)
+    hits = join_small_side(f, keys, ["area_id", "_fip"], ["_area", "_ip"], "inner", max_rows, salt_buckets,
+                           salt_from)
+    k = mcol + ["area_id", "src_ip", "side"]
     owned = keys.select(*[F.col(m).alias("_o_" + m) for m in mcol], F.col("_area").alias("_o_area_id"),
-                        F.col("_ip").alias("_o_src_ip"))
-    k = mcol + ["area_id", "src_ip"]
-    dst_only = join_small_side(dst_hit, owned, k, ["_o_" + c for c in k], "left_anti", max_rows,
-                               salt_buckets, salt_from)
-    return src_hit.unionByName(dst_only)
+                        F.col("_ip").alias("_o_src_ip"), F.lit("dst").alias("_o_side"))
+    kept = join_small_side(hits, owned, k, ["_o_" + c for c in k], "left_anti", max_rows, salt_buckets, salt_from)
+    return kept.select(*mcol, *flows.columns)
