@@ -1,0 +1,66 @@
+"""Property tests: F1, F7 and the D3 group match against plain-Python models of the original rules."""
+
+import itertools
+
+from hypothesis import given, settings, strategies as st
+
+from assetlens import functions as fn
+from assetlens import operators as op
+
+ALPHABET = st.sampled_from(["a", "1", ".", " ", "\t", "\n", "\x00", "\x1f", "n", "u", "l", "-", "x", "9"])
+TEXT = st.one_of(st.none(), st.text(ALPHABET, max_size=6), st.sampled_from(["null", " null", "NULL", "12.9", "-0"]))
+
+
+def java_blank(s):
+    return s is None or all(ord(c) <= 32 for c in s) or s == "null"
+
+
+def java_trim(s):
+    i, j = 0, len(s)
+    while i < j and ord(s[i]) <= 32:
+        i += 1
+    while j > i and ord(s[j - 1]) <= 32:
+        j -= 1
+    return s[i:j]
+
+
+def java_to_int(s):
+    """ConversionUtil.toInteger semantics; text that Java rejects with an exception maps to None."""
+    if java_blank(s):
+        return None
+    try:
+        if "." in s:
+            v = float(java_trim(s))
+            return int(v) if -2**31 <= v < 2**31 else None
+        t = java_trim(s)
+        if not t or any(c not in "+-0123456789" for c in t) or t in ("+", "-") or "+" in t[1:] or "-" in t[1:]:
+            return None
+        v = int(t)
+        return v if -2**31 <= v < 2**31 else None
+    except ValueError:
+        return None
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=40))
+def test_blank_and_int_match_java_rules(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = df.select(fn.is_blank("v").alias("b"), fn.to_int("v").alias("i")).collect()
+    assert [r.b for r in got] == [java_blank(v) for v in values]
+    assert [r.i for r in got] == [java_to_int(v) for v in values]
+
+
+GROUP = st.one_of(st.none(), st.text(st.sampled_from(["A", "B", "1", ",", "%", "_"]), max_size=3))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(GROUP, min_size=1, max_size=8), st.lists(GROUP, min_size=1, max_size=4))
+def test_contains_rewrite_equals_literal_substring(spark, groups, lists):
+    a = spark.createDataFrame([(f"a{i}", "n", "{}", 1, g) for i, g in enumerate(groups)],
+                              "entity_id string, entity_name string, asset_ip string, area_id int, entity_groups string")
+    p = spark.createDataFrame([(f"m{j}", 1, True, l) for j, l in enumerate(lists)],
+                              "model_id string, span int, accumulate boolean, entity_group_list string")
+    got = sorted((r.model_id, r.entity_id) for r in op.scope_assets(a, p, "contains").collect())
+    want = sorted((f"m{j}", f"a{i}") for (i, g), (j, l) in itertools.product(enumerate(groups), enumerate(lists))
+                  if g is not None and l is not None and g in l)
+    assert got == want

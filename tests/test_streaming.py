@@ -116,3 +116,38 @@ def test_honour_update_mode_replaces_per_batch(spark, tmp_dir):
     assert rows(got.where("model_id = 'm2'").drop("updated_at")) == want_m2
     want_m1 = rows(inp.src_edges.where("model_id = 'm1'").drop("updated_at"))
     assert rows(got.where("model_id = 'm1'").drop("updated_at")) == want_m1
+
+
+def test_stream_static_joins_equal_batch(spark, tmp_dir):
+    """D1 and D5 run directly on a streaming DataFrame (stream-static joins, no join state)."""
+    inp = Inputs(spark, SF001)
+    customers = inp.table("customer")
+    events = spark.readStream.schema(inp.table("events").schema).option("basePath", SF001) \
+        .parquet(f"{SF001}/{{events}}.parquet")
+    flows = op.complete_flows(fx.flows_from_events(events, customers))
+    d1 = op.join_assets(flows, inp.scoped("contains"), "src").select("model_id", "entity_id", "host_ip", "flow_id")
+    d5 = op.touch_pairs(flows, op.ip_index(inp.scoped("exact"))).select("model_id", "flow_id", "entity_id", "ip", "side")
+    for name, df, batch in [
+        ("d1", d1, op.join_assets(inp.complete, inp.scoped("contains"), "src")
+         .select("model_id", "entity_id", "host_ip", "flow_id")),
+        ("d5", d5, op.touch_pairs(inp.complete, op.ip_index(inp.scoped("exact")))
+         .select("model_id", "flow_id", "entity_id", "ip", "side")),
+    ]:
+        q = (df.writeStream.format("parquet").option("path", f"{tmp_dir}/{name}")
+             .option("checkpointLocation", f"{tmp_dir}/{name}_ckpt").trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert rows(spark.read.parquet(f"{tmp_dir}/{name}")) == rows(batch), name
+
+
+def test_day_files_stream(spark, tmp_dir):
+    from assetlens.sinks import start_day_files_stream
+    inp = Inputs(spark, SF001)
+    events = spark.readStream.schema(inp.table("events").schema).option("basePath", SF001) \
+        .parquet(f"{SF001}/{{events}}.parquet")
+    flows = op.complete_flows(fx.flows_from_events(events, inp.table("customer")))
+    q = start_day_files_stream(flows, f"{tmp_dir}/days", f"{tmp_dir}/days_ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    got = spark.read.parquet(f"{tmp_dir}/days").groupBy("dt").count()
+    want = inp.complete.groupBy(F.date_format(F.from_utc_timestamp("event_time", "Asia/Shanghai"),
+                                              "yyyy-MM-dd").alias("dt")).count()
+    assert rows(got.select(F.col("dt").cast("string"), "count")) == rows(want)
