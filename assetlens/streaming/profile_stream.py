@@ -26,6 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import operators as op
+from ..functions import segment_candidates
 from ..session import scratch_path
 from ..sinks.edge_store import EdgeStore
 from ..sinks.status_log import StatusLog
@@ -138,3 +139,37 @@ def run_profile_stream_on_files(spark: SparkSession, sf_dir: str, max_files_per_
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return op.named_csv_rows(store.read_edges())
+
+
+def edge_stream(flows_stream: DataFrame, scoped: DataFrame, watermark: str = "1 hour", side: str = "src",
+                host: str = "own", tz: str | None = None) -> DataFrame:
+    """H3 (time-bounded form): a streaming DataFrame of edges, deduplicated within the watermark.
+
+    Flows are matched with the static (model, asset) table (stream-static join, no join state)
+    and edges are deduplicated with ``dropDuplicatesWithinWatermark``, whose state only covers
+    ``watermark`` of event time. A duplicate arriving later is emitted again; the edge table's read
+    view (``dedupe_edges``) removes it, so the stored profile is still a set.
+    """
+    from ..functions.segments import key_for_span
+    from ..operators.profile import _host
+
+    id_col, ip_col = _host(side, host)
+    models = scoped.select("model_id", "span", F.col("entity_id").alias("_eid"))
+    f = op.complete_flows(flows_stream).where(F.col(ip_col).isNotNull())
+    j = f.join(op.bounded_broadcast(models), f[id_col] == F.col("_eid"), "inner")
+    seg = segment_candidates("event_time", tz)
+    e = j.select("model_id", "span", F.col("_eid").alias("entity_id"), F.col(ip_col).alias("host_ip"),
+                 "event_time", *seg)
+    e = e.select("model_id", "entity_id", key_for_span("span").cast("int").alias("segment_key"), "host_ip",
+                 F.col("event_time").alias("updated_at"))
+    return e.withWatermark("updated_at", watermark).dropDuplicatesWithinWatermark(
+        ["model_id", "entity_id", "segment_key", "host_ip"])
+
+
+def start_edge_file_stream(edges: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Append the deduplicated edge stream to parquet (file sink + checkpoint = exactly once)."""
+    w = (edges.writeStream.format("parquet").outputMode("append").option("path", path)
+         .option("checkpointLocation", checkpoint).partitionBy("model_id"))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
