@@ -6,7 +6,7 @@ from .params import (normalise_params, active_params, runnable_params, rejected_
 from .assets import scope_assets, group_candidates, asset_ip_rows, area_index
 from .flows import parse_flows, complete_flows, quarantine, flow_projection, to_upper_json
 from .match import join_assets, ip_index, touch_pairs, touch_semi
-from .profile import (profile_edges, match_edges, multiset_profile, merge_edges, replace_set,
+from .profile import (profile_edges, match_edges, multiset_profile, multiset_counts, merge_edges, replace_set,
                       dedupe_edges, preaggregate)
 from .encode import named_csv_rows, render_profiles, decode_profiles, segment_ips, ENCODINGS
 from .status import latest_status, status_event, status_rank
@@ -18,7 +18,7 @@ __all__ = [
     "scope_assets", "group_candidates", "asset_ip_rows", "area_index",
     "parse_flows", "complete_flows", "quarantine", "flow_projection", "to_upper_json",
     "join_assets", "ip_index", "touch_pairs", "touch_semi",
-    "profile_edges", "match_edges", "multiset_profile", "merge_edges", "replace_set", "dedupe_edges",
+    "profile_edges", "match_edges", "multiset_profile", "multiset_counts", "merge_edges", "replace_set", "dedupe_edges",
     "preaggregate",
     "named_csv_rows", "render_profiles", "decode_profiles", "segment_ips", "ENCODINGS",
     "latest_status", "status_event", "status_rank",

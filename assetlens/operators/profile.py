@@ -82,20 +82,32 @@ def _span_keys() -> F.Column:
     ))
 
 
-def multiset_profile(flows: DataFrame, params: DataFrame, side: str = "src",
-                     tz: str | None = None) -> DataFrame:
-    """Per model, asset and segment the comma-joined IPs of *every* flow (not distinct).
+def multiset_counts(flows: DataFrame, params: DataFrame, side: str = "src",
+                    tz: str | None = None) -> DataFrame:
+    """E3 long form: (model_id, entity_id, segment_key, host_ip, n) with n = number of flows.
 
-    Counted per IP first (map-side), so the final string is rebuilt from (ip, count) pairs
-    instead of collecting one element per flow.
+    Counted per IP first (map-side partial aggregation); models join on ``span`` instead of a
+    cross product. This is the scalable form of the non-distinct profile: its size is bounded by
+    distinct IPs, not by flows.
     """
     id_col, ip_col = _host(side, "own")
     pre = preaggregate(flows, id_col, ip_col, tz, count=True)
     keyed = pre.select("entity_id", "host_ip", "n", _span_keys().alias("k")) \
         .select("entity_id", "host_ip", "n", "k.span", "k.segment_key")
     models = bounded_broadcast(params.select("model_id", "span"))
-    j = keyed.join(models, "span", "inner") \
+    return keyed.join(models, "span", "inner") \
         .groupBy("model_id", "entity_id", "segment_key", "host_ip").agg(F.sum("n").alias("n"))
+
+
+def multiset_profile(flows: DataFrame, params: DataFrame, side: str = "src",
+                     tz: str | None = None) -> DataFrame:
+    """Per model, asset and segment the comma-joined IPs of *every* flow (not distinct).
+
+    Rendered from ``multiset_counts``: only (ip, count) pairs are gathered per group and the
+    string is expanded from them. The string itself grows with the number of flows, as the
+    format demands; use ``multiset_counts`` where that is too large.
+    """
+    j = multiset_counts(flows, params, side, tz)
     g = j.groupBy("model_id", "entity_id", "segment_key").agg(
         F.array_sort(F.collect_list(F.struct("host_ip", "n"))).alias("_ips"),
         F.sum("n").alias("n_flows"))

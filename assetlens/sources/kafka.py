@@ -14,8 +14,16 @@ from .options import kafka_reader_options
 
 def read_kafka(spark: SparkSession, opts: dict[str, str], streaming: bool = True,
                max_records_per_trigger: int | None = None) -> DataFrame:
+    """Kafka records (streaming, or a bounded batch read with startingOffsets/endingOffsets)."""
     reader = spark.readStream if streaming else spark.read
-    return reader.format("kafka").options(**kafka_reader_options(opts, max_records_per_trigger)).load()
+    try:
+        return reader.format("kafka").options(**kafka_reader_options(opts, max_records_per_trigger)).load()
+    except Exception as e:  # noqa: BLE001 - only to explain a missing connector
+        if "kafka" in str(e).lower() and ("find data source" in str(e).lower() or "DATA_SOURCE_NOT_FOUND" in str(e)):
+            raise RuntimeError(
+                "The Spark Kafka connector (spark-sql-kafka-0-10) is not on the class path; add it with "
+                "--packages/--jars, or read Kafka-shaped files with sources.read_kafka_files") from e
+        raise
 
 
 def kafka_values(records: DataFrame) -> DataFrame:
