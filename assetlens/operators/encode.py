@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import display_ip, profile_row_id
+from .common import ASSET_BROADCAST_ROWS, join_small_side
 
 ENCODINGS = ("keyed", "named_list", "named_csv")
 
@@ -44,14 +45,16 @@ def _segments_json(segs: F.Column, encoding: str) -> F.Column:
     raise ValueError(f"unknown encoding {encoding}")
 
 
-def render_profiles(edges: DataFrame, scoped: DataFrame, encoding: str = "keyed") -> DataFrame:
+def render_profiles(edges: DataFrame, scoped: DataFrame, encoding: str = "keyed",
+                    max_rows: int = ASSET_BROADCAST_ROWS) -> DataFrame:
     """Stored-profile rows: id, modeling_params_id, src_id, src_ip, dst_ip_segment, time."""
     s = segment_ips(edges)
     per_asset = s.groupBy("model_id", "entity_id").agg(
         F.array_sort(F.collect_list(F.struct("segment_key", "ips"))).alias("segs"),
         F.max("updated_at").alias("time"))
-    a = scoped.select("model_id", "entity_id", "asset_ip").dropDuplicates(["model_id", "entity_id"])
-    j = per_asset.join(a, ["model_id", "entity_id"], "left")
+    a = scoped.select(F.col("model_id").alias("_m"), F.col("entity_id").alias("_e"), "asset_ip") \
+        .dropDuplicates(["_m", "_e"])
+    j = join_small_side(per_asset, a, ["model_id", "entity_id"], ["_m", "_e"], "left", max_rows)
     return j.select(
         profile_row_id("model_id", "entity_id").alias("id"),
         F.col("model_id").alias("modeling_params_id"),

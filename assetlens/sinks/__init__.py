@@ -4,5 +4,7 @@ from .edge_store import EdgeStore
 from .status_log import StatusLog
 from .day_files import write_day_files, start_day_files_stream, day_column
 from ..sources.jdbc import write_jdbc
+from .profile_export import export_profiles_jdbc
 
-__all__ = ["EdgeStore", "StatusLog", "write_day_files", "start_day_files_stream", "day_column", "write_jdbc"]
+__all__ = ["EdgeStore", "StatusLog", "write_day_files", "start_day_files_stream", "day_column", "write_jdbc",
+           "export_profiles_jdbc"]

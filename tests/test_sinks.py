@@ -94,3 +94,19 @@ def test_options(tmp_dir):
     k = kafka_reader_options(opts, max_records_per_trigger=30)
     assert k == {"kafka.bootstrap.servers": "h1:9092", "subscribe": "csp_flow", "kafka.group.id": "g2",
                  "kafka.session.timeout.ms": "30000", "maxOffsetsPerTrigger": "30"}
+
+
+def test_export_profiles_to_staging_table(spark):
+    from assetlens.sinks import export_profiles_jdbc
+    url = f"jdbc:derby:memory:ex{uuid.uuid4().hex[:8]};create=true"
+    e = edges(spark, [("m1", "a", 9, "10.0.0.2"), ("m1", "a", 10, "10.0.0.1"), ("m1", "b", 1, "1.1.1.1")])
+    scoped = spark.createDataFrame([("m1", "a", '{"m":["10.0.0.1"]}'), ("m1", "b", '{"m":["1.1.1.1"]}')],
+                                   "model_id string, entity_id string, asset_ip string")
+    types = ("id VARCHAR(80), modeling_params_id VARCHAR(64), src_id VARCHAR(64), src_ip VARCHAR(256), "
+             "dst_ip_segment VARCHAR(4000)")
+    export_profiles_jdbc(e, scoped, url, "PROFILE_STAGE", driver="org.apache.derby.jdbc.EmbeddedDriver",
+                         createTableColumnTypes=types)
+    back = jdbc.read_jdbc(spark, url, "PROFILE_STAGE", driver="org.apache.derby.jdbc.EmbeddedDriver")
+    got = {r.SRC_ID if "SRC_ID" in back.columns else r.src_id: r for r in back.collect()}
+    assert got["a"].dst_ip_segment == '[{"name":"9","value":"10.0.0.2"},{"name":"10","value":"10.0.0.1"}]'
+    assert got["b"].src_ip == '"1.1.1.1"' and got["a"].id.startswith("mdl_")
