@@ -15,6 +15,8 @@ Run as ``python -m assetlens.app [--config job.properties] key=value ...``. Keys
   refresh.seconds   TTL of the static side (default 3600)
   update.mode       honour | accumulate                    (default accumulate, as the live job)
   zone              zone of the segment keys               (default: session zone)
+  broadcast.rows    largest (model, asset) table to broadcast (default 1000000)
+  salt.buckets      salt for hot assets when the asset side is shuffled (default 1 = off)
 """
 
 from __future__ import annotations
@@ -69,7 +71,9 @@ def start(spark: SparkSession, opts: dict[str, str]):
     job = ProfileStream(spark, scope_loader(spark, opts), store, status=status, parse=True,
                         quarantine_path=opts.get("quarantine.path") or f"{root}_quarantine",
                         tz=opts.get("zone"), ttl_s=float(opts.get("refresh.seconds", "3600")),
-                        honour_update_mode=opts.get("update.mode", "accumulate") == "honour")
+                        honour_update_mode=opts.get("update.mode", "accumulate") == "honour",
+                        join_opts={"max_rows": int(opts.get("broadcast.rows", "1000000")),
+                                   "salt_buckets": int(opts.get("salt.buckets", "1"))})
     trig = opts.get("trigger", "1 minute")
     trigger = {"availableNow": True} if trig == "once" else {"processingTime": trig}
     checkpoint = opts.get("checkpoint") or scratch_path(spark, "assetlens/checkpoint")

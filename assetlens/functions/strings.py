@@ -8,24 +8,24 @@ from pyspark.sql import Column, functions as F
 
 from ._col import col
 
-_CONTROL_OR_SPACE_ONLY = r"^[\x00-\x20]*$"
-_EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# Every character a Java String.trim() removes: U+0000 .. U+0020.
+_TRIMMED = "".join(chr(i) for i in range(0x21))
+
+
+def java_trim(c) -> Column:
+    """Remove characters up to U+0020 from both ends (no regex: a plain character-set trim)."""
+    return F.btrim(col(c), F.lit(_TRIMMED))
 
 
 def is_blank(c) -> Column:
     c = col(c)
-    return c.isNull() | c.rlike(_CONTROL_OR_SPACE_ONLY) | (c == F.lit("null"))
+    return c.isNull() | (java_trim(c) == F.lit("")) | (c == F.lit("null"))
 
 
 def not_blank(c) -> Column:
     return ~is_blank(c)
 
 
-def java_trim(c) -> Column:
-    """Remove characters up to U+0020 from both ends."""
-    return F.regexp_replace(col(c), _EDGE_CONTROL, "")
-
-
 def blank_equals(a, b, ignore_case: bool = False) -> Column:
     """True when both are blank, or both are not blank and equal."""
     a, b = col(a), col(b)

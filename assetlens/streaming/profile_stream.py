@@ -39,7 +39,7 @@ class ProfileStream:
                  status: StatusLog | None = None, quarantine_path: str | None = None,
                  prepare: Callable[[DataFrame], DataFrame] | None = None, parse: bool = False,
                  tz: str | None = None, ttl_s: float = 3600.0, honour_update_mode: bool = False,
-                 side: str = "src", host: str = "own"):
+                 side: str = "src", host: str = "own", join_opts: dict | None = None):
         self.spark = spark
         self.scope_loader = scope_loader
         self.store = store
@@ -51,6 +51,8 @@ class ProfileStream:
         self.ttl_s = ttl_s
         self.honour_update_mode = honour_update_mode
         self.side, self.host = side, host
+        # e.g. {"max_rows": 1_000_000, "salt_buckets": 16}: how the asset side is joined
+        self.join_opts = join_opts or {}
         self._loaded_at = 0.0
         self._params: DataFrame | None = None
         self._scoped: DataFrame | None = None
@@ -83,7 +85,8 @@ class ProfileStream:
             df = parsed
         flows = op.complete_flows(df)
         # the batch's edges are used by up to three writes and a probe: compute them once
-        edges = op.profile_edges(flows, self._scoped, side=self.side, host=self.host, tz=self.tz) \
+        edges = op.profile_edges(flows, self._scoped, side=self.side, host=self.host, tz=self.tz,
+                                 **self.join_opts) \
             .persist(StorageLevel.MEMORY_AND_DISK)
         try:
             replace = op.replace_set(self._params, "by_model") if self.honour_update_mode else None
