@@ -35,3 +35,30 @@ def test_kafka_without_connector_explains(spark):
     with pytest.raises(Exception) as e:
         read_kafka(spark, {"topic": "t", "bootstrap.servers": "localhost:1"}, streaming=False)
     assert "Kafka connector" in str(e.value) or "kafka" in str(e.value).lower()
+
+
+def test_app_reads_params_and_assets_over_jdbc(spark, tmp_dir):
+    import uuid
+    from assetlens.sources import jdbc
+    drv = "org.apache.derby.jdbc.EmbeddedDriver"
+    url = f"jdbc:derby:memory:app{uuid.uuid4().hex[:8]};create=true"
+    inp = Inputs(spark, SF001)
+    jdbc.write_jdbc(inp.assets, url, "ASSET", mode="overwrite", driver=drv,
+                    createTableColumnTypes="entity_id VARCHAR(64), entity_name VARCHAR(64), asset_ip VARCHAR(256), "
+                                           "entity_groups VARCHAR(64)")
+    jdbc.write_jdbc(fx.model_params(spark), url, "MODELING_PARAMS", mode="overwrite", driver=drv,
+                    createTableColumnTypes="id VARCHAR(16), model_rate_timeunit VARCHAR(8), "
+                                           "model_result_template VARCHAR(64), model_alt_params VARCHAR(256), "
+                                           "model_task_status VARCHAR(16)")
+    inp.kafka.coalesce(2).write.parquet(f"{tmp_dir}/kafka")
+    opts = app.load_options(None, [
+        "flows.format=kafka-files", f"flows.path={tmp_dir}/kafka", f"assets.url={url}", "assets.table=ASSET",
+        f"params.url={url}", "params.table=MODELING_PARAMS", f"assets.jdbc.driver={drv}",
+        f"params.jdbc.driver={drv}", f"store.path={tmp_dir}/store", f"checkpoint={tmp_dir}/ckpt", "trigger=once",
+        "groups.mode=exact", "broadcast.rows=0", "salt.buckets=3"])
+    q, store, _ = app.start(spark, opts)
+    q.awaitTermination()
+    got = {tuple(r) for r in op.named_csv_rows(store.read_edges()).collect()}
+    want = {tuple(r) for r in op.named_csv_rows(
+        op.profile_edges(op.complete_flows(inp.parsed), inp.scoped("exact"))).collect()}
+    assert want <= got and {r[0] for r in got - want} <= {"m5"}
