@@ -25,7 +25,8 @@ def java_trim(s):
 
 
 def java_to_int(s):
-    """ConversionUtil.toInteger semantics; text that Java rejects with an exception maps to None."""
+    """The original integer conversion: blank -> None, text with a dot truncated, other text parsed;
+    text that would raise maps to None."""
     if java_blank(s):
         return None
     try:
