@@ -17,6 +17,7 @@ Run as ``python -m assetlens.app [--config job.properties] key=value ...``. Keys
   zone              zone of the segment keys               (default: session zone)
   broadcast.rows    largest (model, asset) table to broadcast (default 1000000)
   salt.buckets      salt for hot assets when the asset side is shuffled (default 1 = off)
+  segment.time      event | processing: segment keys from event time or the wall clock (default event)
 """
 
 from __future__ import annotations
@@ -73,7 +74,8 @@ def start(spark: SparkSession, opts: dict[str, str]):
                         tz=opts.get("zone"), ttl_s=float(opts.get("refresh.seconds", "3600")),
                         honour_update_mode=opts.get("update.mode", "accumulate") == "honour",
                         join_opts={"max_rows": int(opts.get("broadcast.rows", "1000000")),
-                                   "salt_buckets": int(opts.get("salt.buckets", "1"))})
+                                   "salt_buckets": int(opts.get("salt.buckets", "1"))},
+                        segment_time=opts.get("segment.time", "event"))
     trig = opts.get("trigger", "1 minute")
     trigger = {"availableNow": True} if trig == "once" else {"processingTime": trig}
     checkpoint = opts.get("checkpoint") or scratch_path(spark, "assetlens/checkpoint")

@@ -31,11 +31,15 @@ def _host(side: str, host: str) -> tuple[str, str]:
 
 
 def preaggregate(flows: DataFrame, id_col: str, ip_col: str, tz: str | None = None,
-                 count: bool = False) -> DataFrame:
-    """(entity_id, host_ip, seg_hour, seg_isodow, seg_month, updated_at[, n])."""
+                 count: bool = False, time_col: str = "event_time") -> DataFrame:
+    """(entity_id, host_ip, seg_hour, seg_isodow, seg_month, updated_at[, n]).
+
+    Segment keys come from ``time_col``: the flow's event time by default; a column holding
+    ``current_timestamp()`` gives the wall-clock keys of the original job.
+    """
     f = flows.where(F.col(ip_col).isNotNull()).select(
         F.col(id_col).alias("entity_id"), F.col(ip_col).alias("host_ip"),
-        *segment_candidates("event_time", tz), "event_time")
+        *segment_candidates(time_col, tz), F.col(time_col).alias("event_time"))
     aggs = [F.max("event_time").alias("updated_at")]
     if count:
         aggs.append(F.count(F.lit(1)).alias("n"))
@@ -44,7 +48,7 @@ def preaggregate(flows: DataFrame, id_col: str, ip_col: str, tz: str | None = No
 
 def profile_edges(flows: DataFrame, scoped: DataFrame, side: str = "src", host: str = "own",
                   tz: str | None = None, max_rows: int = ASSET_BROADCAST_ROWS,
-                  salt_buckets: int = 1) -> DataFrame:
+                  salt_buckets: int = 1, time_col: str = "event_time") -> DataFrame:
     """Edges of the assets in scope, matched on the flow's ``side`` asset id.
 
     host='own' (parity): the IP the asset itself used in the flow; host='peer': the other end.
@@ -52,7 +56,7 @@ def profile_edges(flows: DataFrame, scoped: DataFrame, side: str = "src", host:
     partial aggregate; only that reduced set meets the (model, asset) table.
     """
     id_col, ip_col = _host(side, host)
-    pre = preaggregate(flows, id_col, ip_col, tz)
+    pre = preaggregate(flows, id_col, ip_col, tz, time_col=time_col)
     models = scoped.select("model_id", "span", F.col("entity_id").alias("_eid"))
     j = join_small_side(pre, models, ["entity_id"], ["_eid"], "inner", max_rows, salt_buckets,
                         ["entity_id", "host_ip"])

@@ -39,7 +39,8 @@ class ProfileStream:
                  status: StatusLog | None = None, quarantine_path: str | None = None,
                  prepare: Callable[[DataFrame], DataFrame] | None = None, parse: bool = False,
                  tz: str | None = None, ttl_s: float = 3600.0, honour_update_mode: bool = False,
-                 side: str = "src", host: str = "own", join_opts: dict | None = None):
+                 side: str = "src", host: str = "own", join_opts: dict | None = None,
+                 segment_time: str = "event"):
         self.spark = spark
         self.scope_loader = scope_loader
         self.store = store
@@ -53,6 +54,10 @@ class ProfileStream:
         self.side, self.host = side, host
         # e.g. {"max_rows": 1_000_000, "salt_buckets": 16}: how the asset side is joined
         self.join_opts = join_opts or {}
+        if segment_time not in ("event", "processing"):
+            raise ValueError("segment_time must be 'event' or 'processing'")
+        # 'processing' keys segments by the wall clock when the batch runs, as the original job did
+        self.segment_time = segment_time
         self._loaded_at = 0.0
         self._params: DataFrame | None = None
         self._scoped: DataFrame | None = None
@@ -84,9 +89,12 @@ class ProfileStream:
                  .partitionBy("batch_id").parquet(self.quarantine_path))
             df = parsed
         flows = op.complete_flows(df)
+        time_col = "event_time"
+        if self.segment_time == "processing":
+            flows, time_col = flows.withColumn("_processing_time", F.current_timestamp()), "_processing_time"
         # the batch's edges are used by up to three writes and a probe: compute them once
         edges = op.profile_edges(flows, self._scoped, side=self.side, host=self.host, tz=self.tz,
-                                 **self.join_opts) \
+                                 time_col=time_col, **self.join_opts) \
             .persist(StorageLevel.MEMORY_AND_DISK)
         try:
             replace = op.replace_set(self._params, "by_model") if self.honour_update_mode else None

@@ -190,3 +190,17 @@ def test_static_side_refresh_ttl(spark, tmp_dir):
     job_long.process(ev, 2)
     job_long.process(ev, 3)
     assert len(calls) == 3
+
+
+def test_processing_time_segments(spark, tmp_dir):
+    """Wall-clock segment keys (the original job's behaviour) as an option."""
+    import datetime as dt
+    job, store, _ = _job(spark, f"{tmp_dir}/run")
+    job.segment_time = "processing"
+    before = dt.datetime.now(dt.timezone.utc)
+    job.process(spark.read.parquet(f"{SF001}/events.parquet"), 0)
+    after = dt.datetime.now(dt.timezone.utc)
+    keys = {r.segment_key for r in store.read_edges().where("model_id = 'm1'").select("segment_key").distinct().collect()}
+    assert keys <= {before.hour, after.hour} and keys
+    weekdays = {r.segment_key for r in store.read_edges().where("model_id = 'm2'").select("segment_key").distinct().collect()}
+    assert weekdays <= {before.isoweekday(), after.isoweekday()}
