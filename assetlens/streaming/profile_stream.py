@@ -105,6 +105,13 @@ class ProfileStream:
         finally:
             edges.unpersist()
 
+    def close(self) -> None:
+        """Release the cached static-side snapshot (call after the query has stopped)."""
+        for df in (self._params, self._scoped, self.last_diff):
+            if df is not None:
+                df.unpersist()
+        self._params = self._scoped = self.last_diff = None
+
     def start(self, flows_stream: DataFrame, checkpoint: str, trigger: dict | None = None,
               query_name: str | None = None):
         if self.status is not None:
@@ -146,7 +153,10 @@ def run_profile_stream_on_files(spark: SparkSession, sf_dir: str, max_files_per_
     job = ProfileStream(spark, scope_loader, store, status=status,
                         prepare=lambda b: fx.flows_from_events(b, customers))
     q = job.start(events, f"{root}/checkpoint", trigger={"availableNow": True})
-    q.awaitTermination()
+    try:
+        q.awaitTermination()
+    finally:
+        job.close()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return op.named_csv_rows(store.read_edges())
