@@ -85,10 +85,20 @@ class EdgeStore:
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("model_id", "gen", "batch_id").parquet(self.data))
 
-    def write_batch(self, edges: DataFrame, batch_id: int, replace_models: DataFrame | None = None) -> None:
+    def stored_except(self, batch_id: int) -> DataFrame:
+        """Current edge keys written by batches other than ``batch_id``."""
+        e = self.raw_edges().where(F.col("batch_id") != batch_id)
+        cur = e.join(bounded_broadcast(self.generations()), ["model_id", "gen"], "inner")
+        return cur.select(*EDGE_KEY)
+
+    def write_batch(self, edges: DataFrame, batch_id: int, replace_models: DataFrame | None = None,
+                    only_new: bool = False) -> None:
         """B1/B3 (accumulate) and, for ``replace_models`` (column model_id), B2 (replace).
 
-        ``edges`` should be deduplicated already (``profile_edges`` output is).
+        ``edges`` should be deduplicated already (``profile_edges`` output is). With ``only_new``
+        accumulate edges already stored are not written again (a left anti join with the current
+        profile, excluding this batch's own folders so that a replay does not erase itself); this
+        keeps the table growing with new edges only, at the cost of reading the stored keys.
         """
         acc_edges = edges
         if replace_models is not None:
@@ -99,6 +109,8 @@ class EdgeStore:
             self._write(rep_edges, rep_gens, batch_id)
             rep_gens.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(self.commits)
             rep_gens.unpersist()
+        if only_new:
+            acc_edges = acc_edges.join(self.stored_except(batch_id), EDGE_KEY, "left_anti")
         models = acc_edges.select("model_id").distinct()
         gens = self._target_gens(models, batch_id, replace=False).cache()
         self._write(acc_edges, gens, batch_id)

@@ -40,7 +40,7 @@ class ProfileStream:
                  prepare: Callable[[DataFrame], DataFrame] | None = None, parse: bool = False,
                  tz: str | None = None, ttl_s: float = 3600.0, honour_update_mode: bool = False,
                  side: str = "src", host: str = "own", join_opts: dict | None = None,
-                 segment_time: str = "event"):
+                 segment_time: str = "event", only_new_edges: bool = False):
         self.spark = spark
         self.scope_loader = scope_loader
         self.store = store
@@ -58,6 +58,7 @@ class ProfileStream:
             raise ValueError("segment_time must be 'event' or 'processing'")
         # 'processing' keys segments by the wall clock when the batch runs, as the original job did
         self.segment_time = segment_time
+        self.only_new_edges = only_new_edges
         self._loaded_at = 0.0
         self._params: DataFrame | None = None
         self._scoped: DataFrame | None = None
@@ -98,7 +99,7 @@ class ProfileStream:
             .persist(StorageLevel.MEMORY_AND_DISK)
         try:
             replace = op.replace_set(self._params, "by_model") if self.honour_update_mode else None
-            self.store.write_batch(edges, batch_id, replace_models=replace)
+            self.store.write_batch(edges, batch_id, replace_models=replace, only_new=self.only_new_edges)
             if self.status is not None and not self._succeeded and not edges.isEmpty():
                 self.status.append(op.status_event(self._params, "success", F.current_timestamp()), batch_id)
                 self._succeeded = True

@@ -110,3 +110,18 @@ def test_export_profiles_to_staging_table(spark):
     got = {r.SRC_ID if "SRC_ID" in back.columns else r.src_id: r for r in back.collect()}
     assert got["a"].dst_ip_segment == '[{"name":"9","value":"10.0.0.2"},{"name":"10","value":"10.0.0.1"}]'
     assert got["b"].src_ip == '"1.1.1.1"' and got["a"].id.startswith("mdl_")
+
+
+def test_only_new_edges_and_replay(spark, tmp_dir):
+    st = EdgeStore(spark, f"{tmp_dir}/store").init()
+    b0 = edges(spark, [("m1", "a", 1, "x"), ("m1", "a", 2, "y")])
+    b1 = edges(spark, [("m1", "a", 1, "x"), ("m1", "a", 3, "z")])
+    st.write_batch(b0, 0, only_new=True)
+    st.write_batch(b1, 1, only_new=True)
+    assert st.raw_edges().where("batch_id = 1").count() == 1          # only the new edge was written
+    want = [("m1", "a", 1, "x"), ("m1", "a", 2, "y"), ("m1", "a", 3, "z")]
+    assert keyset(st.read_edges()) == want
+    st.write_batch(b1, 1, only_new=True)                                # replay: must not erase itself
+    assert keyset(st.read_edges()) == want
+    st.write_batch(b0, 0, only_new=True)                                # replay of an older batch
+    assert keyset(st.read_edges()) == want
