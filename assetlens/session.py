@@ -50,16 +50,19 @@ def get_session(master: str | None = None, app_name: str = "assetlens", **conf)
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set to a shared file system; only when it is unset
-    (local tests) a private temporary folder is created and registered.
+    On a cluster this must be set to a shared file system; only when it is unset (local tests)
+    a private temporary folder is created and registered.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="assetlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - some deployments reject runtime core settings
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
