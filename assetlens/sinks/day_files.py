@@ -14,15 +14,22 @@ def day_column(ts: str = "event_time", tz: str = DEFAULT_ZONE) -> F.Column:
 
 
 def write_day_files(flows: DataFrame, path: str, tz: str = DEFAULT_ZONE, fmt: str = "parquet",
-                    mode: str = "append") -> None:
-    flows.withColumn("dt", day_column("event_time", tz)).write.mode(mode).format(fmt).partitionBy("dt").save(path)
+                    mode: str = "append", max_records_per_file: int | None = None) -> None:
+    """``max_records_per_file`` rolls files by size (rows), the batch counterpart of a byte roll."""
+    w = flows.withColumn("dt", day_column("event_time", tz)).write.mode(mode).format(fmt).partitionBy("dt")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    w.save(path)
 
 
 def start_day_files_stream(flows: DataFrame, path: str, checkpoint: str, tz: str = DEFAULT_ZONE,
-                           fmt: str = "parquet", trigger: dict | None = None):
+                           fmt: str = "parquet", trigger: dict | None = None,
+                           max_records_per_file: int | None = None):
     """Streaming form: the file sink with a checkpoint writes every record exactly once;
-    the roll interval becomes the trigger (default one hour)."""
+    the roll interval becomes the trigger (default one hour), the size roll ``maxRecordsPerFile``."""
     w = (flows.withColumn("dt", day_column("event_time", tz)).writeStream.format(fmt)
          .option("path", path).option("checkpointLocation", checkpoint).partitionBy("dt"))
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
     w = w.trigger(**(trigger or {"processingTime": "1 hour"}))
     return w.start()

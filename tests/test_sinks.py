@@ -67,6 +67,11 @@ def test_day_files(spark, tmp_dir):
     write_day_files(df, f"{tmp_dir}/days")
     got = {r.flow_id: str(r.dt) for r in spark.read.parquet(f"{tmp_dir}/days").collect()}
     assert got == {"f1": "2024-01-01", "f2": "2024-01-02"}   # Asia/Shanghai = UTC+8
+    many = spark.range(10).selectExpr("cast(id as string) as flow_id",
+                                      "timestamp'2024-01-01 00:00:00' as event_time").coalesce(1)
+    write_day_files(many, f"{tmp_dir}/roll", max_records_per_file=3)
+    import glob
+    assert len(glob.glob(f"{tmp_dir}/roll/dt=2024-01-01/*.parquet")) == 4
 
 
 def test_jdbc_round_trip_embedded_derby(spark):
