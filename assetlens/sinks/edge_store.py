@@ -81,6 +81,10 @@ class EdgeStore:
     def _write(self, edges: DataFrame, gens: DataFrame, batch_id: int) -> None:
         rows = edges.select(*EDGE_KEY, "updated_at").join(bounded_broadcast(gens), "model_id", "inner") \
             .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        # REBALANCE groups rows by their output folder and lets AQE split an oversized model into
+        # advisory-size chunks: few, evenly sized files per (model, gen, batch) instead of one file
+        # per model in every task
+        rows = rows.hint("rebalance", "model_id", "gen", "batch_id")
         (rows.select(*[f.name for f in _STORED.fields]).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("model_id", "gen", "batch_id").parquet(self.data))
