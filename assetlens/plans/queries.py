@@ -53,6 +53,12 @@ class Inputs:
             cache[mode] = op.scope_assets(self.assets, self.runnable, mode)
         return cache[mode]
 
+    @cached_property
+    def next_params(self) -> DataFrame:
+        """The fixture's later parameter snapshot, modified 19 days after the first."""
+        raw = fx.model_params(self.spark, fx.PARAM_ROWS_NEXT)
+        return op.normalise_params(raw.withColumn("modify_time", F.col("modify_time") + F.expr("INTERVAL 19 DAYS")))
+
     @cached_property
     def kafka(self) -> DataFrame:
         return fx.kafka_rows(self.table("events"), self.table("customer"))
@@ -126,14 +132,9 @@ def normalised_params_q(spark, sf_dir):
         F.coalesce("n_exact", F.lit(0)).cast("long").alias("n_exact"))
 
 
-def _next_params(spark) -> DataFrame:
-    raw = fx.model_params(spark, fx.PARAM_ROWS_NEXT)
-    return op.normalise_params(raw.withColumn("modify_time", F.col("modify_time") + F.expr("INTERVAL 19 DAYS")))
-
-
 def latest_params_q(spark, sf_dir):
     inp = inputs(spark, sf_dir)
-    both = inp.params.unionByName(_next_params(spark))
+    both = inp.params.unionByName(inp.next_params)
     latest = op.latest_params(both)
     counts = _scope_counts(inp, latest, "contains", "n_assets")
     return latest.join(counts, "model_id", "left").select(
@@ -143,7 +144,7 @@ def latest_params_q(spark, sf_dir):
 
 def params_diff(spark, sf_dir):
     inp = inputs(spark, sf_dir)
-    d = op.diff_params(inp.params, _next_params(spark))
+    d = op.diff_params(inp.params, inp.next_params)
     n = inp.src_edges.groupBy("model_id").agg(F.count(F.lit(1)).alias("n_edges"))
     return d.join(n, "model_id", "left").select(
         "model_id", "added", "removed", "update_changed", "span_changed", "unit_changed", "num_changed",
