@@ -1,6 +1,5 @@
 """Parsing, completeness and quarantine."""
 
-from pyspark.sql import functions as F
 
 from assetlens import operators as op
 

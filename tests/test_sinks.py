@@ -3,7 +3,6 @@
 import datetime as dt
 import uuid
 
-from pyspark.sql import functions as F
 
 from assetlens import operators as op
 from assetlens.sinks import EdgeStore, StatusLog, write_day_files
