@@ -13,8 +13,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """Mark ``df`` for broadcast only when it provably has at most ``max_rows`` rows.
 
     ``bound`` is an upper bound the caller already proved (e.g. from a small config table);
-    otherwise the check reads at most ``max_rows + 1`` rows. Larger inputs are returned
-    unchanged, so the optimizer (and AQE at run time) picks a shuffle join for them.
+    otherwise the rows are counted up to ``max_rows + 1`` (one pass over ``df`` at most; callers
+    only pass asset- or config-side tables, never flows). Larger inputs are returned unchanged,
+    so the optimizer (and AQE at run time) picks a shuffle join for them.
     """
     if bound is not None and bound <= max_rows:
         return F.broadcast(df)
