@@ -62,3 +62,17 @@ def test_app_reads_params_and_assets_over_jdbc(spark, tmp_dir):
     want = {tuple(r) for r in op.named_csv_rows(
         op.profile_edges(op.complete_flows(inp.parsed), inp.scoped("exact"))).collect()}
     assert want <= got and {r[0] for r in got - want} <= {"m5"}
+
+
+def test_app_main_command_line(spark, tmp_dir):
+    inp = Inputs(spark, SF001)
+    inp.kafka.coalesce(1).write.parquet(f"{tmp_dir}/kafka")
+    inp.assets.write.parquet(f"{tmp_dir}/assets")
+    fx.model_params(spark).write.parquet(f"{tmp_dir}/params")
+    with open(f"{tmp_dir}/job.properties", "w") as fh:
+        fh.write(f"flows.format=kafka-files\nflows.path={tmp_dir}/kafka\nassets.path={tmp_dir}/assets\n"
+                 f"params.path={tmp_dir}/params\nstore.path={tmp_dir}/store\ntrigger=1 minute\n")
+    rc = app.main(["--config", f"{tmp_dir}/job.properties", "trigger=once", f"checkpoint={tmp_dir}/ckpt"])
+    assert rc == 0
+    from assetlens.sinks import EdgeStore
+    assert EdgeStore(spark, f"{tmp_dir}/store").read_edges().count() > 0
