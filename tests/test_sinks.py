@@ -129,3 +129,17 @@ def test_only_new_edges_and_replay(spark, tmp_dir):
     assert keyset(st.read_edges()) == want
     st.write_batch(b0, 0, only_new=True)                                # replay of an older batch
     assert keyset(st.read_edges()) == want
+
+
+def test_crash_between_data_and_commit(spark, tmp_dir):
+    """Replace mode: data written, commit lost -> old profile still visible; the retry reuses the generation."""
+    st = EdgeStore(spark, f"{tmp_dir}/store").init()
+    st.write_batch(edges(spark, [("m1", "a", 1, "old")]), 0)
+    rm = spark.createDataFrame([("m1",)], "model_id string")
+    new = edges(spark, [("m1", "a", 2, "new")])
+    gens = st._target_gens(rm, 1, replace=True)
+    st._write(new, gens, 1)                                   # the task wrote its files, then the job died
+    assert keyset(st.read_edges()) == [("m1", "a", 1, "old")]
+    st.write_batch(new, 1, replace_models=rm)                 # the batch is retried
+    assert keyset(st.read_edges()) == [("m1", "a", 2, "new")]
+    assert {(r.model_id, r.gen) for r in st.generations().collect()} == {("m1", 1)}
