@@ -4,6 +4,7 @@ Run as ``python -m assetlens.app [--config job.properties] key=value ...``. Keys
 
   flows.format      kafka | kafka-files | json-files        (default kafka)
   flows.path        folder for the file formats
+  flows.max.files   files per micro-batch for the file formats (the poll cap of the file sources)
   kafka.*, topic, bootstrap.servers, group.id, max.poll.records   Kafka client settings (A1, A10)
   assets.url / assets.table, params.url / params.table     JDBC inventory and parameters, or
   assets.path / params.path                                parquet folders with the same columns
@@ -59,10 +60,12 @@ def flow_source(spark: SparkSession, opts: dict[str, str]) -> DataFrame:
         client = {k: v for k, v in opts.items() if k in ("topic", "bootstrap.servers", "group.id")
                   or k.startswith("kafka.")}
         return kafka_envelope(read_kafka(spark, client, True, int(cap) if cap else None))
+    max_files = int(opts["flows.max.files"]) if opts.get("flows.max.files") else None
     if fmt == "kafka-files":
-        return kafka_envelope(read_kafka_files(spark, opts["flows.path"], streaming=True))
+        return kafka_envelope(read_kafka_files(spark, opts["flows.path"], streaming=True,
+                                               max_files_per_trigger=max_files))
     if fmt == "json-files":
-        return read_flow_files(spark, opts["flows.path"], streaming=True)
+        return read_flow_files(spark, opts["flows.path"], streaming=True, max_files_per_trigger=max_files)
     raise ValueError(f"unknown flows.format {fmt}")
 
 
