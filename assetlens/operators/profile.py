@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import segment_candidates
-from ..functions.segments import key_for_span
+from ..functions.segments import SPAN_KEYS, key_for_span
 from ..schemas import EDGE_KEY
 from .common import ASSET_BROADCAST_ROWS, bounded_broadcast, join_small_side
 
@@ -30,16 +30,29 @@ def _host(side: str, host: str) -> tuple[str, str]:
     return f"{side}_id", f"{side if host == 'own' else peer}_ip"
 
 
+def model_spans(params: DataFrame) -> list[int]:
+    """The result spans of the given (small) model table."""
+    return sorted({r[0] for r in params.select("span").distinct().collect() if r[0] is not None})
+
+
 def preaggregate(flows: DataFrame, id_col: str, ip_col: str, tz: str | None = None,
-                 count: bool = False, time_col: str = "event_time") -> DataFrame:
+                 count: bool = False, time_col: str = "event_time", spans=None) -> DataFrame:
     """(entity_id, host_ip, seg_hour, seg_isodow, seg_month, updated_at[, n]).
 
     Segment keys come from ``time_col``: the flow's event time by default; a column holding
-    ``current_timestamp()`` gives the wall-clock keys of the original job.
+    ``current_timestamp()`` gives the wall-clock keys of the original job. With ``spans`` (the
+    spans of the models in play) only the keys those spans need are computed; the others are
+    constant nulls, so e.g. hourly models pre-aggregate on (asset, ip, hour) alone and far fewer
+    rows reach the shuffle.
     """
+    cands = segment_candidates(time_col, tz)
+    if spans is not None:
+        needed = {SPAN_KEYS[s] for s in spans if s in SPAN_KEYS}
+        names = ["seg_hour", "seg_isodow", "seg_month"]
+        cands = [c if n in needed else F.lit(None).cast("int").alias(n) for c, n in zip(cands, names)]
     f = flows.where(F.col(ip_col).isNotNull()).select(
         F.col(id_col).alias("entity_id"), F.col(ip_col).alias("host_ip"),
-        *segment_candidates(time_col, tz), F.col(time_col).alias("event_time"))
+        *cands, F.col(time_col).alias("event_time"))
     aggs = [F.max("event_time").alias("updated_at")]
     if count:
         aggs.append(F.count(F.lit(1)).alias("n"))
@@ -48,7 +61,7 @@ def preaggregate(flows: DataFrame, id_col: str, ip_col: str, tz: str | None = No
 
 def profile_edges(flows: DataFrame, scoped: DataFrame, side: str = "src", host: str = "own",
                   tz: str | None = None, max_rows: int = ASSET_BROADCAST_ROWS,
-                  salt_buckets: int = 1, time_col: str = "event_time") -> DataFrame:
+                  salt_buckets: int = 1, time_col: str = "event_time", spans=None) -> DataFrame:
     """Edges of the assets in scope, matched on the flow's ``side`` asset id.
 
     host='own' (parity): the IP the asset itself used in the flow; host='peer': the other end.
@@ -56,7 +69,7 @@ def profile_edges(flows: DataFrame, scoped: DataFrame, side: str = "src", host:
     partial aggregate; only that reduced set meets the (model, asset) table.
     """
     id_col, ip_col = _host(side, host)
-    pre = preaggregate(flows, id_col, ip_col, tz, time_col=time_col)
+    pre = preaggregate(flows, id_col, ip_col, tz, time_col=time_col, spans=spans)
     models = scoped.select("model_id", "span", F.col("entity_id").alias("_eid"))
     j = join_small_side(pre, models, ["entity_id"], ["_eid"], "inner", max_rows, salt_buckets,
                         ["entity_id", "host_ip"])

@@ -67,9 +67,13 @@ class Inputs:
     def parsed(self) -> DataFrame:
         return op.parse_flows(kafka_envelope(self.kafka))
 
+    @cached_property
+    def spans(self) -> list[int]:
+        return op.model_spans(self.runnable)
+
     @cached_property
     def src_edges(self) -> DataFrame:
-        return op.profile_edges(self.complete, self.scoped("contains"), side="src", host="own")
+        return op.profile_edges(self.complete, self.scoped("contains"), side="src", host="own", spans=self.spans)
 
 
 _INPUTS: dict[tuple[str, str], Inputs] = {}
@@ -221,12 +225,14 @@ def profile_src(spark, sf_dir):
 
 def profile_src_peer(spark, sf_dir):
     inp = inputs(spark, sf_dir)
-    return op.named_csv_rows(op.profile_edges(inp.complete, inp.scoped("contains"), side="src", host="peer"))
+    return op.named_csv_rows(op.profile_edges(inp.complete, inp.scoped("contains"), side="src", host="peer",
+                                              spans=inp.spans))
 
 
 def profile_dst(spark, sf_dir):
     inp = inputs(spark, sf_dir)
-    return op.named_csv_rows(op.profile_edges(inp.complete, inp.scoped("contains"), side="dst", host="own"))
+    return op.named_csv_rows(op.profile_edges(inp.complete, inp.scoped("contains"), side="dst", host="own",
+                                              spans=inp.spans))
 
 
 def profile_match(spark, sf_dir):
@@ -269,7 +275,7 @@ def _split_edges(inp: Inputs):
     scoped = inp.scoped("contains")
     before = inp.complete.where(F.col("event_time") < F.lit(fx.SPLIT_AT).cast("timestamp"))
     after = inp.complete.where(F.col("event_time") >= F.lit(fx.SPLIT_AT).cast("timestamp"))
-    return op.profile_edges(before, scoped), op.profile_edges(after, scoped)
+    return op.profile_edges(before, scoped, spans=inp.spans), op.profile_edges(after, scoped, spans=inp.spans)
 
 
 def _merged(spark, sf_dir, mode):

@@ -77,6 +77,7 @@ class ProfileStream:
             self._params.unpersist()
             self._scoped.unpersist()
         self._params, self._scoped = params, scoped
+        self._spans = op.model_spans(params)      # config-sized: decides the pre-aggregation keys
         self._loaded_at = time.monotonic()
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -95,7 +96,7 @@ class ProfileStream:
             flows, time_col = flows.withColumn("_processing_time", F.current_timestamp()), "_processing_time"
         # the batch's edges are used by up to three writes and a probe: compute them once
         edges = op.profile_edges(flows, self._scoped, side=self.side, host=self.host, tz=self.tz,
-                                 time_col=time_col, **self.join_opts) \
+                                 time_col=time_col, spans=self._spans, **self.join_opts) \
             .persist(StorageLevel.MEMORY_AND_DISK)
         try:
             replace = op.replace_set(self._params, "by_model") if self.honour_update_mode else None

@@ -167,3 +167,17 @@ def test_latest_status(spark):
                                 ("m2", "failed", T0 - dt.timedelta(1))], "model_id string, status string, at timestamp")
     got = {r.model_id: r.status for r in op.latest_status(ev).collect()}
     assert got == {"m1": "success", "m2": "running"}
+
+
+def test_preaggregation_limited_to_needed_spans(spark):
+    f, a, p, flows, assets = make(spark)
+    for model in ("m1", "m2", "m3"):
+        scoped = op.scope_assets(a, p.where(f"model_id = '{model}'"), "exact")
+        full = keyset(op.profile_edges(f, scoped))
+        spans = op.model_spans(p.where(f"model_id = '{model}'"))
+        lean = op.profile_edges(f, scoped, spans=spans)
+        assert keyset(lean) == full and full
+    # hourly models: the pre-aggregate groups on the hour only (weekday and month are constant)
+    pre = op.preaggregate(f, "src_id", "src_ip", spans=[1])
+    assert pre.where("seg_isodow is not null or seg_month is not null").count() == 0
+    assert pre.count() < op.preaggregate(f, "src_id", "src_ip").count()
