@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import segment_candidates
+from ..functions import segment_candidates, segment_key
 from ..functions.segments import SPAN_KEYS, key_for_span
 from ..schemas import EDGE_KEY
 from .common import ASSET_BROADCAST_ROWS, bounded_broadcast, join_small_side
@@ -79,14 +79,15 @@ def profile_edges(flows: DataFrame, scoped: DataFrame, side: str = "src", host:
 
 
 def match_edges(pairs: DataFrame, tz: str | None = None) -> DataFrame:
-    """Edges from matcher pairs (``touch_pairs`` output with the model's span)."""
-    pre = pairs.select("model_id", "span", "entity_id", F.col("ip").alias("host_ip"),
-                       *segment_candidates("event_time", tz), "event_time") \
-        .groupBy("model_id", "span", "entity_id", "host_ip", *_SEGS) \
-        .agg(F.max("event_time").alias("updated_at"))
-    edges = pre.select("model_id", "entity_id", key_for_span("span").cast("int").alias("segment_key"),
-                       "host_ip", "updated_at")
-    return dedupe_edges(edges)
+    """Edges from matcher pairs (``touch_pairs`` output with the model's span).
+
+    Each pair already knows its model's span, so its one segment key is computed directly and the
+    aggregation runs on (model, asset, segment, ip) with map-side partial aggregation.
+    """
+    e = pairs.select("model_id", "entity_id",
+                     segment_key("event_time", F.col("span"), tz).alias("segment_key"),
+                     F.col("ip").alias("host_ip"), F.col("event_time").alias("updated_at"))
+    return dedupe_edges(e.where(F.col("segment_key").isNotNull()))
 
 
 def _span_keys() -> F.Column:
@@ -108,7 +109,7 @@ def multiset_counts(flows: DataFrame, params: DataFrame, side: str = "src",
     distinct IPs, not by flows.
     """
     id_col, ip_col = _host(side, "own")
-    pre = preaggregate(flows, id_col, ip_col, tz, count=True)
+    pre = preaggregate(flows, id_col, ip_col, tz, count=True, spans=model_spans(params))
     keyed = pre.select("entity_id", "host_ip", "n", _span_keys().alias("k")) \
         .select("entity_id", "host_ip", "n", "k.span", "k.segment_key")
     models = bounded_broadcast(params.select("model_id", "span"))
