@@ -20,6 +20,7 @@ Run as ``python -m assetlens.app [--config job.properties] key=value ...``. Keys
   salt.buckets      salt for hot assets when the asset side is shuffled (default 1 = off)
   segment.time      event | processing: segment keys from event time or the wall clock (default event)
   only.new.edges    true: write only edges not stored yet (anti join with the profile; default false)
+  compact.every     rewrite the profile as one generation every N batches (default 0 = never)
 """
 
 from __future__ import annotations
@@ -80,7 +81,8 @@ def start(spark: SparkSession, opts: dict[str, str]):
                         join_opts={"max_rows": int(opts.get("broadcast.rows", "1000000")),
                                    "salt_buckets": int(opts.get("salt.buckets", "1"))},
                         segment_time=opts.get("segment.time", "event"),
-                        only_new_edges=opts.get("only.new.edges", "false").lower() == "true")
+                        only_new_edges=opts.get("only.new.edges", "false").lower() == "true",
+                        compact_every=int(opts.get("compact.every", "0")))
     trig = opts.get("trigger", "1 minute")
     trigger = {"availableNow": True} if trig == "once" else {"processingTime": trig}
     checkpoint = opts.get("checkpoint") or scratch_path(spark, "assetlens/checkpoint")

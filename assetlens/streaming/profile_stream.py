@@ -40,7 +40,7 @@ class ProfileStream:
                  prepare: Callable[[DataFrame], DataFrame] | None = None, parse: bool = False,
                  tz: str | None = None, ttl_s: float = 3600.0, honour_update_mode: bool = False,
                  side: str = "src", host: str = "own", join_opts: dict | None = None,
-                 segment_time: str = "event", only_new_edges: bool = False):
+                 segment_time: str = "event", only_new_edges: bool = False, compact_every: int = 0):
         self.spark = spark
         self.scope_loader = scope_loader
         self.store = store
@@ -59,6 +59,8 @@ class ProfileStream:
         # 'processing' keys segments by the wall clock when the batch runs, as the original job did
         self.segment_time = segment_time
         self.only_new_edges = only_new_edges
+        # every N batches the current profile is rewritten as one generation (0 = never)
+        self.compact_every = compact_every
         self._loaded_at = 0.0
         self._params: DataFrame | None = None
         self._scoped: DataFrame | None = None
@@ -106,6 +108,10 @@ class ProfileStream:
                 self._succeeded = True
         finally:
             edges.unpersist()
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            # negative ids keep compaction folders apart from stream batches; a replay of this batch
+            # compacts again into the generation it committed
+            self.store.compact(batch_id=-(batch_id + 1))
 
     def close(self) -> None:
         """Release the cached static-side snapshot (call after the query has stopped)."""

@@ -234,3 +234,17 @@ def test_failed_batch_is_replayed_after_restart(spark, tmp_dir):
     q2.awaitTermination()
     assert rows(op.named_csv_rows(store2.read_edges())) == rows(batch_profile(spark))
     assert store2.raw_edges().select("batch_id").distinct().count() == 3
+
+
+def test_periodic_compaction(spark, tmp_dir):
+    job, store, _ = _job(spark, f"{tmp_dir}/run")
+    job.compact_every = 2
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    for i in range(3):
+        job.process(ev.where(f"event_id % 3 = {i}"), i)
+    assert rows(op.named_csv_rows(store.read_edges())) == rows(batch_profile(spark))
+    gens = {r.model_id: r.gen for r in store.generations().collect()}
+    assert gens and all(g == 1 for g in gens.values())          # compacted once after batch 1
+    job.process(ev.where("event_id % 3 = 1"), 1)                  # replay of the compacting batch
+    assert rows(op.named_csv_rows(store.read_edges())) == rows(batch_profile(spark))
+    assert {r.model_id: r.gen for r in store.generations().collect()} == gens
