@@ -37,10 +37,15 @@ from .sources.kafka import kafka_envelope
 from .streaming import ProfileStream
 
 
+def jdbc_extra(opts: dict[str, str], name: str) -> dict[str, str]:
+    """Reader options given as ``<name>.jdbc.<option>=value`` (driver, user, fetchsize, ...)."""
+    prefix = f"{name}.jdbc."
+    return {k[len(prefix):]: v for k, v in opts.items() if k.startswith(prefix)}
+
+
 def _table(spark: SparkSession, opts: dict[str, str], name: str) -> DataFrame:
     if opts.get(f"{name}.url"):
-        extra = {k[len(name) + 9:]: v for k, v in opts.items() if k.startswith(f"{name}.jdbc.")}
-        return jdbc.read_jdbc(spark, opts[f"{name}.url"], opts.get(f"{name}.table", name), **extra)
+        return jdbc.read_jdbc(spark, opts[f"{name}.url"], opts.get(f"{name}.table", name), **jdbc_extra(opts, name))
     return spark.read.parquet(opts[f"{name}.path"])
 
 

@@ -76,3 +76,9 @@ def test_app_main_command_line(spark, tmp_dir):
     assert rc == 0
     from assetlens.sinks import EdgeStore
     assert EdgeStore(spark, f"{tmp_dir}/store").read_edges().count() > 0
+
+
+def test_jdbc_option_prefix():
+    opts = {"params.jdbc.driver": "d", "params.jdbc.fetchsize": "7", "assets.jdbc.user": "u", "params.url": "x"}
+    assert app.jdbc_extra(opts, "params") == {"driver": "d", "fetchsize": "7"}
+    assert app.jdbc_extra(opts, "assets") == {"user": "u"}
