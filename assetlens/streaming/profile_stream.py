@@ -85,13 +85,27 @@ class ProfileStream:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         self._refresh()
         df = self.prepare(batch) if self.prepare else batch
+        parsed = None
         if self.parse:
             parsed = op.parse_flows(df)
             if self.quarantine_path:
+                # parsed once for both uses: the quarantine write and the profile
+                parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
                 (op.quarantine(parsed).withColumn("batch_id", F.lit(batch_id).cast("long"))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(self.quarantine_path))
             df = parsed
+        try:
+            self._write_profile(df, batch_id)
+        finally:
+            if parsed is not None and self.quarantine_path:
+                parsed.unpersist()
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            # negative ids keep compaction folders apart from stream batches; a replay of this batch
+            # compacts again into the generation it committed
+            self.store.compact(batch_id=-(batch_id + 1))
+
+    def _write_profile(self, df: DataFrame, batch_id: int) -> None:
         flows = op.complete_flows(df)
         time_col = "event_time"
         if self.segment_time == "processing":
@@ -108,10 +122,6 @@ class ProfileStream:
                 self._succeeded = True
         finally:
             edges.unpersist()
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            # negative ids keep compaction folders apart from stream batches; a replay of this batch
-            # compacts again into the generation it committed
-            self.store.compact(batch_id=-(batch_id + 1))
 
     def close(self) -> None:
         """Release the cached static-side snapshot (call after the query has stopped)."""
