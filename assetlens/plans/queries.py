@@ -358,3 +358,40 @@ QUERIES = {
     "flow_day_files": flow_day_files,
     "profile_stream": profile_stream,
 }
+
+# SURVEY section 2 ids exercised by each query (also the query's docstring).
+OPERATORS = {
+    "flow_parse_complete": "A1 C1 C2 C6 F1: Kafka-shaped rows -> parsed flows with both key spellings -> complete flows",
+    "flow_quarantine": "H8 C1 C2: rejected records counted by reason",
+    "kafka_envelope": "A2 C7: key, metadata and the upper-case-key JSON of each parsed record",
+    "active_params": "A6 C3 F7 F8 F9: active, runnable models with rate, cycle and in-scope asset count",
+    "normalised_params": "A8 F2 F7 F8 F9 D3: every model normalised, with asset counts for both group modes",
+    "latest_params": "E6 A8: last version of each model over two snapshots",
+    "params_diff": "D7 H7: per-model change flags and the stored edges affected",
+    "asset_scope_contains": "A3 C4 D3: assets per model by literal group containment",
+    "asset_scope_exact": "A5 C4 D3 F6: assets per model by exact group entry",
+    "asset_ip_inventory": "F4: one row per (asset, IP)",
+    "area_ip_index": "E5 F4: IPs per (area, asset)",
+    "flow_src_asset": "D1 C5: flows joined with the assets in scope on the source id",
+    "flow_dst_asset": "D2 C5: flows joined with the assets in scope on the destination id",
+    "flow_touch_semi": "D4 C8: flows touching an asset of their area, once per model",
+    "flow_touch_pairs": "D5: (asset, matched IP, side) per touching flow, source IP first",
+    "segment_keys": "F3 F11: hour, ISO weekday and month in UTC and in Asia/Shanghai for events and lineitem flows",
+    "profile_src": "E1 F3: distinct host IPs per (model, asset, segment), source side, own IP",
+    "profile_src_peer": "E1: the same with the peer IP (the documented meaning of the profile)",
+    "profile_dst": "E1 D2: destination side, own IP",
+    "profile_match": "E2 D5: profile from the area/IP matcher",
+    "profile_multiset_csv": "E3: every flow's IP, comma-joined",
+    "profile_keyed_json": "G1 F5 F10: stored profiles, keyed encoding",
+    "profile_named_list": "G1 F5 F10: stored profiles, named-list encoding",
+    "profile_named_csv": "G1 F5 F10: stored profiles, named-csv encoding",
+    "profile_decode": "G2: keyed profiles decoded back to edges",
+    "profile_accumulate": "B3 E4 D6 A9: history and new edges merged (set union)",
+    "profile_replace": "B2: history replaced by new edges",
+    "profile_by_mode": "B2 B3: each model merged by its update mode",
+    "status_latest": "B7 E6: current status per model from the status events",
+    "flow_day_files": "B6 F11: flows per local day (the day-file partitions)",
+    "profile_stream": "A1 B1 B5 H1-H6: the streaming job over the events file stream, read back from the edge store",
+}
+for _name, _fn in QUERIES.items():
+    _fn.__doc__ = OPERATORS[_name]
