@@ -65,3 +65,23 @@ def test_contains_rewrite_equals_literal_substring(spark, groups, lists):
     want = sorted((f"m{j}", f"a{i}") for (i, g), (j, l) in itertools.product(enumerate(groups), enumerate(lists))
                   if g is not None and l is not None and g in l)
     assert got == want
+
+
+EDGE = st.tuples(st.sampled_from(["m1", "m2"]), st.sampled_from(["a", "b", "c"]), st.integers(0, 23),
+                 st.sampled_from(["10.0.0.1", "10.0.0.2", "10.0.1.1", "192.168.8.97"]))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(EDGE, min_size=1, max_size=25))
+def test_encode_decode_round_trip(spark, edge_rows):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    e = spark.createDataFrame([(*r, t) for r in edge_rows],
+                              "model_id string, entity_id string, segment_key int, host_ip string, updated_at timestamp")
+    scoped = spark.createDataFrame([(m, a, '{"m":["10.0.0.1"]}') for m in ("m1", "m2") for a in "abc"],
+                                   "model_id string, entity_id string, asset_ip string")
+    want = sorted(set(edge_rows))
+    for enc in op.ENCODINGS:
+        got = sorted({(r.model_id, r.entity_id, r.segment_key, r.host_ip)
+                      for r in op.decode_profiles(op.render_profiles(e, scoped, enc), enc).collect()})
+        assert got == want, enc
