@@ -12,7 +12,8 @@ Run as ``python -m assetlens.app [--config job.properties] key=value ...``. Keys
   child.type        model child type                       (default 1)
   store.path        edge store root (default: <spark.checkpoint.dir>/assetlens/store)
   checkpoint        streaming checkpoint (default: <spark.checkpoint.dir>/assetlens/checkpoint)
-  trigger           processing-time interval, e.g. "1 minute"; "once" = availableNow
+  trigger           processing-time interval, e.g. "1 minute"; "once" = availableNow; "model" = the
+                    shortest model rate (F8) among the runnable models
   refresh.seconds   TTL of the static side (default 3600)
   update.mode       honour | accumulate                    (default accumulate, as the live job)
   zone              zone of the segment keys               (default: session zone)
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import operators as op
 from .session import get_session, scratch_path
@@ -75,6 +76,17 @@ def flow_source(spark: SparkSession, opts: dict[str, str]) -> DataFrame:
     raise ValueError(f"unknown flows.format {fmt}")
 
 
+def resolve_trigger(spark: SparkSession, opts: dict[str, str]) -> dict:
+    trig = opts.get("trigger", "1 minute")
+    if trig == "once":
+        return {"availableNow": True}
+    if trig == "model":
+        runnable, _ = scope_loader(spark, opts)()
+        secs = runnable.agg(F.min("rate_seconds")).first()[0]
+        return {"processingTime": f"{int(secs) if secs else 60} seconds"}
+    return {"processingTime": trig}
+
+
 def start(spark: SparkSession, opts: dict[str, str]):
     root = opts.get("store.path") or scratch_path(spark, "assetlens/store")
     store = EdgeStore(spark, root).init()
@@ -88,8 +100,7 @@ def start(spark: SparkSession, opts: dict[str, str]):
                         segment_time=opts.get("segment.time", "event"),
                         only_new_edges=opts.get("only.new.edges", "false").lower() == "true",
                         compact_every=int(opts.get("compact.every", "0")))
-    trig = opts.get("trigger", "1 minute")
-    trigger = {"availableNow": True} if trig == "once" else {"processingTime": trig}
+    trigger = resolve_trigger(spark, opts)
     checkpoint = opts.get("checkpoint") or scratch_path(spark, "assetlens/checkpoint")
     return job.start(flow_source(spark, opts), checkpoint, trigger, query_name="assetlens_profile"), store, status
 

@@ -82,3 +82,13 @@ def test_jdbc_option_prefix():
     opts = {"params.jdbc.driver": "d", "params.jdbc.fetchsize": "7", "assets.jdbc.user": "u", "params.url": "x"}
     assert app.jdbc_extra(opts, "params") == {"driver": "d", "fetchsize": "7"}
     assert app.jdbc_extra(opts, "assets") == {"user": "u"}
+
+
+def test_trigger_from_model_rate(spark, tmp_dir):
+    inp = Inputs(spark, SF001)
+    inp.assets.write.parquet(f"{tmp_dir}/assets")
+    fx.model_params(spark).write.parquet(f"{tmp_dir}/params")
+    base = {"assets.path": f"{tmp_dir}/assets", "params.path": f"{tmp_dir}/params"}
+    assert app.resolve_trigger(spark, {**base, "trigger": "model"}) == {"processingTime": "3600 seconds"}
+    assert app.resolve_trigger(spark, {**base, "trigger": "once"}) == {"availableNow": True}
+    assert app.resolve_trigger(spark, {**base, "trigger": "5 minutes"}) == {"processingTime": "5 minutes"}
