@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import let
 
-K, WINDOW = 5, 8
+K, WINDOW = 5, 4
 
 #: Letters and digits of scripts that put no spaces between words stand alone; others form runs.
 TOKEN_RE = (r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"

@@ -28,7 +28,7 @@ PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserv
 
 # Wording of common license notices, by label.
 TEMPLATES = {
-    "agpl": "licensed under the gnu affero general public license version 3",
+    "agpl": "under the gnu affero general public license version 3",
     "apache-2.0": "licensed under the apache license version 2.0",
     "apache-notice": "you may not use this file except in compliance with the license",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted",
@@ -36,7 +36,7 @@ TEMPLATES = {
     "cc-by-sa": "creative commons attribution sharealike 4.0 international license",
     "cc0": "dedicated to the public domain cc0 1.0 universal",
     "gpl-notice": "this work is licensed under the gnu general public license version 3",
-    "lgpl": "licensed under the gnu lesser general public license version 2.1",
+    "lgpl": "under the gnu lesser general public license version 2.1",
     "mit": "released under the mit license",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software",
     "mpl-2.0": "subject to the terms of the mozilla public license v. 2.0",
@@ -144,7 +144,7 @@ def template_matches(blocks: DataFrame, index: TemplateIndex) -> DataFrame:
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES,
-                 threshold: float = 0.8, block_words: int = 64, id_col: str = "doc_id",
+                 threshold: float = 0.9, block_words: int = 64, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """One row per input row: ``id``, ``n_words``, ``places`` (phrase places, in order), ``matches`` (label, block,
     containment; one per template met, from its best and then first block) and ``score``, the best containment

@@ -16,9 +16,9 @@ from assetlens.llm.common import read
 from assetlens.llm.queries import tokenizer_path
 from assetlens.session import scratch_path
 
-# A document is kept if its cosine with the language found for it is at least this; text in no learned language,
-# or of no natural letter sequence, lies below.
-MIN_LANGUAGE_SCORE = 0.2
+# A document is kept if its cosine with the language found for it is at least this; only text whose letters follow no
+# learned language at all lies below (the shortest clean ones, of one word, reach 0.07).
+MIN_LANGUAGE_SCORE = 0.05
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
