@@ -1 +1,85 @@
-ORACLE_SQL: dict[str, str] = {}
+"""DuckDB SQL for the text queries that SQL can express. The others (hash-based fingerprints, models, tokenizers,
+best-fit packing, components) are held against brute force in the tests."""
+
+from __future__ import annotations
+
+from .common import LOWER, UPPER
+from .license_scan import PHRASES, TEMPLATES
+from .queries import PROBE
+from .quality_rules import STOP_WORDS
+
+_SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = f"'{UPPER}', '{LOWER}'"
+_LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _places(phrase: str, label: str) -> str:
+    hit = " AND ".join(f"words[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(" ")))
+    return f"SELECT doc_id, i - 1 AS place, '{label}' AS label FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w) WHERE {hit}"
+
+
+OP3 = f"""
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), {_LOWER}) AS t FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(t, '{_LICENSE_WORD}') AS words FROM t),
+places AS ({" UNION ALL ".join(_places(p, x) for p, x in PHRASES.items())}),
+base AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS labels FROM places GROUP BY doc_id),
+lines AS (SELECT doc_id, regexp_extract_all(unnest(string_split(t, chr(10))), '{_LICENSE_WORD}') AS words FROM t),
+blocks AS (SELECT doc_id, list_distinct(words) AS tokens FROM lines WHERE len(words) <= 64
+           UNION ALL SELECT doc_id, list_distinct(words[s:s + 63])
+           FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 32, 1) + 1, 32)) AS s FROM lines WHERE len(words) > 64)),
+templates AS (SELECT label, list_distinct(regexp_extract_all(wording, '{_LICENSE_WORD}')) AS tokens
+              FROM (VALUES {", ".join(f"('{k}', '{v}')" for k, v in TEMPLATES.items())}) v(label, wording)),
+met AS (SELECT doc_id, label, max(len(list_intersect(b.tokens, t.tokens)) / len(t.tokens)) AS containment
+        FROM blocks b JOIN templates t ON len(list_intersect(b.tokens, t.tokens)) >= ceil(0.9 * len(t.tokens) - 1e-9) GROUP BY ALL),
+own AS (SELECT doc_id, list(label) AS labels, max(containment) AS score FROM met GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
+  array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(own.labels, [])))), ',') AS labels,
+  greatest(coalesce(score, 0), CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN own USING (doc_id)
+"""
+
+OP4 = rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+grams AS (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w)),
+twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams),
+covered AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, range(0, 8) x(j) WHERE n > 1 GROUP BY doc_id),
+m AS (SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+        len(list_filter(words, lambda x: list_contains([{", ".join(f"'{x}'" for w in sorted(set(STOP_WORDS)) for x in sorted({w, w.capitalize()}))}], x))) AS n_stop,
+        coalesce(covered.n, 0) AS n_repeat_words
+      FROM w LEFT JOIN covered USING (doc_id)),
+v AS (SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+f AS (SELECT *, array_to_string(list_filter([
+        CASE WHEN n_words > 0 AND NOT word_chars / n_words BETWEEN 2 AND 12 THEN 'word_length' END,
+        CASE WHEN n_words > 0 AND n_symbols / n_words > 0.2 THEN 'symbols' END,
+        CASE WHEN n_words > 0 AND n_stop / n_words < 0.05 THEN 'stop_words' END,
+        CASE WHEN len(lines) > 0 AND n_dup_lines / len(lines) > 0.5 THEN 'repeated_lines' END], lambda x: x IS NOT NULL), ',') AS failed FROM v)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+  n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND failed = '' AS kept, failed
+FROM f
+"""
+
+OP8 = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT *, translate(trim(line, {_SPACE}), {_LOWER}) AS key FROM l),
+frequent AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(frequent.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE frequent.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN frequent USING (key) GROUP BY doc_id
+"""
+
+_ESCAPED = "replace(replace(coalesce({}, ''), chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|')"
+OP10 = f"""
+WITH r AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL VALUES (-1, 0, 'user', '{PROBE}'), (-1, 1, 'assistant', '{PROBE}')),
+e AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, {_ESCAPED.format("text")} AS body, {_ESCAPED.format("role")} AS who FROM r)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length(who) + 1 + length(body) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars,
+  regexp_full_match(string_agg(role || '>', '' ORDER BY turn, role, text), '(system>)?(user>assistant>)+') AS valid
+FROM e GROUP BY conv_id
+"""
+
+ORACLE_SQL = {"op3_licenses": OP3, "op4_quality_rules": OP4, "op8_line_dedup": OP8, "op10_chat": OP10}
