@@ -106,8 +106,8 @@ class LanguageModel:
 
     def __init__(self, prototypes: dict[str, np.ndarray]):
         self.names = sorted(prototypes)
-        self.matrix = np.array([prototypes[x] / max(1e-9, float(np.linalg.norm(prototypes[x]))) for x in self.names],
-                               np.float32).reshape(len(self.names), -1)
+        length = lambda v: max(1e-9, float(np.linalg.norm(v)))
+        self.matrix = np.array([prototypes[x] / length(prototypes[x]) for x in self.names] or np.zeros((0, DIM)), np.float32)
 
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
         """``lang`` and ``score`` (the cosine, at least 0) of each text; ties go to the first language by name."""

@@ -1,0 +1,67 @@
+import math
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from assetlens.llm import license_scan as ls
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain(text, templates, threshold, block_words):
+    lines = [WORD.findall(x) for x in (text or "").translate(LOWER).split("\n")]
+    words = [w for x in lines for w in x]
+    blocks = []
+    for x in lines:
+        step = block_words // 2
+        blocks += [x] if len(x) <= block_words else [x[s:s + block_words] for s in range(0, max(len(x) - step, 1), step)]
+    matches = {}
+    for n, b in enumerate(blocks):
+        for label, wording in templates.items():
+            t = set(ls.tokens_of(wording))
+            common = len(t & set(b))
+            if common >= max(1, math.ceil(threshold * len(t) - 1e-9)):
+                best = matches.get(label)
+                if best is None or common / len(t) > best[1]:
+                    matches[label] = (n, common / len(t))
+    places = sorted((i, label) for p, label in ls.PHRASES.items() for i in range(len(words)) if words[i:i + len(p.split())] == p.split())
+    return len(words), places, {k: v for k, v in sorted(matches.items())}
+
+
+def scan(df, **kw):
+    return [(r["n_words"], [(p["at"], p["label"]) for p in r["places"]],
+             {m["label"]: (m["block"], m["containment"]) for m in r["matches"]})
+            for r in ls.license_scan(df, **kw).orderBy("id").collect()]
+
+
+def test_join_is_exact(spark):
+    """Random blocks near the threshold, with templates that share most tokens, against all pairs."""
+    rnd = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(30)]
+    templates = {f"t{i}": " ".join(rnd.sample(vocabulary, rnd.randrange(2, 12))) for i in range(12)}
+    texts = ["\n".join(" ".join(rnd.choice(vocabulary[:rnd.choice((8, 30))]) for _ in range(rnd.randrange(0, 40)))
+                       for _ in range(rnd.randrange(1, 4))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for threshold in (0.5, 0.8, 1.0):
+        assert scan(df, templates=templates, threshold=threshold, block_words=16) == [
+            plain(t, templates, threshold, 16) for t in texts]
+
+
+def test_phrases_across_lines_and_marks(spark):
+    texts = ["CC-BY and cc\nby; cc  by", "GNU General, Public\tLicense", "all rights reserved all rights reserved", "ccby cc byé by cc", "K cc by"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert scan(df) == [plain(t, ls.TEMPLATES, 0.9, 64) for t in texts]
+
+
+def test_edges(spark, edge_docs, no_docs):
+    rows = ls.license_scan(edge_docs).collect()
+    assert len(rows) == 10 and all(r["score"] == 0.0 and not r["matches"] for r in rows)
+    assert ls.license_scan(no_docs).count() == 0
+
+
+def test_order_counts_the_whole_corpus(spark):
+    df = spark.createDataFrame([(["b", "b", "a", "z"],), (["b", "c"],)], "words array<string>")
+    assert ls.token_order(df, ["a", "b", "c", "d"]) == ["d", "a", "c", "b"]
+    assert df.select(F.lit(1)).count() == 2

@@ -1,0 +1,113 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from assetlens.llm import simhash as sh
+from assetlens.llm.components import components
+
+
+def plain_print(text, shingle=4, seed=42):
+    words = (text or "").encode().lower().split()
+    parts = [b" ".join(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(p, seed) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(nodes, near):
+    """Smallest node reachable over ``near`` pairs."""
+    label = {n: n for n in nodes}
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in near:
+        a, b = find(a), find(b)
+        label[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("text", ["", " \n", "One", "one two three", "one two three four", "A b c d e f g é É", "x " * 300, "a\x0bb\x0cc\x1cd e f g"])
+def test_fingerprint(text):
+    assert sh.simhash(text) & (1 << 64) - 1 == plain_print(text)
+
+
+def test_null_has_fingerprint_zero():
+    assert sh.simhash(None) == 0
+
+
+def crowded(rnd, n):
+    """Fingerprints in a few tight clouds, and strangers."""
+    centres = [rnd.getrandbits(64) for _ in range(4)]
+    out = {0, (1 << 64) - 1}
+    while len(out) < n:
+        x = rnd.choice(centres) if rnd.random() < 0.8 else rnd.getrandbits(64)
+        for _ in range(rnd.randrange(7)):
+            x ^= 1 << rnd.randrange(64)
+        out.add(x)
+    return np.array(sorted(out), np.uint64)
+
+
+@pytest.mark.parametrize("tile", [2048, 20])
+def test_links_find_every_group(spark, tile):
+    """Against all pairs; the small tile cuts every bucket, so most work is between salted tiles."""
+    fps = crowded(random.Random(tile), 1200)
+    signed = fps.view(np.int64)
+    near = [(int(signed[i]), int(signed[j])) for i in range(len(fps))
+            for j in np.flatnonzero(np.bitwise_count(fps[i] ^ fps) <= sh.RADIUS) if i < j]
+    df = spark.createDataFrame([(int(x),) for x in signed], "fp long")
+    links = sh.near_links(df, tile=tile)
+    assert links.count() <= 5 * len(fps) * max(1, len(fps) // tile)
+    got = {r["node"]: r["root"] for r in components(links).collect()}
+    want = plain_groups([int(x) for x in signed], near)
+    assert {n: got.get(n, n) for n in want} == want
+
+
+@pytest.mark.parametrize("shape", ["path", "star", "random", "none", "loops"])
+def test_components(spark, shape):
+    rnd = random.Random(1)
+    n = 300
+    edges = {"path": [(i, i + 1) for i in range(n)], "star": [(n, i) for i in range(n)], "none": [], "loops": [(3, 3), (5, 4), (4, 5), (5, 4)],
+             "random": [(rnd.randrange(n), rnd.randrange(n)) for _ in range(n // 2)]}[shape]
+    rnd.shuffle(edges)
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: v for k, v in plain_groups({x for e in edges for x in e}, edges).items() if shape != "loops" or k != 3}
+
+
+def test_tiles_beyond_the_radius_are_skipped():
+    a = np.array([0, 1, 3], np.uint64)
+    b = np.array([(1 << 64) - 1, (1 << 60) - 1], np.uint64)
+    assert list(sh.near_pairs(a, b, 4)) == []
+
+
+def test_edges(spark, edge_docs, no_docs):
+    rows = sh.simhash_dedup(edge_docs).collect()
+    assert len(rows) == 10
+    blank = [r for r in rows if r["fp"] == 0]
+    assert len(blank) == 4 and {r["component_id"] for r in blank} == {2}
+    assert [r["component_id"] for r in rows if r["id"] is None and r["fp"] != 0] == [None]
+    assert sh.simhash_dedup(no_docs).count() == 0
+
+
+def test_keep_one(spark, edge_docs, no_docs):
+    kept = sh.keep_one(edge_docs)
+    assert kept.columns == edge_docs.columns
+    rows = kept.collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in rows) == [(False, 1), (False, 1), (False, 2), (False, 5), (False, 6), (True, 0)]
+    assert len({sh.simhash(r["text"]) for r in rows}) == 6
+    assert sh.keep_one(no_docs).count() == 0
+
+
+def test_query_against_all_pairs(spark):
+    from assetlens.llm.queries import op5_simhash
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    fp = {k: plain_print(t) for k, t in texts.items()}
+    near = [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 4]
+    want = plain_groups(list(fp), near)
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in op5_simhash(spark, sf).collect()}
+    assert got == {k: (f"{fp[k]:016x}", want[k]) for k in fp}
