@@ -34,16 +34,17 @@ def dropped_positions(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(row_key, dropped)``: the distinct positions to drop, for every row that loses a line.
 
-    The hashed lines (some 40 bytes each) are stored once, as both passes read them.
+    The hashed lines (some 40 bytes each) are stored once, as both passes read them. The frequent hashes are stored
+    too: the join then reads them without an aggregation of its own, so that AQE may split the lines of a hot hash.
     """
     lines = stored(
         docs.select(_row_key(id_col, text_col).alias("row_key"),
                     F.posexplode(F.transform(split_lines(F.col(text_col)), line_key)).alias("pos", "key"))
         .where(F.length("key") >= max(min_chars, 1))
         .select("row_key", "pos", hash128(F.col("key")).alias("key")), "line-hashes")
-    frequent = (lines.select("key", "row_key.doc").distinct()
-                .groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
-                .where(F.col("docs") >= min_docs).select("key"))
+    frequent = stored(lines.select("key", "row_key.doc").distinct()
+                      .groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
+                      .where(F.col("docs") >= min_docs).select("key"), "frequent-lines")
     return (lines.join(frequent, "key", "left_semi")
             .groupBy("row_key").agg(F.collect_set("pos").alias("dropped")))
 
