@@ -142,7 +142,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
             for lang in batch["lang"].unique():
                 mine = whole[(batch["lang"] == lang).to_numpy() & lettered].sum(axis=0)
                 sums[lang] = sums.get(lang, 0) + mine
-        yield pd.DataFrame({"lang": list(sums), "sum": [v.tolist() for v in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "sum": [v.tolist() for v in sums.values()]})
 
     def total(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"lang": [key[0]], "sum": [np.stack(part["sum"].tolist()).sum(axis=0).tolist()]})
