@@ -59,8 +59,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(batch, column: str, most: int = 8 << 20) -> Iterator:
-    """Cut an Arrow batch so that a slice's texts have about ``most`` bytes; a longer text is a slice of its own."""
+    """Cut an Arrow batch so that a slice's texts have about ``most`` bytes; a longer text is a slice of its own.
+    What Arrow held for a slice is given back before the next one."""
     import numpy as np
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
@@ -69,3 +71,4 @@ def slices(batch, column: str, most: int = 8 << 20) -> Iterator:
         end = max(at + 1, int(np.searchsorted(sizes, most + (sizes[at - 1] if at else 0), "right")))
         yield batch.slice(at, end - at)
         at = end
+        pa.default_memory_pool().release_unused()

@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import functools
 import math
-import struct
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,53 +33,63 @@ FULL = 0.995  # share of a sequence from which on a bin is done
 GROUP = 16384  # most items that are packed together
 FAN_IN = 16  # tasks of round one whose bins meet in a group of round two, at least
 FIELDS = ("doc_id", "piece", "start", "length", "crc", "offset")
-WORDS = 500_000  # words whose ids a task keeps at hand
+WORDS = 200_000  # recurring words whose ids a task keeps at hand
 
 ITEMS = "length int, done boolean, bin long, members array<struct<doc_id:{id},piece:int,start:long,length:int,crc:long,offset:int>>"
 
 
 class WordEncoder:
-    """Token ids (little-endian unsigned 32-bit) of whole texts, word by word.
+    """Token ids (unsigned 32-bit) of whole texts, word by word.
 
     For a tokenizer that drops white space, so that no token reaches over it: a text's ids are those of its words
-    in turn, and each distinct word is encoded once as long as it is kept. Texts are cut at ASCII white space only;
-    any other is left to the tokenizer. A word of lower-case letters that need no normalising goes to the
-    tokenizer's model directly, which gives the same ids at a third of the cost (``direct`` tells if it does).
+    in turn. Texts are cut at ASCII white space only; any other is left to the tokenizer. Each distinct word of a batch
+    is encoded once, and words that recur in a batch are kept for later ones: an Arrow array of words beside their ids
+    (``flat``, cut by ``ends``). A word of lower-case letters that need no normalising goes to
+    the tokenizer's model directly, which gives the same ids at a third of the cost (``direct`` tells if it does).
     """
 
     def __init__(self, path: str, keep: int = WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep, self.known = Tokenizer.from_file(path), keep, {}
+        self.tokenizer, self.keep = Tokenizer.from_file(path), keep
         self.model = self.tokenizer.model
+        self._reset()
         probes = ["the", "straße", "élève", "xqzzk"]
-        self.direct = all(self._by_model(w) == self._whole([w])[0] for w in probes)
-        self.marks = {m: self._whole([m])[0] for m in (",", ".")} if self.direct else {}
+        whole = [e.ids for e in self.tokenizer.encode_batch(probes, add_special_tokens=False)]
+        self.direct = [self._by_model(w) for w in probes] == whole
+        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ",."} if self.direct else {}
 
-    def _whole(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+    def _reset(self) -> None:
+        self.words, self.flat, self.ends = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
 
-    def _by_model(self, word: str) -> bytes:
+    def _by_model(self, word: str) -> list[int]:
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(BYTE_CHARS)
-        return struct.pack(f"<{len(t := self.model.tokenize(word))}I", *[x.id for x in t])
+        return [t.id for t in self.model.tokenize(word)]
 
     def _plain(self, word: str) -> bool:
-        return word.isalpha() and word.islower() and (word.isascii() or max(word) < "\u0180" and unicodedata.is_normalized("NFC", word))
+        if word.isascii():
+            return word.isalpha() and word.islower()
+        return word.isalpha() and word.islower() and max(word) < "\u0180" and unicodedata.is_normalized("NFC", word)
 
-    def _learn(self, words: set[str]) -> None:
-        known, slow = self.known, []
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words in turn, and how many each has."""
+        slow = {}
         for word in words:
-            mark = self.marks.get(word[-1:])
-            if mark and self._plain(word[:-1]):
-                known[word] = (known.get(word[:-1]) or self._by_model(word[:-1])) + mark
-            elif self.direct and self._plain(word):
-                known[word] = self._by_model(word)
-            else:
-                slow.append(word)
+            if not self.direct or not self._plain(word[:-1] if word[-1:] in self.marks else word):
+                slow[word] = None
         for at in range(0, len(slow), 20_000):
-            part = slow[at:at + 20_000]
-            known.update(zip(part, self._whole(part)))
+            part = list(slow)[at:at + 20_000]
+            slow.update(zip(part, [e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]))
+        flat, sizes = array("I"), np.empty(len(words), np.int64)
+        for n, word in enumerate(words):
+            ids = slow.get(word)
+            if ids is None:
+                mark = self.marks.get(word[-1:])
+                ids = self._by_model(word[:-1]) + mark if mark else self._by_model(word)
+            flat.extend(ids)
+            sizes[n] = len(ids)
+        return np.frombuffer(flat, "<u4") if flat else np.zeros(0, "<u4"), sizes
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text (null: none) of a column: cut into words, number the distinct ones, encode those,
@@ -90,20 +100,29 @@ class WordEncoder:
             texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         cut = pc.ascii_split_whitespace(texts)
         table = cut.flatten().dictionary_encode()
-        words = table.dictionary.to_pylist()
-        if len(self.known) > self.keep:
-            self.known.clear()
-        self._learn(set(words).difference(self.known))
-        found = [self.known[w] for w in words]
-        flat = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        begins = np.cumsum(sizes) - sizes
         at, bounds = table.indices.to_numpy(), cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        words = table.dictionary
+        if len(self.words) > self.keep:
+            self._reset()
+        kept = pc.index_in(words, self.words)
+        new = np.flatnonzero(kept.is_null().to_numpy(False))
+        row_of = kept.fill_null(0).to_numpy(False).astype(np.int64)
+        row_of[new] = len(self.words) + np.arange(len(new))
+        found, counts = self._learn(words.take(pa.array(new)).to_pylist())
+        flat = np.concatenate([self.flat, found])
+        ends = np.concatenate([self.ends, np.cumsum(counts) + len(self.flat)])
+        sizes = np.diff(ends, prepend=0)
+        begins = (ends - sizes)[row_of]
+        often = np.bincount(at, minlength=len(words))[new] > 1
+        self.words = pa.concat_arrays([self.words, words.take(pa.array(new[often]))])
+        self.flat = np.concatenate([self.flat, found[np.repeat(often, counts)]])
+        self.ends = np.concatenate([self.ends, np.cumsum(counts[often]) + (self.ends[-1] if len(self.ends) else 0)])
+        sizes = sizes[row_of]
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             w = at[a:b]
             n = sizes[w]
-            ends = np.cumsum(n)
-            yield flat[np.repeat(begins[w] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+            last = np.cumsum(n)
+            yield flat[np.repeat(begins[w] - last + n, n) + np.arange(last[-1] if len(last) else 0)]
 
 
 # The characters that byte-level vocabularies write bytes 0-255 with: printable Latin-1 as it is, the rest from U+0100.

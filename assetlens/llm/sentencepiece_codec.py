@@ -23,28 +23,31 @@ from .common import slices
 
 MARK = "▁"
 LONG = 1 << 28  # bytes of a text from which on its ids might not fit one Arrow value
-CHUNKS = 600_000  # distinct chunks a task keeps at hand
+CHUNKS = 200_000  # recurring chunks a task keeps at hand
 CHUNK_RE = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
 class ChunkCodec:
     """Encoding and decoding of whole texts with one SentencePiece model; ``exact`` says if chunks may be used.
 
-    A chunk is named by what follows its first marker. ``ids`` has each chunk's ids as text; ``changed`` has
-    the decoded text of the few chunks that do not decode to themselves.
+    A chunk is named by what follows its first marker; ``kept_ids`` has the ids of the ``kept`` chunks, as text.
     """
 
     def __init__(self, path: str, keep: int = CHUNKS):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.keep, self.ids, self.changed = keep, {}, {}
+        self.keep = keep
+        self._reset()
         pieces = (self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size()))
         # pieces must not cross markers, spaces must be kept one by one, and a text must get one marker in front
         self.exact = (not any(MARK in p.lstrip(MARK) for p in pieces)
                       and self.sp.decode(self.sp.encode(" a  b ")) == " a  b "
                       and self.sp.normalize("  Å ﬁ") == f"{MARK}{MARK}{MARK}Å{MARK}ﬁ")
 
+    def _reset(self) -> None:
+        self.kept, self.kept_ids = pa.array([], pa.string()), pa.array([], pa.string())
+
     def chunks(self, text: str) -> list[str]:
         """The chunks of a text, each without its first marker."""
         if not text:
@@ -54,22 +57,13 @@ class ChunkCodec:
             return words
         return [c[1:] for c in CHUNK_RE.findall(MARK + text.replace(" ", MARK))]
 
-    def learn(self, chunks: set[str]) -> None:
-        """Encode and decode the chunks not yet known. The library puts a marker in front of what it encodes and
+    def encode_chunks(self, chunks: list[str]) -> list[tuple[str, str]]:
+        """(ids as text, decoded text) of distinct chunks. The library puts a marker in front of what it encodes and
         takes it away where it decodes, so a chunk stands for itself."""
-        if len(self.ids) > self.keep:
-            self.ids.clear()
-            self.changed.clear()
-        new = list(chunks.difference(self.ids))
-        if not new:
-            return
-        ids = self.sp.encode(new, num_threads=1)
-        for chunk, i, text in zip(new, ids, self.sp.decode(ids, num_threads=1)):
-            if not chunk:  # a lone marker: the library encodes an empty text as nothing
-                i = [self.sp.piece_to_id(MARK)]
-            self.ids[chunk] = " ".join(map(str, i))
-            if text != chunk:
-                self.changed[chunk] = text
+        ids = self.sp.encode(chunks, num_threads=1)
+        texts = self.sp.decode(ids, num_threads=1) if chunks else []
+        lone = [self.sp.piece_to_id(MARK)]  # the library encodes an empty text as nothing
+        return [(" ".join(map(str, i if c else lone)), t) for c, i, t in zip(chunks, ids, texts)]
 
     def encode_decode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(number of ids, ids as text, decoded text) of each text, with the end id."""
@@ -77,9 +71,10 @@ class ChunkCodec:
         for text in texts:
             if self.exact:
                 chunks = self.chunks(text)
-                self.learn(set(chunks))
-                ids = " ".join([*map(self.ids.__getitem__, chunks), str(eos)])
-                out.append((ids.count(" ") + 1, ids, " ".join([self.changed.get(c, c) for c in chunks])))
+                distinct = list(set(chunks))
+                known = dict(zip(distinct, self.encode_chunks(distinct)))
+                ids = " ".join([*(known[c][0] for c in chunks), str(eos)])
+                out.append((ids.count(" ") + 1, ids, " ".join([known[c][1] for c in chunks])))
             else:
                 ids = self.sp.encode(text, add_eos=True)
                 out.append((len(ids), " ".join(map(str, ids)), self.sp.decode(ids)))
@@ -87,21 +82,36 @@ class ChunkCodec:
 
     def encode_decode_column(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
         """The same for a column of texts with single spaces only, so that their words are their chunks: cut, number
-        the distinct chunks, encode and decode those, and join the results back by position."""
+        the distinct chunks, encode and decode those, and join the results back by position.
+
+        Chunks that recur in a column and decode to themselves are kept for later ones.
+        """
         cut = pc.split_pattern(texts, " ")
         table = cut.flatten().dictionary_encode()
-        chunks, at = table.dictionary.to_pylist(), table.indices
-        self.learn(set(chunks))
-        ids = pa.array([self.ids[c] for c in chunks], pa.string())
-        sizes = np.array([self.ids[c].count(" ") + 1 for c in chunks], np.int64)[at.to_numpy()]
+        chunks, at = table.dictionary, table.indices.to_numpy()
+        if len(self.kept) > self.keep:
+            self._reset()
+        kept = pc.index_in(chunks, self.kept)
+        new = np.flatnonzero(kept.is_null().to_numpy(False))
+        new_chunks = chunks.take(pa.array(new))
+        found = self.encode_chunks(new_chunks.to_pylist())
+        rows = kept.fill_null(0).to_numpy(False).astype(np.int64)
+        rows[new] = len(self.kept) + np.arange(len(new))
+        ids = pa.concat_arrays([self.kept_ids, pa.array([i for i, _ in found], pa.string())])
+        decoded = pa.array([t for _, t in found], pa.string())
+        same = pc.equal(decoded, new_chunks).to_numpy(False)
+        keep = pa.array((np.bincount(at, minlength=len(chunks))[new] > 1) & same)
+        n_ids = pc.add(pc.count_substring(ids, " "), 1).to_numpy(False)[rows[at]]
         starts = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
-        counts = np.add.reduceat(sizes, starts) + 1 if len(sizes) else np.zeros(0, np.int64)
+        counts = np.add.reduceat(n_ids, starts) + 1 if len(at) else np.zeros(0, np.int64)
         offsets = pa.array(np.append(starts, len(at)), pa.int32())
-        join = lambda values: pc.binary_join(pa.ListArray.from_arrays(offsets, values.take(at)), " ")
-        joined = pc.binary_join_element_wise(join(ids), pa.scalar(str(self.sp.eos_id()), pa.string()), " ")
-        if self.changed.keys().isdisjoint(chunks):
-            return counts, joined, texts
-        return counts, joined, join(pa.array([self.changed.get(c, c) for c in chunks], pa.string()))
+        join = lambda values, where: pc.binary_join(pa.ListArray.from_arrays(offsets, values.take(pa.array(where))), " ")
+        joined = pc.binary_join_element_wise(join(ids, rows[at]), pa.scalar(str(self.sp.eos_id()), pa.string()), " ")
+        if not same.all():
+            texts = join(pa.concat_arrays([self.kept, decoded]), rows[at])
+        self.kept = pa.concat_arrays([self.kept, new_chunks.filter(keep)])
+        self.kept_ids = pa.concat_arrays([self.kept_ids, ids.slice(len(self.kept_ids)).filter(keep)])
+        return counts, joined, texts
 
 
 @functools.lru_cache(maxsize=2)

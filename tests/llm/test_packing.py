@@ -23,6 +23,13 @@ def test_encoder_gives_the_tokenizers_ids(texts):
     assert got == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_kept_words_are_used_and_refilled():
+    enc = packing.WordEncoder(PATH, keep=3)
+    for texts in (["a b a b", "c"], ["a d d e e", ""], ["f f, f,", "a"], ["a b"]):
+        got = [x.tolist() for x in enc.encode(pa.array(texts, pa.string()))]
+        assert got == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=60))
 def test_best_fit_is_a_packing_and_never_leaves_two_bins_that_fit(lengths):

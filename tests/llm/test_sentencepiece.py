@@ -28,10 +28,11 @@ def test_chunks_give_the_librarys_ids_and_text(text):
         assert (n[1], ids[1].as_py(), decoded[1].as_py()) == plain(text) == (n[2], ids[2].as_py(), decoded[2].as_py())
 
 
-def test_small_table_is_refilled():
+def test_kept_chunks_are_used_and_refilled():
     codec = sc.ChunkCodec(PATH, keep=3)
-    for text in ("a b c d e f", "g h i", "a b"):
-        assert codec.encode_decode([text]) == [plain(text)]
+    for text in ("a b a b c d", "a a b e e", "f f g g\x00 g\x00 h", "a b"):
+        n, ids, decoded = codec.encode_decode_column(pa.array([text, "x y"]))
+        assert (n[0], ids[0].as_py(), decoded[0].as_py()) == plain(text)
 
 
 def test_edges(spark, edge_docs, no_docs):
