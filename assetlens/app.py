@@ -6,11 +6,14 @@ Run as ``python -m assetlens.app [--config job.properties] key=value ...``. Keys
   flows.path        folder for the file formats
   flows.max.files   files per micro-batch for the file formats (the poll cap of the file sources)
   kafka.*, topic, bootstrap.servers, group.id, max.poll.records   Kafka client settings (A1, A10)
-  assets.url / assets.table, params.url / params.table     JDBC inventory and parameters, or
+  assets.url / assets.table, params.url / params.table     JDBC inventory and parameters; <name>.jdbc.<option>
+                    passes reader options on (driver, user, and partitionColumn, lowerBound, upperBound,
+                    numPartitions for a read in parts), or
   assets.path / params.path                                parquet folders with the same columns
   groups.mode       contains | exact                       (default contains)
   child.type        model child type                       (default 1)
-  store.path        edge store root (default: <spark.checkpoint.dir>/assetlens/store)
+  store.path        edge store root (default: <spark.checkpoint.dir>/assetlens/store; outside local mode one of
+                    the two must be set, as for the checkpoint)
   checkpoint        streaming checkpoint (default: <spark.checkpoint.dir>/assetlens/checkpoint)
   trigger           processing-time interval, e.g. "1 minute"; "once" = availableNow; "model" = the
                     shortest model rate (F8) among the runnable models
@@ -21,7 +24,8 @@ Run as ``python -m assetlens.app [--config job.properties] key=value ...``. Keys
   salt.buckets      salt for hot assets when the asset side is shuffled (default 1 = off)
   segment.time      event | processing: segment keys from event time or the wall clock (default event)
   only.new.edges    true: write only edges not stored yet (anti join with the profile; default false)
-  compact.every     rewrite the profile as one generation every N batches (default 0 = never)
+  compact.every     rewrite the profile as one generation every N batches, and remove older ones
+                    (default 100; 0 = never)
 """
 
 from __future__ import annotations
@@ -46,7 +50,8 @@ def jdbc_extra(opts: dict[str, str], name: str) -> dict[str, str]:
 
 def _table(spark: SparkSession, opts: dict[str, str], name: str) -> DataFrame:
     if opts.get(f"{name}.url"):
-        return jdbc.read_jdbc(spark, opts[f"{name}.url"], opts.get(f"{name}.table", name), **jdbc_extra(opts, name))
+        read = {"params": jdbc.read_params_jdbc, "assets": jdbc.read_assets_jdbc}[name]
+        return read(spark, opts[f"{name}.url"], opts.get(f"{name}.table", name), **jdbc_extra(opts, name))
     return spark.read.parquet(opts[f"{name}.path"])
 
 
@@ -54,9 +59,11 @@ def scope_loader(spark: SparkSession, opts: dict[str, str]):
     """Re-reads params and assets (called by the job whenever its TTL expires)."""
     def load():
         params = op.normalise_params(_table(spark, opts, "params"))
-        runnable = op.runnable_params(op.active_params(params, child_type=int(opts.get("child.type", "1"))))
+        child = int(opts.get("child.type", "1"))
+        runnable = op.runnable_params(op.active_params(params, child_type=child))
         assets = _table(spark, opts, "assets")
-        return runnable, op.scope_assets(assets, runnable, opts.get("groups.mode", "contains"))
+        return (runnable, op.scope_assets(assets, runnable, opts.get("groups.mode", "contains")),
+                op.failed_params(params, child))
     return load
 
 
@@ -81,13 +88,13 @@ def resolve_trigger(spark: SparkSession, opts: dict[str, str]) -> dict:
     if trig == "once":
         return {"availableNow": True}
     if trig == "model":
-        runnable, _ = scope_loader(spark, opts)()
+        runnable, *_ = scope_loader(spark, opts)()
         secs = runnable.agg(F.min("rate_seconds")).first()[0]
         return {"processingTime": f"{int(secs) if secs else 60} seconds"}
     return {"processingTime": trig}
 
 
-def start(spark: SparkSession, opts: dict[str, str]):
+def build(spark: SparkSession, opts: dict[str, str]) -> tuple[ProfileStream, EdgeStore, StatusLog]:
     root = opts.get("store.path") or scratch_path(spark, "assetlens/store")
     store = EdgeStore(spark, root).init()
     status = StatusLog(spark, opts.get("status.path") or f"{root}_status").init()
@@ -99,10 +106,19 @@ def start(spark: SparkSession, opts: dict[str, str]):
                                    "salt_buckets": int(opts.get("salt.buckets", "1"))},
                         segment_time=opts.get("segment.time", "event"),
                         only_new_edges=opts.get("only.new.edges", "false").lower() == "true",
-                        compact_every=int(opts.get("compact.every", "0")))
+                        compact_every=int(opts.get("compact.every", "100")))
+    return job, store, status
+
+
+def start_job(spark: SparkSession, opts: dict[str, str], job: ProfileStream):
     trigger = resolve_trigger(spark, opts)
     checkpoint = opts.get("checkpoint") or scratch_path(spark, "assetlens/checkpoint")
-    return job.start(flow_source(spark, opts), checkpoint, trigger, query_name="assetlens_profile"), store, status
+    return job.start(flow_source(spark, opts), checkpoint, trigger, query_name="assetlens_profile")
+
+
+def start(spark: SparkSession, opts: dict[str, str]):
+    job, store, status = build(spark, opts)
+    return start_job(spark, opts, job), store, status
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -114,8 +130,8 @@ def main(argv: list[str] | None = None) -> int:
         del argv[i:i + 2]
     opts = load_options(config, argv)
     spark = get_session()
-    query, _, _ = start(spark, opts)
-    query.awaitTermination()
+    job, _, _ = build(spark, opts)
+    job.await_end(start_job(spark, opts, job))
     return 0
 
 

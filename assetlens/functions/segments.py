@@ -18,11 +18,22 @@ SPAN_KEYS = {1: "seg_hour", 2: "seg_isodow", 3: "seg_month", 4: "seg_month"}
 
 
 def to_local(ts, tz: str | None) -> Column:
-    """Wall-clock time of ``ts`` in zone ``tz`` (F11); unchanged when tz is None."""
+    """Wall-clock time of ``ts`` in zone ``tz`` (F11), without a zone; unchanged when tz is None.
+
+    The instant is first written as UTC wall-clock time from its epoch microseconds, so the result does not
+    depend on the session's zone, nor on hours that zone skips or repeats.
+    """
     ts = col(ts)
     if tz is None:
         return ts
-    return F.from_utc_timestamp(ts.cast("timestamp"), tz)
+    since_epoch = F.make_dt_interval(secs=(F.unix_micros(ts.cast("timestamp")).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)"))
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since_epoch
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+
+
+def local_day(ts, tz: str | None = None) -> Column:
+    """The local day of ``ts`` as text ``yyyy-MM-dd``."""
+    return F.to_date(to_local(ts, tz)).cast("string")
 
 
 def iso_weekday(ts) -> Column:

@@ -45,7 +45,10 @@ def group_candidates(params: DataFrame, assets: DataFrame, mode: str = "contains
         out = with_len.select(*keep, F.explode(_substrings(F.col("_lst"), F.col("_max_len"))).alias("grp"))
     else:
         raise ValueError(f"unknown group match mode: {mode}")
-    return out.dropDuplicates(["model_id", "grp"])
+    # a model that comes twice counts once, with its largest span and mode
+    rest = [c for c in keep if c != "model_id"]
+    one = out.groupBy("model_id", "grp").agg(F.max(F.struct(*rest)).alias("_rest")) if rest else out.distinct()
+    return one.select("model_id", *[F.col("_rest")[c].alias(c) for c in rest], "grp")
 
 
 def candidate_bound(params: DataFrame, mode: str = "contains") -> int:

@@ -4,23 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Largest number of rows a side may have to be broadcast by these helpers.
+# Largest number of rows and of bytes a side may have to be broadcast by these helpers.
 DEFAULT_BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 256 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      bound: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only when it provably has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound: int | None = None,
+                      max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when it provably has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    ``bound`` is an upper bound the caller already proved (e.g. from a small config table);
-    otherwise the rows are counted up to ``max_rows + 1`` (one pass over ``df`` at most; callers
+    ``bound`` is an upper bound of the rows that the caller already proved (e.g. from a small config table);
+    otherwise rows and bytes are counted up to ``max_rows + 1`` rows (one pass over ``df`` at most; callers
     only pass asset- or config-side tables, never flows). Larger inputs are returned unchanged,
     so the optimizer (and AQE at run time) picks a shuffle join for them.
     """
     if bound is not None and bound <= max_rows:
         return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    # fixed-width columns count 8 bytes, others their text's length as well
+    text = [F.octet_length(F.col(f"`{c}`").cast("string")) for c, t in df.dtypes if t == "string"]
+    size = sum((F.coalesce(t, F.lit(0)) for t in text), F.lit(8 * len(df.columns))).cast("long")
+    rows, total = df.select(size.alias("size")).limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum("size")).first()
+    return F.broadcast(df) if rows <= max_rows and (total or 0) <= max_bytes else df
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -51,7 +55,7 @@ def join_small_side(big: DataFrame, small: DataFrame, left_on: list[str], right_
       skew-join split covers the remaining cases.
     Column names of the two sides must not collide except through the join keys.
     """
-    small_b = bounded_broadcast(small, max_rows)
+    small_b = bounded_broadcast(small, max_rows) if max_rows else small
     cond = [big[lk] == small_b[rk] for lk, rk in zip(left_on, right_on)]
     if salt_buckets > 1 and small_b is small:
         salt_cols = salt_from or left_on

@@ -49,16 +49,15 @@ def render_profiles(edges: DataFrame, scoped: DataFrame, encoding: str = "keyed"
                     max_rows: int = ASSET_BROADCAST_ROWS) -> DataFrame:
     """Stored-profile rows: id, modeling_params_id, src_id, src_ip, dst_ip_segment, time.
 
-    The edges are hash-partitioned once by (model, asset): that satisfies both the per-segment
-    and the per-asset aggregation, which then run in one stage (one shuffle instead of two). An
-    asset's segments have to meet in one task for its row anyway.
+    IPs are gathered per (model, asset, segment) first, combined map-side, so a hot asset is spread over its
+    segments; only its finished segments meet for its row, as the format demands.
     """
-    s = segment_ips(edges.repartition("model_id", "entity_id"))
+    s = segment_ips(edges)
     per_asset = s.groupBy("model_id", "entity_id").agg(
         F.array_sort(F.collect_list(F.struct("segment_key", "ips"))).alias("segs"),
         F.max("updated_at").alias("time"))
-    a = scoped.select(F.col("model_id").alias("_m"), F.col("entity_id").alias("_e"), "asset_ip") \
-        .dropDuplicates(["_m", "_e"])
+    # an asset with several rows shows the smallest of its IP texts
+    a = scoped.groupBy(F.col("model_id").alias("_m"), F.col("entity_id").alias("_e")).agg(F.min("asset_ip").alias("asset_ip"))
     j = join_small_side(per_asset, a, ["model_id", "entity_id"], ["_m", "_e"], "left", max_rows)
     return j.select(
         profile_row_id("model_id", "entity_id").alias("id"),

@@ -69,11 +69,18 @@ def complete_flows(df: DataFrame) -> DataFrame:
     return df.where(_ok(df) & not_blank("src_id") & not_blank("dst_id"))
 
 
-def quarantine(df: DataFrame) -> DataFrame:
-    """H8: the rows ``complete_flows`` drops, with the first reason that applies."""
-    reason = (F.when(~_ok(df), F.col("parse_status"))
+def quarantine(df: DataFrame, host_ip: str | None = None) -> DataFrame:
+    """H8: the rows ``complete_flows`` drops, with the first reason that applies.
+
+    With ``host_ip`` (the IP column a profile is built from) also complete flows that lack it, as no profile can
+    hold them.
+    """
+    parse = F.col("parse_status") if "parse_status" in df.columns else F.lit(None).cast("string")
+    reason = (F.when(~_ok(df), parse)
               .when(is_blank("src_id"), F.lit("blank_src_id"))
               .when(is_blank("dst_id"), F.lit("blank_dst_id")))
+    if host_ip:
+        reason = reason.when(F.col(host_ip).isNull(), F.lit("null_host_ip"))
     return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 

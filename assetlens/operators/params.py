@@ -77,6 +77,15 @@ def rejected_params(active: DataFrame) -> DataFrame:
         "model_id", F.lit("unsupported_result_span").alias("reason"), "span")
 
 
+def failed_params(norm: DataFrame, child_type: int = CHILD_TYPE_CONNECTION, as_of=None) -> DataFrame:
+    """(model_id, reason) of this job's models that cannot run: switched off (C8), or active with a result span that
+    has no segment key."""
+    mine = norm.where((F.col("model_type") == MODEL_TYPE_ASSET_BEHAVIOUR) & (F.col("model_child_type") == child_type))
+    off = mine.join(model_gate(mine).select("model_id"), "model_id", "left_anti")
+    return (rejected_params(active_params(norm, child_type, as_of)).select("model_id", "reason")
+            .unionByName(off.select("model_id", F.lit("switched_off").alias("reason"))).distinct())
+
+
 def model_gate(norm: DataFrame) -> DataFrame:
     """Only models whose main switch is on pass."""
     return norm.where(F.col("switch_on"))
@@ -91,17 +100,20 @@ def diff_params(old: DataFrame, new: DataFrame) -> DataFrame:
     """Per-model change flags between two normalised snapshots.
 
     update_changed: new update mode set and different; dimension_changed: any of span,
-    rate unit or rate number changed (each flag is reported too).
+    rate unit or rate number changed (each flag is reported too). A model that is only in one snapshot was added or
+    removed, not changed: its change flags are false.
     """
     cols = ["update_mode", "span", "rate_unit", "rate_num", "accumulate"]
     o = old.select("model_id", F.lit(True).alias("_in_old"), *[F.col(c).alias(f"old_{c}") for c in cols])
     n = new.select("model_id", F.lit(True).alias("_in_new"), *[F.col(c).alias(f"new_{c}") for c in cols])
     j = o.join(n, "model_id", "full_outer")
 
+    both = F.col("_in_old").isNotNull() & F.col("_in_new").isNotNull()
+
     def changed(c: str) -> Column:
-        return F.col(f"new_{c}").isNotNull() & ~F.col(f"new_{c}").eqNullSafe(F.col(f"old_{c}"))
+        return both & F.col(f"new_{c}").isNotNull() & ~F.col(f"new_{c}").eqNullSafe(F.col(f"old_{c}"))
 
-    unit_changed = ~blank_equals(F.col("new_rate_unit"), F.col("old_rate_unit"))
+    unit_changed = both & ~blank_equals(F.col("new_rate_unit"), F.col("old_rate_unit"))
     return j.select(
         "model_id",
         F.col("_in_old").isNull().alias("added"),

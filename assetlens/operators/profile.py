@@ -1,9 +1,9 @@
 """Behaviour profiles as edges (model_id, entity_id, segment_key, host_ip).
 
 Edges are the canonical form: a profile is a set, so set union = append + dedupe, which is
-associative and idempotent. Every builder pre-aggregates flows on
-(asset, ip, hour, weekday, month) before any join, so a hot asset's millions of flows
-collapse map-side into a few thousand rows before they are shuffled.
+associative and idempotent. Every builder combines flows map-side, on the edge key or on
+(asset, ip, hour, weekday, month), so a hot asset's millions of flows collapse into a few thousand rows before
+they are shuffled.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ def dedupe_edges(edges: DataFrame) -> DataFrame:
     return edges.groupBy(*EDGE_KEY).agg(F.max("updated_at").alias("updated_at"))
 
 
-def _host(side: str, host: str) -> tuple[str, str]:
+def host_columns(side: str, host: str) -> tuple[str, str]:
+    """The flow's id and IP columns that a profile of this side and host is built from."""
     if side not in ("src", "dst") or host not in ("own", "peer"):
         raise ValueError("side must be src|dst and host own|peer")
     peer = "dst" if side == "src" else "src"
@@ -65,14 +66,23 @@ def profile_edges(flows: DataFrame, scoped: DataFrame, side: str = "src", host:
     """Edges of the assets in scope, matched on the flow's ``side`` asset id.
 
     host='own' (parity): the IP the asset itself used in the flow; host='peer': the other end.
-    The flows are first reduced to distinct (asset, ip, hour, weekday, month) with a map-side
-    partial aggregate; only that reduced set meets the (model, asset) table.
+    Where the (model, asset) table is small it is broadcast and met first: flows of assets in no model never
+    reach a shuffle, and the only one left is that of the edges, after a map-side combine. Otherwise the flows are
+    first reduced to distinct (asset, ip, hour, weekday, month) with a map-side partial aggregate, and only that
+    reduced set meets the table.
     """
-    id_col, ip_col = _host(side, host)
-    pre = preaggregate(flows, id_col, ip_col, tz, time_col=time_col, spans=spans)
+    id_col, ip_col = host_columns(side, host)
     models = scoped.select("model_id", "span", F.col("entity_id").alias("_eid"))
-    j = join_small_side(pre, models, ["entity_id"], ["_eid"], "inner", max_rows, salt_buckets,
-                        ["entity_id", "host_ip"])
+    small = bounded_broadcast(models, max_rows)
+    if small is not models:
+        met = (flows.where(F.col(ip_col).isNotNull()).select(id_col, ip_col, time_col)
+               .join(small, F.col(id_col) == F.col("_eid"), "inner"))
+        return dedupe_edges(met.select(
+            "model_id", F.col("_eid").alias("entity_id"),
+            segment_key(time_col, F.col("span"), tz).alias("segment_key"),
+            F.col(ip_col).alias("host_ip"), F.col(time_col).alias("updated_at")))
+    pre = preaggregate(flows, id_col, ip_col, tz, time_col=time_col, spans=spans)
+    j = join_small_side(pre, models, ["entity_id"], ["_eid"], "inner", 0, salt_buckets, ["entity_id", "host_ip"])
     edges = j.select("model_id", "entity_id", key_for_span("span").cast("int").alias("segment_key"),
                      "host_ip", "updated_at")
     return dedupe_edges(edges)
@@ -108,7 +118,7 @@ def multiset_counts(flows: DataFrame, params: DataFrame, side: str = "src",
     cross product. This is the scalable form of the non-distinct profile: its size is bounded by
     distinct IPs, not by flows.
     """
-    id_col, ip_col = _host(side, "own")
+    id_col, ip_col = host_columns(side, "own")
     pre = preaggregate(flows, id_col, ip_col, tz, count=True, spans=model_spans(params))
     keyed = pre.select("entity_id", "host_ip", "n", _span_keys().alias("k")) \
         .select("entity_id", "host_ip", "n", "k.span", "k.segment_key")

@@ -234,22 +234,22 @@ SELECT l.model_id, l.span, l.rate_unit, l.rate_num, l.update_mode, l.task_status
 FROM latest l LEFT JOIN (SELECT p.model_id, count(*) AS n FROM assets a JOIN latest p
                          ON contains(p.entity_group_list, a.entity_groups) GROUP BY p.model_id) c USING (model_id)""",
 
-    "params_diff": _with(BASE, _NEXT) + """
-SELECT COALESCE(o.model_id, n.model_id) AS model_id,
-       o.model_id IS NULL AS added, n.model_id IS NULL AS removed,
-       n.update_mode IS NOT NULL AND n.update_mode IS DISTINCT FROM o.update_mode AS update_changed,
-       n.span IS NOT NULL AND n.span IS DISTINCT FROM o.span AS span_changed,
-       NOT ((COALESCE(trim(n.rate_unit), '') IN ('', 'null') AND COALESCE(trim(o.rate_unit), '') IN ('', 'null'))
-            OR COALESCE(n.rate_unit = o.rate_unit, false)) AS unit_changed,
-       n.rate_num IS NOT NULL AND n.rate_num IS DISTINCT FROM o.rate_num AS num_changed,
-       (n.span IS NOT NULL AND n.span IS DISTINCT FROM o.span)
-         OR NOT ((COALESCE(trim(n.rate_unit), '') IN ('', 'null') AND COALESCE(trim(o.rate_unit), '') IN ('', 'null'))
-            OR COALESCE(n.rate_unit = o.rate_unit, false))
-         OR (n.rate_num IS NOT NULL AND n.rate_num IS DISTINCT FROM o.rate_num) AS dimension_changed,
-       COALESCE(e.n, 0) AS n_edges
-FROM params o FULL OUTER JOIN params_next n ON o.model_id = n.model_id
-LEFT JOIN (SELECT model_id, count(*) AS n FROM src_edges GROUP BY model_id) e
-  ON e.model_id = COALESCE(o.model_id, n.model_id)""",
+    "params_diff": _with(BASE, _NEXT) + """,
+kept AS (
+  SELECT o.model_id, COALESCE(n.update_mode <> o.update_mode, n.update_mode IS NOT NULL) AS update_changed,
+         COALESCE(n.span <> o.span, n.span IS NOT NULL) AS span_changed,
+         COALESCE(n.rate_num <> o.rate_num, n.rate_num IS NOT NULL) AS num_changed,
+         CASE WHEN COALESCE(trim(n.rate_unit), '') IN ('', 'null') THEN COALESCE(trim(o.rate_unit), '') NOT IN ('', 'null')
+              ELSE COALESCE(n.rate_unit <> o.rate_unit, true) END AS unit_changed
+  FROM params o JOIN params_next n ON o.model_id = n.model_id),
+ids AS (SELECT model_id FROM params UNION SELECT model_id FROM params_next)
+SELECT i.model_id, i.model_id NOT IN (SELECT model_id FROM params) AS added,
+       i.model_id NOT IN (SELECT model_id FROM params_next) AS removed,
+       COALESCE(update_changed, false) AS update_changed, COALESCE(span_changed, false) AS span_changed,
+       COALESCE(unit_changed, false) AS unit_changed, COALESCE(num_changed, false) AS num_changed,
+       COALESCE(span_changed OR unit_changed OR num_changed, false) AS dimension_changed,
+       (SELECT count(*) FROM src_edges e WHERE e.model_id = i.model_id) AS n_edges
+FROM ids i LEFT JOIN kept k ON k.model_id = i.model_id""",
 
     "asset_scope_contains": _with(BASE) + """
 SELECT model_id, entity_id, entity_name, asset_ip, area_id FROM scoped""",
@@ -342,6 +342,49 @@ FROM e GROUP BY model_id, entity_id, segment_key""",
     "profile_decode": _with(BASE) + """
 SELECT model_id, entity_id, segment_key, host_ip FROM src_edges""",
 
+    "profile_decode_list": _with(BASE) + """
+SELECT model_id, entity_id, segment_key, host_ip FROM src_edges""",
+
+    "profile_decode_csv": _with(BASE) + """
+SELECT model_id, entity_id, segment_key, host_ip FROM src_edges""",
+
+    "profile_peer_edges": _with(BASE, f"""
+peer AS ({_edges('complete', 'src_id', 'dst_ip')})""") + """
+SELECT model_id, entity_id, segment_key, host_ip FROM peer""",
+
+    "profile_multiset_counts": _with(BASE) + """
+SELECT r.model_id, f.src_id AS entity_id,
+       CAST(CASE r.span WHEN 1 THEN hour(f.event_time) WHEN 2 THEN isodow(f.event_time) ELSE month(f.event_time) END AS INTEGER) AS segment_key,
+       f.src_ip AS host_ip, count(*) AS n
+FROM complete f, runnable r WHERE f.src_ip IS NOT NULL GROUP BY ALL""",
+
+    "active_params_child3": _with(BASE) + f"""
+SELECT p.model_id, p.span, p.model_rate, p.accumulate,
+       (SELECT count(*) FROM assets a WHERE contains(p.entity_group_list, a.entity_groups)) AS n_assets
+FROM params p
+WHERE p.model_type = 1 AND p.model_child_type = 3 AND p.switch_on AND p.switch2_on AND p.valid_span
+  AND p.modify_time < {AS_OF} - INTERVAL 10 MINUTE""",
+
+    # what each spelling of the fixture must become, as plain values
+    "text_params": """
+WITH ints AS (SELECT [1, 2, 12, NULL, NULL, NULL, -3, 4]::INTEGER[] AS v),
+bools AS (SELECT [true, true, true, false, false, false, false, false] AS v),
+p AS (SELECT 'p' || c_custkey AS model_id, ([1, 1, 2, NULL]::INTEGER[])[c_custkey % 4 + 1] AS model_type,
+        ([1, 3]::INTEGER[])[c_custkey % 2 + 1] AS model_child_type, (['hh', 'dd', 'MM', '??', NULL])[c_custkey % 5 + 1] AS rate_unit,
+        ints.v[(c_custkey // 8) % 8 + 1] AS rate_num, ints.v[c_custkey % 8 + 1] AS span,
+        bools.v[(c_custkey // 4) % 8 + 1] AS accumulate, bools.v[c_custkey % 8 + 1] AS switch_on,
+        bools.v[(c_custkey // 2) % 8 + 1] AS switch2_on, c_mktsegment AS entity_group_list,
+        CASE WHEN c_custkey % 2 = 0 THEN 'prepare' ELSE '' END AS task_status
+      FROM customer, ints, bools)
+SELECT *, CAST(rate_num AS VARCHAR) || rate_unit AS model_rate,
+       rate_num::BIGINT * CASE rate_unit WHEN 'hh' THEN 3600 WHEN 'dd' THEN 86400 WHEN 'MM' THEN 2592000 END AS rate_seconds,
+       COALESCE((span = 1 AND rate_unit = 'hh') OR (span = 2 AND rate_unit = 'dd') OR (span = 4 AND rate_unit = 'MM'), false) AS valid_rate,
+       CASE span WHEN 1 THEN 'DAYS' WHEN 2 THEN 'WEEK' WHEN 4 THEN 'YEAR' END AS model_cycle,
+       COALESCE(span IN (1, 2, 4), false) AS valid_span
+FROM p""",
+
+    "store_accumulate": _merged("SELECT NULL WHERE false"),
+    "store_replace": _merged("SELECT model_id FROM new_edges"),
     "profile_accumulate": _merged("SELECT NULL WHERE false"),
     "profile_replace": _merged("SELECT model_id FROM runnable"),
     "profile_by_mode": _merged("SELECT model_id FROM runnable WHERE NOT accumulate"),
@@ -365,5 +408,10 @@ WHERE rn = 1""",
 SELECT strftime({_LOCAL}, '%Y-%m-%d') AS dt, count(*) AS n_flows FROM complete GROUP BY 1""",
 }
 
-# The streaming job builds the same profile as the batch query.
-ORACLE_SQL["profile_stream"] = ORACLE_SQL["profile_src"]
+# The live path: the profile of the flows that parse, and how many records do not.
+ORACLE_SQL["profile_stream"] = _with(BASE, KAFKA, f"""
+good AS (SELECT *, make_timestamp(r_time * 1000) AS event_time FROM parsed
+         WHERE parse_status = 'ok' AND NOT {_blank('src_id')} AND NOT {_blank('dst_id')}),
+live_edges AS ({_edges('good', 'src_id', 'src_ip')}),
+live AS ({_named_csv('live_edges')})""") + """
+SELECT live.*, (SELECT count(*) FROM parsed) - (SELECT count(*) FROM good) AS n_quarantined FROM live"""

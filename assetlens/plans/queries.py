@@ -7,12 +7,16 @@ Timestamps are returned as TIMESTAMP_NTZ so results do not depend on the reader'
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import operators as op
-from ..functions import segment_candidates, to_local
+from ..functions import local_day, segment_candidates
+from ..session import scratch_path
+from ..sinks import EdgeStore, StatusLog, write_day_files
 from ..sources import fixtures as fx
 from ..sources.files import read_table
 from ..sources.kafka import kafka_envelope
@@ -76,16 +80,13 @@ class Inputs:
         return op.profile_edges(self.complete, self.scoped("contains"), side="src", host="own", spans=self.spans)
 
 
-_INPUTS: dict[tuple[str, str], Inputs] = {}
+def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The input plans of one query. Nothing is shared between queries, so each pays for all its jobs."""
+    return Inputs(spark, sf_dir)
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    """One set of input plans per application and folder. Plans are immutable and lazy, so
-    queries sharing them still run their whole computation when executed."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _INPUTS:
-        _INPUTS[key] = Inputs(spark, sf_dir)
-    return _INPUTS[key]
+def _scratch(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
 
 
 def _ntz(c: str) -> F.Column:
@@ -124,6 +125,21 @@ def active_params_q(spark, sf_dir):
         F.coalesce("n_assets", F.lit(0)).cast("long").alias("n_assets"))
 
 
+def active_params_child3(spark, sf_dir):
+    inp = inputs(spark, sf_dir)
+    runnable = op.runnable_params(op.active_params(inp.params, child_type=3, as_of=fx.AS_OF))
+    counts = _scope_counts(inp, runnable, "contains", "n_assets")
+    return runnable.join(counts, "model_id", "left").select(
+        "model_id", "span", "model_rate", "accumulate", F.coalesce("n_assets", F.lit(0)).cast("long").alias("n_assets"))
+
+
+def text_params(spark, sf_dir):
+    norm = op.normalise_params(fx.text_params(inputs(spark, sf_dir).table("customer")))
+    return norm.select("model_id", "model_type", "model_child_type", "rate_unit", "rate_num", "span", "accumulate",
+                       "switch_on", "switch2_on", "entity_group_list", "task_status", "model_rate", "rate_seconds",
+                       "valid_rate", "model_cycle", "valid_span")
+
+
 def normalised_params_q(spark, sf_dir):
     inp = inputs(spark, sf_dir)
     c1 = _scope_counts(inp, inp.params, "contains", "n_contains")
@@ -215,7 +231,7 @@ def segment_keys(spark, sf_dir):
     return both.select(
         "source", "flow_id", *utc,
         loc[0].alias("local_hour"), loc[1].alias("local_isodow"), loc[2].alias("local_month"),
-        F.date_format(to_local("event_time", fx.LOCAL_ZONE), "yyyy-MM-dd").alias("local_day"))
+        local_day("event_time", fx.LOCAL_ZONE).alias("local_day"))
 
 
 # ---------------------------------------------------------------- profiles
@@ -265,10 +281,34 @@ def profile_named_csv(spark, sf_dir):
     return _rendered(spark, sf_dir, "named_csv")
 
 
+def _decoded(spark, sf_dir, encoding):
+    inp = inputs(spark, sf_dir)
+    stored = op.render_profiles(inp.src_edges, inp.scoped("contains"), encoding)
+    return op.decode_profiles(stored, encoding).select("model_id", "entity_id", "segment_key", "host_ip")
+
+
 def profile_decode(spark, sf_dir):
+    return _decoded(spark, sf_dir, "keyed")
+
+
+def profile_decode_list(spark, sf_dir):
+    return _decoded(spark, sf_dir, "named_list")
+
+
+def profile_decode_csv(spark, sf_dir):
+    return _decoded(spark, sf_dir, "named_csv")
+
+
+def profile_peer_edges(spark, sf_dir):
     inp = inputs(spark, sf_dir)
-    stored = op.render_profiles(inp.src_edges, inp.scoped("contains"), "keyed")
-    return op.decode_profiles(stored, "keyed").select("model_id", "entity_id", "segment_key", "host_ip")
+    return op.profile_edges(inp.complete, inp.scoped("contains"), side="src", host="peer").select(
+        "model_id", "entity_id", "segment_key", "host_ip")
+
+
+def profile_multiset_counts(spark, sf_dir):
+    inp = inputs(spark, sf_dir)
+    return op.multiset_counts(inp.complete, inp.runnable, side="src").select(
+        "model_id", "entity_id", F.col("segment_key").cast("int").alias("segment_key"), "host_ip", "n")
 
 
 def _split_edges(inp: Inputs):
@@ -296,6 +336,25 @@ def profile_by_mode(spark, sf_dir):
     return _merged(spark, sf_dir, "by_model")
 
 
+def _stored(spark, sf_dir, replace: bool):
+    """History and new edges written through the store as two batches, read back."""
+    inp = inputs(spark, sf_dir)
+    store = EdgeStore(spark, _scratch(spark, "store")).init()
+    for i, edges in enumerate(_split_edges(inp)):
+        edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+        store.write_batch(edges, i, replace_models=inp.runnable if replace and i else None)
+        edges.unpersist()
+    return op.named_csv_rows(store.read_edges())
+
+
+def store_accumulate(spark, sf_dir):
+    return _stored(spark, sf_dir, replace=False)
+
+
+def store_replace(spark, sf_dir):
+    return _stored(spark, sf_dir, replace=True)
+
+
 # ---------------------------------------------------------------- status, files
 def status_latest(spark, sf_dir):
     inp = inputs(spark, sf_dir)
@@ -310,14 +369,16 @@ def status_latest(spark, sf_dir):
     active = op.active_params(inp.params, as_of=fx.AS_OF)
     failed = op.status_event(op.rejected_params(active), "failed", as_of)
     stopped = op.status_event(inp.params.where(~F.col("switch_on")), "stop", as_of)
-    events = initial.unionByName(running).unionByName(success).unionByName(failed).unionByName(stopped)
-    return op.latest_status(events).select("model_id", "status", _ntz("at"))
+    log = StatusLog(spark, _scratch(spark, "status_latest")).init()
+    for i, events in enumerate((initial, running, success, failed, stopped)):
+        log.append(events, i)
+    return log.current().select("model_id", "status", _ntz("at"))
 
 
 def flow_day_files(spark, sf_dir):
-    inp = inputs(spark, sf_dir)
-    day = F.date_format(to_local("event_time", fx.LOCAL_ZONE), "yyyy-MM-dd")
-    return inp.complete.groupBy(day.alias("dt")).agg(F.count(F.lit(1)).alias("n_flows"))
+    path = _scratch(spark, "flow_day_files")
+    write_day_files(inputs(spark, sf_dir).complete, path, fx.LOCAL_ZONE)
+    return spark.read.parquet(path).groupBy(F.col("dt").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("n_flows"))
 
 
 def profile_stream(spark, sf_dir):
@@ -330,6 +391,8 @@ QUERIES = {
     "flow_quarantine": flow_quarantine,
     "kafka_envelope": kafka_envelope_q,
     "active_params": active_params_q,
+    "active_params_child3": active_params_child3,
+    "text_params": text_params,
     "normalised_params": normalised_params_q,
     "latest_params": latest_params_q,
     "params_diff": params_diff,
@@ -351,6 +414,12 @@ QUERIES = {
     "profile_named_list": profile_named_list,
     "profile_named_csv": profile_named_csv,
     "profile_decode": profile_decode,
+    "profile_decode_list": profile_decode_list,
+    "profile_decode_csv": profile_decode_csv,
+    "profile_peer_edges": profile_peer_edges,
+    "profile_multiset_counts": profile_multiset_counts,
+    "store_accumulate": store_accumulate,
+    "store_replace": store_replace,
     "profile_accumulate": profile_accumulate,
     "profile_replace": profile_replace,
     "profile_by_mode": profile_by_mode,
@@ -365,6 +434,8 @@ OPERATORS = {
     "flow_quarantine": "H8 C1 C2: rejected records counted by reason",
     "kafka_envelope": "A2 C7: key, metadata and the upper-case-key JSON of each parsed record",
     "active_params": "A6 C3 F7 F8 F9: active, runnable models with rate, cycle and in-scope asset count",
+    "active_params_child3": "A7 C3: the scan of child type 3, with in-scope asset count",
+    "text_params": "F7 F8 F9 A8: a text-typed parameter table, one model per customer, normalised",
     "normalised_params": "A8 F2 F7 F8 F9 D3: every model normalised, with asset counts for both group modes",
     "latest_params": "E6 A8: last version of each model over two snapshots",
     "params_diff": "D7 H7: per-model change flags and the stored edges affected",
@@ -386,12 +457,19 @@ OPERATORS = {
     "profile_named_list": "G1 F5 F10: stored profiles, named-list encoding",
     "profile_named_csv": "G1 F5 F10: stored profiles, named-csv encoding",
     "profile_decode": "G2: keyed profiles decoded back to edges",
+    "profile_decode_list": "G2: named-list profiles decoded back to edges",
+    "profile_decode_csv": "G2: named-csv profiles decoded back to edges",
+    "profile_peer_edges": "E1: the peer profile as edges, its form for gateways with very many peers",
+    "profile_multiset_counts": "E3: flows per (model, asset, segment, IP), the long form of the non-distinct profile",
+    "store_accumulate": "B1 B3 A9: two batches written through the edge store and read back",
+    "store_replace": "B2 A9: the same, the second batch replacing the models it has edges for",
     "profile_accumulate": "B3 E4 D6 A9: history and new edges merged (set union)",
     "profile_replace": "B2: history replaced by new edges",
     "profile_by_mode": "B2 B3: each model merged by its update mode",
-    "status_latest": "B7 E6: current status per model from the status events",
-    "flow_day_files": "B6 F11: flows per local day (the day-file partitions)",
-    "profile_stream": "A1 B1 B5 H1-H6: the streaming job over the events file stream, read back from the edge store",
+    "status_latest": "B7 E6 C8: current status per model, read from the status log that the events were appended to",
+    "flow_day_files": "B6 F11: day files written by the sink and read back, flows per local day",
+    "profile_stream": "A1 A2 B1 B5 C1 C2 H1-H6 H8: the live path over Kafka-shaped files: parse, quarantine, a restart, a refresh; "
+                      "profile and quarantine count read back",
 }
 for _name, _fn in QUERIES.items():
     _fn.__doc__ = OPERATORS[_name]

@@ -47,16 +47,23 @@ def get_session(master: str | None = None, app_name: str = "assetlens", **conf)
     return spark
 
 
+def is_local(master: str) -> bool:
+    """True where driver and executors are one process (``local``, ``local[N]``), not for ``local-cluster``."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set to a shared file system; only when it is unset (local tests)
-    a private temporary folder is created and registered.
+    On a cluster this must be set to a shared file system; only in local mode, where one process does all the work,
+    a private temporary folder stands in for it.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="assetlens-ckpt-")
+        if not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="assetlens-ckpt-")  # local mode only
         try:
             spark.conf.set("spark.checkpoint.dir", path)
         except Exception:  # noqa: BLE001 - some deployments reject runtime core settings

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import to_local
+from ..functions import local_day
 
 DEFAULT_ZONE = "Asia/Shanghai"
 
 
 def day_column(ts: str = "event_time", tz: str = DEFAULT_ZONE) -> F.Column:
-    return F.date_format(to_local(ts, tz), "yyyy-MM-dd")
+    return local_day(ts, tz)
 
 
 def write_day_files(flows: DataFrame, path: str, tz: str = DEFAULT_ZONE, fmt: str = "parquet",

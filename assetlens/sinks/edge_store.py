@@ -5,21 +5,31 @@ Layout under ``root``::
     edges/model_id=M/gen=G/batch_id=N/part-*.parquet   edge rows
     commits/part-*.parquet                            (model_id, gen, batch_id) of replace runs
 
+    modes/part-*.parquet                              (model_id, accumulate, batch_id) update modes applied
+
 * A batch is written with dynamic partition overwrite into ``batch_id=N`` of each model's
   current generation, so replaying batch N rewrites the same folders (exactly-once by
   idempotence, B5).
 * Accumulate (B3) = append a batch; the read view deduplicates the edge key (set union, E4).
 * Replace (B2) = write the batch into generation G+1 and then append a commit row; readers
   switch generation only when the commit exists, so a crash in between leaves the old
-  profile visible. A replay of the same batch reuses the generation it committed.
+  profile visible. A replay of the same batch reuses the generation it committed. A model is only
+  replaced by a batch that has edges for it: a batch without any leaves its profile alone.
 * A model's current generation is the highest committed one. The first accumulate write of a
   model commits generation 0, so the read view is an equi join of the edges with the (small)
   generation table on the partition columns (model_id, gen): dynamic partition pruning then
   skips old generations' folders.
+* Commits are only written for new generations, and read once per batch. ``compact`` rewrites the
+  current profile as one folder per model, ``vacuum`` removes what no reader needs any more.
+
+The driver holds the models' generations and update modes: some numbers per model, a configuration-sized table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.common import bounded_broadcast
@@ -30,6 +40,8 @@ _STORED = T.StructType(EDGE.fields + [T.StructField("gen", T.IntegerType()),
                                       T.StructField("batch_id", T.LongType())])
 _COMMIT = T.StructType([T.StructField("model_id", T.StringType()), T.StructField("gen", T.IntegerType()),
                         T.StructField("batch_id", T.LongType())])
+_MODE = T.StructType([T.StructField("model_id", T.StringType()), T.StructField("accumulate", T.BooleanType()),
+                      T.StructField("batch_id", T.LongType())])
 
 
 class EdgeStore:
@@ -38,12 +50,14 @@ class EdgeStore:
         self.root = root.rstrip("/")
         self.data = f"{self.root}/edges"
         self.commits = f"{self.root}/commits"
+        self.modes = f"{self.root}/modes"
 
     def init(self) -> "EdgeStore":
         """Create empty tables (no-op when they exist)."""
         empty = self.spark.createDataFrame([], _STORED)
         empty.write.mode("ignore").partitionBy("model_id", "gen", "batch_id").parquet(self.data)
         self.spark.createDataFrame([], _COMMIT).write.mode("ignore").parquet(self.commits)
+        self.spark.createDataFrame([], _MODE).write.mode("ignore").parquet(self.modes)
         return self
 
     # ------------------------------------------------------------------ reads
@@ -66,20 +80,28 @@ class EdgeStore:
         """A9 for one model (partition pruned on model_id)."""
         return self.read_edges().where(F.col("model_id") == model_id)
 
+    def applied_modes(self) -> dict[str, bool]:
+        """The update mode (True: accumulate) last applied to each model."""
+        rows = self.spark.read.schema(_MODE).parquet(self.modes)
+        return dict(rows.groupBy("model_id").agg(F.max_by("accumulate", "batch_id")).collect())
+
     # ------------------------------------------------------------------ writes
-    def _target_gens(self, models: DataFrame, batch_id: int, replace: bool) -> DataFrame:
-        commits = self.commit_rows()
-        cur = commits.groupBy("model_id").agg(F.max("gen").alias("_cur"))
-        if not replace:
-            return models.join(bounded_broadcast(cur), "model_id", "left") \
-                .select("model_id", F.coalesce("_cur", F.lit(0)).cast("int").alias("gen"))
-        mine = commits.where(F.col("batch_id") == batch_id).groupBy("model_id").agg(F.max("gen").alias("_mine"))
-        before = commits.where(F.col("batch_id") != batch_id).groupBy("model_id").agg(F.max("gen").alias("_before"))
-        j = models.join(bounded_broadcast(mine), "model_id", "left").join(bounded_broadcast(before), "model_id", "left")
-        return j.select("model_id", F.coalesce("_mine", F.coalesce("_before", F.lit(0)) + 1).cast("int").alias("gen"))
-
-    def _write(self, edges: DataFrame, gens: DataFrame, batch_id: int) -> None:
-        rows = edges.select(*EDGE_KEY, "updated_at").join(bounded_broadcast(gens), "model_id", "inner") \
+    def record_modes(self, modes: dict[str, bool], batch_id: int) -> None:
+        """Remember update modes as applied from batch ``batch_id`` on."""
+        if modes:
+            rows = [(m, acc, batch_id) for m, acc in sorted(modes.items())]
+            self.spark.createDataFrame(rows, _MODE).coalesce(1).write.mode("append").parquet(self.modes)
+
+    def _generations(self, batch_id: int) -> dict[str, tuple[int, int | None]]:
+        """Per model its current generation and the one that this batch committed, if any: one read of the commits."""
+        rows = self.commit_rows().groupBy("model_id").agg(
+            F.max("gen").alias("cur"), F.max(F.when(F.col("batch_id") == batch_id, F.col("gen"))).alias("mine"))
+        return {r["model_id"]: (r["cur"], r["mine"]) for r in rows.collect()}
+
+    def _write(self, edges: DataFrame, gens: dict[str, int], batch_id: int) -> None:
+        # a row per model of the batch
+        table = self.spark.createDataFrame(sorted(gens.items()), "model_id string, gen int")
+        rows = edges.select(*EDGE_KEY, "updated_at").join(bounded_broadcast(table, bound=len(gens)), "model_id", "inner") \
             .withColumn("batch_id", F.lit(batch_id).cast("long"))
         # REBALANCE groups rows by their output folder and lets AQE split an oversized model into
         # advisory-size chunks: few, evenly sized files per (model, gen, batch) instead of one file
@@ -95,41 +117,83 @@ class EdgeStore:
         cur = e.join(bounded_broadcast(self.generations()), ["model_id", "gen"], "inner")
         return cur.select(*EDGE_KEY)
 
-    def write_batch(self, edges: DataFrame, batch_id: int, replace_models: DataFrame | None = None,
-                    only_new: bool = False) -> None:
-        """B1/B3 (accumulate) and, for ``replace_models`` (column model_id), B2 (replace).
+    def write_batch(self, edges: DataFrame, batch_id: int, replace_models: DataFrame | Iterable[str] | None = None,
+                    only_new: bool = False) -> set[str]:
+        """B1/B3 (accumulate) and, for ``replace_models`` (ids, or a table with a column model_id), B2 (replace).
 
-        ``edges`` should be deduplicated already (``profile_edges`` output is). With ``only_new``
-        accumulate edges already stored are not written again (a left anti join with the current
+        Returns the models that had edges. Those without any keep their profile, also when they are to be replaced.
+        ``edges`` should be deduplicated already (``profile_edges`` output is) and cheap to read twice. With
+        ``only_new`` edges that are already stored are not written again (a left anti join with the current
         profile, excluding this batch's own folders so that a replay does not erase itself); this
         keeps the table growing with new edges only, at the cost of reading the stored keys.
         """
-        acc_edges = edges
-        if replace_models is not None:
-            rm = bounded_broadcast(replace_models.select("model_id").distinct())
-            acc_edges = edges.join(rm, "model_id", "left_anti")
-            rep_edges = edges.join(rm, "model_id", "left_semi")
-            rep_gens = self._target_gens(rm, batch_id, replace=True).cache()
-            self._write(rep_edges, rep_gens, batch_id)
-            rep_gens.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(self.commits)
-            rep_gens.unpersist()
+        if isinstance(replace_models, DataFrame):
+            replace_models = [r[0] for r in replace_models.select("model_id").distinct().collect()]
+        present = {r[0] for r in edges.select("model_id").distinct().collect()}
+        replaced = present & set(replace_models or ())
+        if not present:
+            return present
+        known = self._generations(batch_id)
+        gens, new = {}, []
+        for m in present:
+            cur, mine = known.get(m, (None, None))
+            if m in replaced and mine is None:
+                gens[m] = 0 if cur is None else cur + 1
+            else:
+                gens[m] = mine if m in replaced else cur or 0
+            if m not in known or (m in replaced and mine is None):
+                new.append((m, gens[m], batch_id))
         if only_new:
-            acc_edges = acc_edges.join(self.stored_except(batch_id), EDGE_KEY, "left_anti")
-        models = acc_edges.select("model_id").distinct()
-        gens = self._target_gens(models, batch_id, replace=False).cache()
-        self._write(acc_edges, gens, batch_id)
-        # first write of a model: commit its generation 0 (after the data, like a replace)
-        known = self.commit_rows().select("model_id").distinct()
-        new = gens.join(bounded_broadcast(known), "model_id", "left_anti")
-        new.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(self.commits)
-        gens.unpersist()
-
-    def compact(self, batch_id: int = -1) -> None:
+            old = self.stored_except(batch_id).where(~F.col("model_id").isin(sorted(replaced)))
+            edges = edges.join(old, EDGE_KEY, "left_anti")
+        self._write(edges, gens, batch_id)
+        if new:  # after the data, so that a crash in between changes nothing
+            self.spark.createDataFrame(sorted(new), _COMMIT).coalesce(1).write.mode("append").parquet(self.commits)
+        return present
+
+    def compact(self, batch_id: int | None = None) -> None:
         """Rewrite every model's current profile as one new generation (fewer files, no duplicates).
 
-        The snapshot is written as a table under the store root first, which also cuts the lineage.
+        Without ``batch_id`` a fresh id is taken; a given one (even and negative, see ``compaction_id``) makes a
+        replay of the same compaction do nothing. The snapshot is written as a table under the store root first, which also
+        cuts the lineage.
         """
+        seen = self.commit_rows().agg(F.min("batch_id"), F.max(F.col("batch_id") == F.lit(batch_id))).first()
+        if seen[1]:
+            return
+        if batch_id is None:
+            batch_id = min(seen[0] or 0, 0) - 1
+            batch_id -= 1 - batch_id % 2  # odd: apart from the ids of a stream's compactions
         path = f"{self.root}/compact/batch_id={batch_id}"
         self.read_edges().write.mode("overwrite").parquet(path)
         snap = self.spark.read.parquet(path)
-        self.write_batch(snap, batch_id, replace_models=snap.select("model_id").distinct())
+        self.write_batch(snap, batch_id, replace_models=snap.select("model_id"))
+
+    @staticmethod
+    def compaction_id(batch_id: int) -> int:
+        """The id of the compaction that follows stream batch ``batch_id``."""
+        return -2 * (batch_id + 1)
+
+    def vacuum(self, keep: int = 1) -> None:
+        """Remove generations older than the last ``keep`` before the current one, compaction snapshots, and all but the
+        current rows of the commit and mode tables. Run it where batches are written, not beside a running batch;
+        readers that began under a kept generation are not disturbed."""
+        jvm = self.spark._jvm
+        conf, new_path = self.spark._jsc.hadoopConfiguration(), jvm.org.apache.hadoop.fs.Path
+        fs = new_path(self.root).getFileSystem(conf)
+        current = {m: cur for m, (cur, _) in self._generations(0).items()}
+        for status in fs.globStatus(new_path(f"{self.data}/model_id=*/gen=*")) or []:
+            path = status.getPath()
+            model, gen = unquote(path.getParent().getName().split("=", 1)[1]), path.getName().split("=", 1)[1]
+            if model in current and gen.isdigit() and int(gen) < current[model] - keep:
+                fs.delete(path, True)
+        fs.delete(new_path(f"{self.root}/compact"), True)
+        for table, rows, order in ((self.commits, self.commit_rows(), "gen"),
+                                   (self.modes, self.spark.read.schema(_MODE).parquet(self.modes), "batch_id")):
+            files = [f.getPath() for f in fs.globStatus(new_path(f"{table}/part-*")) or []]
+            last = rows.groupBy("model_id").agg(F.max_by(F.struct(*rows.columns), order).alias("r")).select("r.*").collect()
+            if len(files) > 1 and last:
+                # repeated rows change nothing, so the merged file may stand beside the old ones for a moment
+                self.spark.createDataFrame(last, rows.schema).coalesce(1).write.mode("append").parquet(table)
+                for f in files:
+                    fs.delete(f, False)

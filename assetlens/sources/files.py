@@ -24,7 +24,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = Fa
 
 def read_flow_files(spark: SparkSession, path: str, streaming: bool = False, fmt: str = "text",
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """One JSON flow per line, as column ``value`` (same shape as ``kafka_values``)."""
+    """One JSON flow per line, as column ``value`` (the record value of ``kafka_envelope``)."""
     r = spark.readStream if streaming else spark.read
     if streaming and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))

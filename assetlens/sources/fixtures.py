@@ -14,8 +14,6 @@ flow (from lineitem and orders)
 asset (from customer)
     entity_id = 'c' || c_custkey, group = c_mktsegment, area_id = c_custkey mod 5,
     asset_ip = {"00:00":["<ip>"]}; every tenth customer also has {"00:01":["10.1.x.y","<ip>"]}
-asset (from supplier)
-    entity_id = 's' || s_suppkey, group SUPPLIER, ip 10.2.x.y
 Kafka rows (from flows)
     key = flow_id, value = JSON of the flow (odd event ids use the upper-case keys),
     topic csp_flow, partition = event_id mod 3, offset = event_id, timestamp = ts;
@@ -30,7 +28,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.ips import ip_of_key
 from ..schemas import PARAMS
-from .files import read_table
 
 # Fixed values of the fixture.
 TOPIC = "csp_flow"
@@ -96,17 +93,6 @@ def assets_from_customers(customers: DataFrame) -> DataFrame:
     )
 
 
-def assets_from_suppliers(suppliers: DataFrame) -> DataFrame:
-    key = F.col("s_suppkey")
-    return suppliers.select(
-        F.concat(F.lit("s"), key.cast("string")).alias("entity_id"),
-        F.col("s_name").alias("entity_name"),
-        F.concat(F.lit('{"00:00":["'), _ip("2", key), F.lit('"]}')).alias("asset_ip"),
-        (key % N_AREAS).cast("int").alias("area_id"),
-        F.lit("SUPPLIER").alias("entity_groups"),
-    )
-
-
 def _groups(text: str) -> str:
     return '{"model_entity_group":"%s"}' % text
 
@@ -173,12 +159,29 @@ def kafka_rows(events: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def load_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Flows, assets and params for a driver-table folder."""
-    events = read_table(spark, sf_dir, "events")
-    customers = read_table(spark, sf_dir, "customer")
-    return {
-        "flows": flows_from_events(events, customers),
-        "assets": assets_from_customers(customers),
-        "params": model_params(spark),
-    }
+# Spellings of numbers and switches as configuration tables hold them.
+INT_TEXTS = ["1", " 2 ", "12.9", "", "null", "bad", "-3.7", "4"]
+BOOL_TEXTS = ["1", "yes", " TRUE", "no", "0", "maybe", None, "False"]
+
+
+def text_params(customers: DataFrame) -> DataFrame:
+    """A parameter table with one model per customer and every field as text, in all spellings."""
+    key = F.col("c_custkey")
+
+    def pick(texts: list, at) -> F.Column:
+        return F.get(F.array(*[F.lit(t).cast("string") for t in texts]), (at % len(texts)).cast("int"))
+
+    return customers.select(
+        F.concat(F.lit("p"), key.cast("string")).alias("id"),
+        pick(["1", "1.0", "2", "x"], key).alias("model_type"),
+        pick(["1", "3"], key).alias("model_child_type"),
+        pick(["hh", "dd", "MM", "??", None], key).alias("model_rate_timeunit"),
+        pick(INT_TEXTS, F.floor(key / 8)).alias("model_rate_timeunit_num"),
+        pick(INT_TEXTS, key).alias("model_result_span"),
+        pick(BOOL_TEXTS, F.floor(key / 4)).alias("model_update"),
+        pick(BOOL_TEXTS, key).alias("model_switch"),
+        pick(BOOL_TEXTS, F.floor(key / 2)).alias("model_switch_2"),
+        F.concat(F.lit('{"model_entity_group":"'), F.col("c_mktsegment"), F.lit('"}')).alias("model_alt_params"),
+        pick(["prepare", None], key).alias("model_task_status"),
+        F.lit("2024-01-01 00:00:00").alias("modify_time"),
+    )

@@ -41,8 +41,9 @@ def read_assets_jdbc(spark: SparkSession, url: str, table: str = "asset", groups
 
 
 def read_params_jdbc(spark: SparkSession, url: str, table: str = "modeling_params", **kw) -> DataFrame:
-    """The parameter table with the 15 typed fields (filters are applied by operators.params)."""
-    return read_jdbc(spark, url, table, **kw).select(*[F.col(f.name).cast(f.dataType) for f in PARAMS.fields])
+    """The 15 fields of the parameter table. Databases hold some of them as text, so types are given by
+    ``operators.normalise_params``, whose casts never fail; filters are applied by operators.params."""
+    return read_jdbc(spark, url, table, **kw).select(*[F.col(f.name).alias(f.name) for f in PARAMS.fields])
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "append", batchsize: int = 4096,

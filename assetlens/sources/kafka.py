@@ -26,11 +26,6 @@ def read_kafka(spark: SparkSession, opts: dict[str, str], streaming: bool = True
         raise
 
 
-def kafka_values(records: DataFrame) -> DataFrame:
-    """A1: the record value as UTF-8 text, one column ``value``."""
-    return records.select(F.col("value").cast("string").alias("value"))
-
-
 def kafka_envelope(records: DataFrame) -> DataFrame:
     """A2: key and value as text plus the record metadata."""
     return records.select(

@@ -8,19 +8,20 @@
 * Each micro-batch is aggregated once and written to ``batch_id=N`` folders (B1, B5), so the
   checkpoint (H4) plus idempotent writes give exactly-once results after a restart or a lost
   executor.
-* On a refresh the new params are compared with the old ones (D7); models whose update mode is
-  0 (replace) are written as a new generation when ``honour_update_mode`` is set (H7).
-  The live path of the original job always accumulates, which is the default here.
+* With ``honour_update_mode`` (H7) the models' update modes are compared with those last applied, which the store
+  keeps, so the comparison survives a restart. A model that has turned to replace (0) is written as a new
+  generation once, by the first batch that has edges for it. The live path of the original job always
+  accumulates, which is the default here.
 * Malformed records go to a quarantine table instead of failing the query (H8).
-* Status events (B7): ``running`` when the query starts, ``success`` after the first batch
-  that produced edges.
+* Status events (B7): ``running`` when the query starts, ``failed`` for models that cannot run, ``success`` after
+  a model's first batch with edges, ``stop`` when the query fails.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,7 +32,8 @@ from ..session import scratch_path
 from ..sinks.edge_store import EdgeStore
 from ..sinks.status_log import StatusLog
 
-ScopeLoader = Callable[[], "tuple[DataFrame, DataFrame]"]
+# Returns the runnable models, the (model, asset) table and, optionally, the models that cannot run.
+ScopeLoader = Callable[[], "tuple[DataFrame, DataFrame] | tuple[DataFrame, DataFrame, DataFrame]"]
 
 
 class ProfileStream:
@@ -40,7 +42,7 @@ class ProfileStream:
                  prepare: Callable[[DataFrame], DataFrame] | None = None, parse: bool = False,
                  tz: str | None = None, ttl_s: float = 3600.0, honour_update_mode: bool = False,
                  side: str = "src", host: str = "own", join_opts: dict | None = None,
-                 segment_time: str = "event", only_new_edges: bool = False, compact_every: int = 0):
+                 segment_time: str = "event", only_new_edges: bool = False, compact_every: int = 100):
         self.spark = spark
         self.scope_loader = scope_loader
         self.store = store
@@ -59,30 +61,52 @@ class ProfileStream:
         # 'processing' keys segments by the wall clock when the batch runs, as the original job did
         self.segment_time = segment_time
         self.only_new_edges = only_new_edges
-        # every N batches the current profile is rewritten as one generation (0 = never)
+        # every N batches the current profile is rewritten as one generation and older ones removed (0 = never)
         self.compact_every = compact_every
         self._loaded_at = 0.0
         self._params: DataFrame | None = None
         self._scoped: DataFrame | None = None
-        self._succeeded = False
-        self.last_diff: DataFrame | None = None
+        self._modes: dict[str, bool] = {}      # update mode wanted per model
+        self._applied: dict[str, bool] | None = None  # and last applied
+        self._succeeded: set[str] = set()
+        self._failed: set[str] = set()
 
     # H6: refresh the static side when it is older than the TTL
     def _refresh(self) -> None:
         if self._scoped is not None and time.monotonic() - self._loaded_at < self.ttl_s:
             return
-        params, scoped = self.scope_loader()
+        params, scoped, *failed = self.scope_loader()
         # the snapshot is persisted so that every use within the TTL sees the same rows
         params, scoped = params.cache(), scoped.cache()
         if self._params is not None:
-            self.last_diff = op.diff_params(self._params, params).cache()   # D7 / H7
             self._params.unpersist()
             self._scoped.unpersist()
         self._params, self._scoped = params, scoped
-        self._spans = op.model_spans(params)      # config-sized: decides the pre-aggregation keys
+        rows = params.select("model_id", "span", "accumulate").collect()  # a row per model
+        self._modes = {r["model_id"]: bool(r["accumulate"]) for r in rows}
+        self._spans = sorted({r["span"] for r in rows if r["span"] is not None})  # decides the pre-aggregation keys
         self._loaded_at = time.monotonic()
+        if self.status is not None and failed:
+            ids = {r[0] for r in failed[0].select("model_id").distinct().collect()}
+            self._report(ids - self._failed, "failed")
+            self._failed = ids
+
+    def _report(self, models: Iterable[str], status: str) -> None:
+        """One status event per model, in a folder of its own, so that nothing overwrites earlier events."""
+        models = sorted(models)
+        if self.status is not None and models:
+            table = self.spark.createDataFrame([(m,) for m in models], "model_id string")
+            self.status.append(op.status_event(table, status, F.current_timestamp()), time.time_ns())
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch; a failure is reported as ``stop`` before it ends the query."""
+        try:
+            self._process(batch, batch_id)
+        except Exception:
+            self._report(self._modes, "stop")
+            raise
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         self._refresh()
         df = self.prepare(batch) if self.prepare else batch
         parsed = None
@@ -91,7 +115,8 @@ class ProfileStream:
             if self.quarantine_path:
                 # parsed once for both uses: the quarantine write and the profile
                 parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-                (op.quarantine(parsed).withColumn("batch_id", F.lit(batch_id).cast("long"))
+                (op.quarantine(parsed, op.host_columns(self.side, self.host)[1])
+                 .withColumn("batch_id", F.lit(batch_id).cast("long"))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(self.quarantine_path))
             df = parsed
@@ -101,9 +126,8 @@ class ProfileStream:
             if parsed is not None and self.quarantine_path:
                 parsed.unpersist()
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            # negative ids keep compaction folders apart from stream batches; a replay of this batch
-            # compacts again into the generation it committed
-            self.store.compact(batch_id=-(batch_id + 1))
+            self.store.compact(self.store.compaction_id(batch_id))
+            self.store.vacuum()
 
     def _write_profile(self, df: DataFrame, batch_id: int) -> None:
         flows = op.complete_flows(df)
@@ -115,26 +139,44 @@ class ProfileStream:
                                  time_col=time_col, spans=self._spans, **self.join_opts) \
             .persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            replace = op.replace_set(self._params, "by_model") if self.honour_update_mode else None
-            self.store.write_batch(edges, batch_id, replace_models=replace, only_new=self.only_new_edges)
-            if self.status is not None and not self._succeeded and not edges.isEmpty():
-                self.status.append(op.status_event(self._params, "success", F.current_timestamp()), batch_id)
-                self._succeeded = True
+            replace = self._to_replace(batch_id)
+            present = self.store.write_batch(edges, batch_id, replace_models=replace, only_new=self.only_new_edges)
+            if done := replace & present:
+                self.store.record_modes({m: False for m in done}, batch_id)
+                self._applied.update({m: False for m in done})
+            self._report(present - self._succeeded, "success")
+            self._succeeded |= present
         finally:
             edges.unpersist()
 
+    def _to_replace(self, batch_id: int) -> set[str]:
+        """Models that turned from accumulate to replace and have not been replaced since.
+
+        A model met for the first time, or turned to accumulate, only has its mode recorded.
+        """
+        if not self.honour_update_mode:
+            return set()
+        if self._applied is None:
+            self._applied = self.store.applied_modes()
+        turned = {m for m, acc in self._modes.items() if not acc and self._applied.get(m)}
+        learned = {m: acc for m, acc in self._modes.items() if m not in turned and self._applied.get(m) != acc}
+        if learned:
+            self.store.record_modes(learned, batch_id)
+            self._applied.update(learned)
+        return turned
+
     def close(self) -> None:
         """Release the cached static-side snapshot (call after the query has stopped)."""
-        for df in (self._params, self._scoped, self.last_diff):
+        for df in (self._params, self._scoped):
             if df is not None:
                 df.unpersist()
-        self._params = self._scoped = self.last_diff = None
+        self._params = self._scoped = None
 
     def start(self, flows_stream: DataFrame, checkpoint: str, trigger: dict | None = None,
               query_name: str | None = None):
         if self.status is not None:
             self._refresh()
-            self.status.append(op.status_event(self._params, "running", F.current_timestamp()), -1)
+            self._report(self._modes, "running")
         w = flows_stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
         if query_name:
             w = w.queryName(query_name)
@@ -142,6 +184,16 @@ class ProfileStream:
             w = w.trigger(**trigger)
         return w.start()
 
+    def await_end(self, query) -> None:
+        """Wait for the query; report ``stop`` for every model if it failed, also outside a micro-batch, and raise."""
+        try:
+            query.awaitTermination()
+        except Exception:
+            self._report(self._modes, "stop")
+            raise
+        finally:
+            self.close()
+
 
 def start_profile_stream(spark: SparkSession, flows_stream: DataFrame, scope_loader: ScopeLoader,
                          store: EdgeStore, checkpoint: str, trigger: dict | None = None, **kw):
@@ -149,64 +201,59 @@ def start_profile_stream(spark: SparkSession, flows_stream: DataFrame, scope_loa
     return ProfileStream(spark, scope_loader, store, **kw).start(flows_stream, checkpoint, trigger)
 
 
-def run_profile_stream_on_files(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None,
-                                root: str | None = None) -> DataFrame:
-    """Run the job once over the ``events`` table as a file stream (``availableNow``) and return
-    the rendered profile read back from the edge store."""
+def run_profile_stream_on_files(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    """The live path over Kafka-shaped files: the first topic partition is read, the query ends, the others arrive, and
+    a new query goes on from the checkpoint, re-reading its static side before each of its batches. Records are
+    parsed, bad ones quarantined. Returns the rendered profile read back from the edge store, with the number of
+    quarantined records."""
     from ..plans.queries import Inputs
     from ..sources import fixtures as fx
-    from ..sources.files import read_table
+    from ..sources.files import read_kafka_files
+    from ..sources.kafka import kafka_envelope
 
     root = root or scratch_path(spark, f"profile_stream/{uuid.uuid4().hex}")
-    inp = Inputs(spark, sf_dir)
-    customers = inp.table("customer")
     store = EdgeStore(spark, f"{root}/store").init()
     status = StatusLog(spark, f"{root}/status").init()
+    records, topic = Inputs(spark, sf_dir).kafka, f"{root}/topic"
 
     def scope_loader():
         fresh = Inputs(spark, sf_dir)
-        return fresh.runnable, fresh.scoped("contains")
-
-    events = read_table(spark, sf_dir, "events", streaming=True, max_files_per_trigger=max_files_per_trigger)
-    job = ProfileStream(spark, scope_loader, store, status=status,
-                        prepare=lambda b: fx.flows_from_events(b, customers))
-    q = job.start(events, f"{root}/checkpoint", trigger={"availableNow": True})
-    try:
-        q.awaitTermination()
-    finally:
-        job.close()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return op.named_csv_rows(store.read_edges())
-
-
-def edge_stream(flows_stream: DataFrame, scoped: DataFrame, watermark: str = "1 hour", side: str = "src",
-                host: str = "own", tz: str | None = None) -> DataFrame:
-    """H3 (time-bounded form): a streaming DataFrame of edges, deduplicated within the watermark.
-
-    Flows are matched with the static (model, asset) table (stream-static join, no join state)
-    and edges are deduplicated with ``dropDuplicatesWithinWatermark``, whose state only covers
-    ``watermark`` of event time. A duplicate arriving later is emitted again; the edge table's read
-    view (``dedupe_edges``) removes it, so the stored profile is still a set.
+        return fresh.runnable, fresh.scoped("contains"), op.failed_params(fresh.params, as_of=fx.AS_OF)
+
+    for arrived, ttl_s in ((F.col("partition") == 0, 3600.0), (F.col("partition") > 0, 0.0)):
+        records.where(arrived).write.mode("append").partitionBy("partition").parquet(topic)
+        files = len(spark.read.parquet(topic).inputFiles())
+        job = ProfileStream(spark, scope_loader, store, status=status, prepare=kafka_envelope, parse=True,
+                            quarantine_path=f"{root}/quarantine", ttl_s=ttl_s)
+        stream = read_kafka_files(spark, topic, streaming=True, max_files_per_trigger=-(-files // 3))
+        job.await_end(job.start(stream, f"{root}/checkpoint", trigger={"availableNow": True}))
+    bad = spark.read.parquet(f"{root}/quarantine").count()
+    return op.named_csv_rows(store.read_edges()).withColumn("n_quarantined", F.lit(bad).cast("long"))
+
+
+def edge_stream(flows_stream: DataFrame, scoped: DataFrame, side: str = "src", host: str = "own",
+                tz: str | None = None) -> DataFrame:
+    """H3 (append form): a streaming DataFrame of edges, however late their flows come.
+
+    Flows are matched with the static (model, asset) table (stream-static join, no join state). Nothing is held
+    back or dropped by event time and no state is kept: an edge seen again is appended again, and the read view of
+    the edge table (``dedupe_edges``) makes it a set, as for every other writer.
     """
     from ..functions.segments import key_for_span
-    from ..operators.profile import _host
 
-    id_col, ip_col = _host(side, host)
+    id_col, ip_col = op.host_columns(side, host)
     models = scoped.select("model_id", "span", F.col("entity_id").alias("_eid"))
     f = op.complete_flows(flows_stream).where(F.col(ip_col).isNotNull())
     j = f.join(op.bounded_broadcast(models), f[id_col] == F.col("_eid"), "inner")
     seg = segment_candidates("event_time", tz)
     e = j.select("model_id", "span", F.col("_eid").alias("entity_id"), F.col(ip_col).alias("host_ip"),
                  "event_time", *seg)
-    e = e.select("model_id", "entity_id", key_for_span("span").cast("int").alias("segment_key"), "host_ip",
-                 F.col("event_time").alias("updated_at"))
-    return e.withWatermark("updated_at", watermark).dropDuplicatesWithinWatermark(
-        ["model_id", "entity_id", "segment_key", "host_ip"])
+    return e.select("model_id", "entity_id", key_for_span("span").cast("int").alias("segment_key"), "host_ip",
+                    F.col("event_time").alias("updated_at"))
 
 
 def start_edge_file_stream(edges: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    """Append the deduplicated edge stream to parquet (file sink + checkpoint = exactly once)."""
+    """Append the edge stream to parquet (file sink + checkpoint = exactly once)."""
     w = (edges.writeStream.format("parquet").outputMode("append").option("path", path)
          .option("checkpointLocation", checkpoint).partitionBy("model_id"))
     if trigger:

@@ -50,9 +50,20 @@ def test_latest_is_an_aggregate_not_a_window(spark):
     assert "Window" not in plan and "max_by" in plan.lower()
 
 
-def test_profile_preaggregates_before_the_join(spark):
-    plan = executed(entry.queries()["profile_src"](spark, SF001))
-    lines = plan.splitlines()
-    join_at = next(i for i, l in enumerate(lines) if "BroadcastHashJoin" in l and "entity_id" in l)
-    # a partial aggregate over the flows sits below (after, in the text) the join
-    assert any("HashAggregate" in l and "seg_hour" in l for l in lines[join_at:])
+def test_profile_meets_a_small_scope_before_any_shuffle_of_flows(spark):
+    lines = executed(entry.queries()["profile_src"](spark, SF001)).splitlines()
+    join_at = next(i for i, l in enumerate(lines) if "BroadcastHashJoin" in l and "_eid" in l)
+    # below (after, in the text) the join the flow side has no hash exchange; above it edges are combined map-side
+    flow_side = [l for l in lines[join_at:] if "hashpartitioning(src_id" in l or "seg_hour" in l]
+    assert not flow_side
+    assert any("partial_max" in l for l in lines[:join_at])
+
+
+def test_profile_preaggregates_before_a_shuffled_join(spark):
+    from assetlens.plans.queries import Inputs
+    inp = Inputs(spark, SF001)
+    small = op.profile_edges(inp.complete, inp.scoped("contains"))
+    large = op.profile_edges(inp.complete, inp.scoped("contains"), max_rows=0, spans=inp.spans)
+    lines = executed(large).splitlines()
+    assert any("HashAggregate" in l and "seg_hour" in l for l in lines)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))

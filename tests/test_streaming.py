@@ -30,8 +30,12 @@ def batch_profile(spark):
     return op.named_csv_rows(inp.src_edges)
 
 
-def test_stream_equals_batch_single_file(spark):
-    assert rows(run_profile_stream_on_files(spark, SF001)) == rows(batch_profile(spark))
+def test_live_path_equals_batch_over_parsed_flows(spark):
+    inp = Inputs(spark, SF001)
+    want = op.named_csv_rows(op.profile_edges(op.complete_flows(inp.parsed), inp.scoped("contains")))
+    got = run_profile_stream_on_files(spark, SF001)
+    assert rows(got.drop("n_quarantined")) == rows(want)
+    assert {r.n_quarantined for r in got.collect()} == {op.quarantine(inp.parsed).count()}
 
 
 def _job(spark, root):
@@ -68,7 +72,9 @@ def test_stream_three_files_with_restart(spark, tmp_dir):
     q2.awaitTermination()
     assert rows(op.named_csv_rows(store2.read_edges())) == rows(batch_profile(spark))
     assert store2.raw_edges().select("batch_id").distinct().count() == 3
-    assert {r.status for r in status2.current().collect()} == {"success"}
+    later = {r.model_id for r in store2.raw_edges().where("batch_id > 0").select("model_id").distinct().collect()}
+    assert {r.model_id: r.status for r in status2.current().collect()} == {
+        m: "success" if m in later else "running" for m in ("m1", "m2", "m7")}
 
 
 def test_stream_replay_of_a_batch_is_idempotent(spark, tmp_dir):
@@ -101,21 +107,84 @@ def test_stream_parses_kafka_rows_and_quarantines(spark, tmp_dir):
     assert quarantined.count() == want > 0
 
 
-def test_honour_update_mode_replaces_per_batch(spark, tmp_dir):
-    job, store, _ = _job(spark, f"{tmp_dir}/run")
-    job.honour_update_mode = True
+def _with_modes(inp, accumulate: dict[str, bool]):
+    """A scope loader whose models have the given update modes; the dict may change between refreshes."""
+    def loader():
+        mode = F.col("accumulate")
+        for m, acc in accumulate.items():
+            mode = F.when(F.col("model_id") == m, F.lit(acc)).otherwise(mode)
+        return inp.runnable.withColumn("accumulate", mode), inp.scoped("contains")
+    return loader
+
+
+def _model(store, m):
+    return rows(store.read_model(m).drop("updated_at"))
+
+
+def test_replace_happens_once_when_the_mode_changes(spark, tmp_dir):
+    """H7, B2: the first batch with edges after the change replaces; later batches accumulate; other models are
+    untouched; a restart remembers what was applied; a replay changes nothing."""
+    inp = Inputs(spark, SF001)
+    customers, modes = inp.table("customer"), {"m1": True, "m2": True, "m7": False}
+    store = EdgeStore(spark, f"{tmp_dir}/store").init()
+    new_job = lambda: ProfileStream(spark, _with_modes(inp, modes), store, ttl_s=0, honour_update_mode=True,
+                                    prepare=lambda b: fx.flows_from_events(b, customers))
+    part = [spark.read.parquet(f"{SF001}/events.parquet").where(f"event_id % 4 = {i}") for i in range(4)]
+    edges = lambda *parts: {m: rows(op.dedupe_edges(op.profile_edges(op.complete_flows(
+        fx.flows_from_events(spark.read.parquet(f"{SF001}/events.parquet").where(F.col("event_id").cast("int") % 4 == parts[0])
+                             if len(parts) == 1 else spark.read.parquet(f"{SF001}/events.parquet")
+                             .where((F.col("event_id") % 4).isin(*parts)), customers)), inp.scoped("contains")))
+        .where(F.col("model_id") == m).drop("updated_at")) for m in ("m1", "m7")}
+    job = new_job()
+    job.process(part[0], 0)
+    assert _model(store, "m7") == edges(0)["m7"]        # replace mode from the start: nothing has changed
+    job.process(part[1], 1)
+    assert _model(store, "m7") == edges(0, 1)["m7"]
+    modes["m1"] = False
+    job.process(part[2].limit(0), 2)                      # no edges at all: every profile stays
+    assert _model(store, "m1") == edges(0, 1)["m1"] and _model(store, "m7") == edges(0, 1)["m7"]
+    job = new_job()                                      # a restart before the replacement
+    job.process(part[2], 3)
+    assert _model(store, "m1") == edges(2)["m1"] and _model(store, "m7") == edges(0, 1, 2)["m7"]
+    job.process(part[2], 3)                               # replay
+    assert _model(store, "m1") == edges(2)["m1"]
+    job = new_job()
+    job.process(part[3], 4)                               # already replaced
+    assert _model(store, "m1") == edges(2, 3)["m1"]
+
+
+def _lost(modes, batch_id):
+    raise RuntimeError("lost")
+
+
+def test_replay_of_a_replacement_whose_mode_was_not_recorded(spark, tmp_dir):
+    inp = Inputs(spark, SF001)
+    customers, modes = inp.table("customer"), {"m1": True}
+    store = EdgeStore(spark, f"{tmp_dir}/store").init()
+    job = ProfileStream(spark, _with_modes(inp, modes), store, ttl_s=0, honour_update_mode=True,
+                        prepare=lambda b: fx.flows_from_events(b, customers))
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     job.process(ev.where("event_id % 2 = 0"), 0)
+    modes["m1"] = False
+    record, store.record_modes = store.record_modes, _lost
+    try:
+        job.process(ev.where("event_id % 2 = 1"), 1)
+    except RuntimeError:
+        pass
+    after = _model(store, "m1")
+    store.record_modes = record
     job.process(ev.where("event_id % 2 = 1"), 1)
-    got = store.read_edges()
-    # m2 (update mode 0) keeps only the last batch; m1 and m7 accumulate both
-    inp = Inputs(spark, SF001)
-    scoped = inp.scoped("contains")
-    odd = op.complete_flows(fx.flows_from_events(ev.where("event_id % 2 = 1"), inp.table("customer")))
-    want_m2 = rows(op.profile_edges(odd, scoped).where("model_id = 'm2'").drop("updated_at"))
-    assert rows(got.where("model_id = 'm2'").drop("updated_at")) == want_m2
-    want_m1 = rows(inp.src_edges.where("model_id = 'm1'").drop("updated_at"))
-    assert rows(got.where("model_id = 'm1'").drop("updated_at")) == want_m1
+    assert _model(store, "m1") == after and after
+
+
+def test_replace_leaves_models_without_rows_alone(spark, tmp_dir):
+    store = EdgeStore(spark, tmp_dir).init()
+    e = lambda m, ip: spark.createDataFrame([(m, "a", 1, ip)], "model_id string, entity_id string, segment_key int, host_ip string") \
+        .withColumn("updated_at", F.lit("2024-01-01").cast("timestamp"))
+    store.write_batch(e("m1", "x"), 0)
+    store.write_batch(e("m2", "y"), 1, replace_models=["m1", "m2"])
+    store.write_batch(e("m2", "y").limit(0), 2, replace_models=["m1", "m2"])
+    assert [r.host_ip for r in store.read_edges().orderBy("model_id").collect()] == ["x", "y"]
 
 
 def test_stream_static_joins_equal_batch(spark, tmp_dir):
@@ -153,23 +222,96 @@ def test_day_files_stream(spark, tmp_dir):
     assert rows(got.select(F.col("dt").cast("string"), "count")) == rows(want)
 
 
-def test_edge_stream_within_watermark(spark, tmp_dir):
-    """H3 time-bounded variant: dropDuplicatesWithinWatermark + file sink; the read view is the batch profile."""
+def test_edge_stream_keeps_late_edges(spark, tmp_dir):
+    """H3 append form: the read view is the batch profile, and a flow hours behind the others still counts."""
     from assetlens.streaming import edge_stream, start_edge_file_stream
     inp = Inputs(spark, SF001)
     events = spark.readStream.schema(inp.table("events").schema).option("basePath", SF001) \
         .parquet(f"{SF001}/{{events}}.parquet")
     flows = fx.flows_from_events(events, inp.table("customer"))
-    q = start_edge_file_stream(edge_stream(flows, inp.scoped("contains"), "2 hours"), f"{tmp_dir}/edges",
+    q = start_edge_file_stream(edge_stream(flows, inp.scoped("contains")), f"{tmp_dir}/edges",
                                f"{tmp_dir}/ckpt", trigger={"availableNow": True})
     q.awaitTermination()
     stored = op.dedupe_edges(spark.read.parquet(f"{tmp_dir}/edges"))
-    want = inp.src_edges
-    assert rows(stored.drop("updated_at")) == rows(want.drop("updated_at"))
+    assert rows(stored.drop("updated_at")) == rows(inp.src_edges.drop("updated_at"))
+
+    scoped = spark.createDataFrame([("m1", 1, "a")], "model_id string, span int, entity_id string")
+    schema = "src_id string, src_ip string, dst_id string, dst_ip string, event_time timestamp"
+    for i, hour in enumerate((12, 18, 9)):
+        (spark.createDataFrame([("a", "1.1.1.1", "b", "2.2.2.2")], "src_id string, src_ip string, dst_id string, dst_ip string")
+         .withColumn("event_time", F.lit(f"2024-01-01 {hour:02d}:00:00").cast("timestamp"))
+         .coalesce(1).write.mode("append").parquet(f"{tmp_dir}/late"))
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/late")
+    q = start_edge_file_stream(edge_stream(src, scoped), f"{tmp_dir}/late_edges", f"{tmp_dir}/late_ckpt", {"availableNow": True})
+    q.awaitTermination()
+    assert sorted(r.segment_key for r in spark.read.parquet(f"{tmp_dir}/late_edges").collect()) == [9, 12, 18]
+
+
+def test_status_life_cycle(spark, tmp_dir):
+    """Failed for models that cannot run, success only with edges, stop on a failure, nothing overwritten."""
+    inp = Inputs(spark, SF001)
+    status = StatusLog(spark, f"{tmp_dir}/status").init()
+    store = EdgeStore(spark, f"{tmp_dir}/store").init()
+    failed = op.failed_params(inp.params, as_of=fx.AS_OF)
+    assert {tuple(r) for r in failed.collect()} == {("m3", "switched_off"), ("m6", "unsupported_result_span")}
+    broken = {"on": False}
+
+    def prepare(batch):
+        if broken["on"]:
+            raise RuntimeError("no more")
+        return fx.flows_from_events(batch, inp.table("customer"))
+
+    def job():
+        return ProfileStream(spark, lambda: (inp.runnable, inp.scoped("contains"), failed), store, status=status, prepare=prepare)
+
+    src = lambda: spark.readStream.schema(inp.table("events").schema).option("basePath", SF001).parquet(f"{SF001}/{{events}}.parquet")
+    one = inp.src_edges.where("model_id = 'm1'").select("entity_id").first()[0]
+    j = job()
+    j._refresh()
+    j.process(spark.read.parquet(f"{SF001}/events.parquet").where(F.concat(F.lit("c"), F.col("user_id")) == one)
+              .where("event_type <> 'error'"), 0)
+    got = {r.model_id: r.status for r in status.current().collect()}
+    assert got == {"m3": "failed", "m6": "failed", "m1": "success"}
+    broken["on"] = True
+    j = job()
+    q = j.start(src(), f"{tmp_dir}/ckpt", trigger={"availableNow": True})
+    try:
+        j.await_end(q)
+        raise AssertionError("the query should have failed")
+    except Exception as e:  # noqa: BLE001
+        assert "no more" in str(e)
+    got = {r.model_id: r.status for r in status.current().collect()}
+    assert got == {"m1": "stop", "m2": "stop", "m7": "stop", "m3": "failed", "m6": "failed"}
+    broken["on"] = False
+    j = job()
+    j.await_end(j.start(src(), f"{tmp_dir}/ckpt", trigger={"availableNow": True}))
+    events = [(r.model_id, r.status) for r in status.events().collect()]
+    assert events.count(("m1", "running")) == 2 and ("m1", "stop") in events
+    assert {r.model_id: r.status for r in status.current().collect()}["m1"] == "success"
+
+
+def test_many_batches_leave_few_files(spark, tmp_dir):
+    """B1: commits only for new generations; compaction and vacuum bound folders and files."""
+    store = EdgeStore(spark, f"{tmp_dir}/store").init()
+    e = spark.createDataFrame([("m1", "a", 1, "x")], "model_id string, entity_id string, segment_key int, host_ip string") \
+        .withColumn("updated_at", F.lit("2024-01-01").cast("timestamp")).cache()
+    files = lambda d: [f for _, _, names in os.walk(f"{tmp_dir}/store/{d}") for f in names if f.startswith("part-")]
+    for i in range(12):
+        store.write_batch(e, i)
+    assert len(files("commits")) <= 2
+    for _ in range(3):
+        store.compact()
+        folders = {(r.model_id, r.batch_id) for r in store.raw_edges().join(store.generations(), ["model_id", "gen"]).collect()}
+        assert len(folders) == 1
+    store.vacuum()
+    assert len(files("commits")) == 1 and len(files("edges")) <= 2 and not files("compact")
+    assert store.read_edges().count() == 1
+    store.write_batch(e.withColumn("host_ip", F.lit("y")), 12)
+    assert sorted(r.host_ip for r in store.read_edges().collect()) == ["x", "y"]
 
 
 def test_static_side_refresh_ttl(spark, tmp_dir):
-    """H6/H7: with ttl 0 the static side is re-read every batch and the params diff is kept."""
+    """H6: with ttl 0 the static side is re-read every batch."""
     calls = []
     inp = Inputs(spark, SF001)
     customers = inp.table("customer")
@@ -185,7 +327,6 @@ def test_static_side_refresh_ttl(spark, tmp_dir):
     job.process(ev.where("event_id % 2 = 0"), 0)
     job.process(ev.where("event_id % 2 = 1"), 1)
     assert len(calls) == 2
-    assert job.last_diff is not None and job.last_diff.where("update_changed or dimension_changed").count() == 0
     job_long = ProfileStream(spark, loader, store, prepare=lambda b: fx.flows_from_events(b, customers), ttl_s=3600)
     job_long.process(ev, 2)
     job_long.process(ev, 3)
