@@ -39,15 +39,18 @@ def _chain(rows: DataFrame) -> DataFrame:
     # one row per segment reaches the driver
     tops = {r["seg"]: r["top"] for r in buckets.groupBy("seg").agg(F.max("bucket").alias("top")).collect()}
     order = sorted(tops)
-    below = [F.lit(x) for i, s in enumerate(order) for x in (s, tops[order[i - 1]])]
+    if not order:
+        return buckets.select("bucket", F.col("bucket").alias("lower"))
+    below = F.create_map(*[F.lit(x) for i, s in enumerate(order) for x in (s, tops[order[i - 1]])])
     lower = F.lead("bucket").over(Window.partitionBy("seg").orderBy(F.desc("bucket")))
-    return buckets.withColumn("lower", F.coalesce(lower, F.try_element_at(F.create_map(*below), F.col("seg")) if below else F.lit(None).cast("long"))).select("bucket", "lower")
+    return buckets.select("bucket", F.coalesce(lower, F.element_at(below, F.col("seg"))).alias("lower"))
 
 
 def with_next(docs: DataFrame, make: Callable[[Column], Column], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, text, made, next_text, next_made`` per row: the row's text and ``make`` of it, and those of the next row in
     descending id order; after the last comes the first. Rows with equal ids follow each other by a hash of their
-    text, null ids come last, a single row is its own next. Null texts count as empty."""
+    text, null ids come last, a single row is its own next. Null texts count as empty. Rows that share an id, or have
+    none, are sorted in one task (which may spill), so ids should tell rows apart."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     placed = _bucketed(rows)
     chain = _chain(_bucketed(docs.select(F.col(id_col).alias("id"))))

@@ -101,6 +101,10 @@ def measures(text: Column) -> Column:
     stops = _either_case(STOP_WORDS)
     text = F.coalesce(text, F.lit(""))
 
+    def line_counts(lines: Column) -> Column:
+        return F.struct(F.size(lines).cast("long").alias("n"),
+                        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("dup"))
+
     def build(t: Column) -> Column:
         def counted(words: Column) -> Column:
             lines = F.filter(F.split(t, "\n"), lambda x: F.length(strip_spaces(x)) > 0)
@@ -108,7 +112,7 @@ def measures(text: Column) -> Column:
                 F.size(words).cast("long").alias("n_words"),
                 F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
                 F.regexp_count(t, F.lit(SYMBOLS_RE)).cast("long").alias("n_symbols"),
-                let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))).alias("lines"),
+                let(lines, line_counts).alias("lines"),
                 F.size(F.filter(words, lambda w: w.isin(stops))).cast("long").alias("n_stop_words"),
                 _repeat_words(words).alias("n_repeat_words"),
             )
