@@ -17,9 +17,12 @@ from .common import let
 
 K, WINDOW = 5, 4
 
-#: Letters and digits of scripts that put no spaces between words stand alone; others form runs.
-TOKEN_RE = (r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
-            r"|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]]+")
+# Blocks of scripts that put no spaces between words (Thai, Lao, Burmese, Khmer, kana, CJK ideographs).
+UNSPACED = (r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF"
+            r"\x{20000}-\x{323AF}")
+#: Runs of letters, marks and digits; in texts that hold an unspaced script, its characters stand alone.
+RUN_RE = r"[\p{L}\p{M}\p{N}]+"
+MIXED_RE = rf"[{UNSPACED}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]+"
 POSITION = 0x7FFFFFFF  # the low bits of a packed choice hold the position, counted down
 
 
@@ -28,7 +31,11 @@ def token_hashes(text: Column) -> Column:
     def hashed(tokens: Column) -> Column:
         return F.when(F.size(tokens) > 0, F.transform(tokens, lambda t: F.xxhash64(t))).otherwise(
             F.when(F.length(text) > 0, F.array(F.xxhash64(text))).otherwise(F.array().cast("array<bigint>")))
-    return let(F.regexp_extract_all(F.lower(text), F.lit(TOKEN_RE), F.lit(0)), hashed)
+    # the mixed pattern costs several times the plain one, so only texts that need it pay for it
+    lower = F.lower(text)
+    runs = F.when(F.rlike(text, F.lit(f"[{UNSPACED}]")), F.regexp_extract_all(lower, F.lit(MIXED_RE), F.lit(0))).otherwise(
+        F.regexp_extract_all(lower, F.lit(RUN_RE), F.lit(0)))
+    return let(runs, hashed)
 
 
 def _rotate(h: Column, by: int) -> Column:
