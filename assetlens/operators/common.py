@@ -9,22 +9,27 @@ DEFAULT_BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 256 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound: int | None = None,
-                      max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only when it provably has at most ``max_rows`` rows and ``max_bytes`` bytes.
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound: int | None = None,
+                   max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` provably has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
     ``bound`` is an upper bound of the rows that the caller already proved (e.g. from a small config table);
     otherwise rows and bytes are counted up to ``max_rows + 1`` rows (one pass over ``df`` at most; callers
-    only pass asset- or config-side tables, never flows). Larger inputs are returned unchanged,
-    so the optimizer (and AQE at run time) picks a shuffle join for them.
+    only pass asset- or config-side tables, never flows).
     """
     if bound is not None and bound <= max_rows:
-        return F.broadcast(df)
+        return True
     # fixed-width columns count 8 bytes, others their text's length as well
     text = [F.octet_length(F.col(f"`{c}`").cast("string")) for c, t in df.dtypes if t == "string"]
     size = sum((F.coalesce(t, F.lit(0)) for t in text), F.lit(8 * len(df.columns))).cast("long")
     rows, total = df.select(size.alias("size")).limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum("size")).first()
-    return F.broadcast(df) if rows <= max_rows and (total or 0) <= max_bytes else df
+    return rows <= max_rows and (total or 0) <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast only when it ``fits_broadcast``. Larger inputs are returned unchanged,
+    so the optimizer (and AQE at run time) picks a shuffle join for them."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, bound) else df
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -45,9 +50,11 @@ ASSET_BROADCAST_ROWS = 1_000_000
 
 def join_small_side(big: DataFrame, small: DataFrame, left_on: list[str], right_on: list[str],
                     how: str = "inner", max_rows: int = ASSET_BROADCAST_ROWS, salt_buckets: int = 1,
-                    salt_from: list[str] | None = None) -> DataFrame:
+                    salt_from: list[str] | None = None, fits: bool | None = None) -> DataFrame:
     """Equi join of a large flow-side table with an asset-side table.
 
+    ``fits`` tells whether the asset side fits a broadcast where the caller has found out already.
+
     * asset side provably small (<= ``max_rows`` rows): broadcast it, the big side is not shuffled;
     * otherwise a shuffle join. With ``salt_buckets`` > 1 every big-side row gets a salt from a
       hash of ``salt_from`` and the small side is replicated once per salt value, so one hot key
@@ -55,7 +62,9 @@ def join_small_side(big: DataFrame, small: DataFrame, left_on: list[str], right_
       skew-join split covers the remaining cases.
     Column names of the two sides must not collide except through the join keys.
     """
-    small_b = bounded_broadcast(small, max_rows) if max_rows else small
+    if fits is None:
+        fits = fits_broadcast(small, max_rows)
+    small_b = F.broadcast(small) if fits else small
     cond = [big[lk] == small_b[rk] for lk, rk in zip(left_on, right_on)]
     if salt_buckets > 1 and small_b is small:
         salt_cols = salt_from or left_on

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .assets import asset_ip_rows
-from .common import ASSET_BROADCAST_ROWS, join_small_side
+from .common import ASSET_BROADCAST_ROWS, fits_broadcast, join_small_side
 
 _MODEL_COLS = ["model_id", "span", "accumulate"]
 
@@ -70,13 +70,14 @@ def touch_pairs(flows: DataFrame, index: DataFrame, max_rows: int = ASSET_BROADC
     mcol = ["model_id"] if "model_id" in index.columns else []
     idx = index.select(*mc, "entity_id", F.col("area_id").alias("_area"), F.col("ip").alias("_ip"))
     f = _sides(flows, ["flow_id", "area_id", "src_ip", "dst_ip", "event_time"])
+    fits = fits_broadcast(idx, max_rows)  # both joins read the same rows
     hits = join_small_side(f, idx, ["area_id", "_fip"], ["_area", "_ip"], "inner", max_rows, salt_buckets,
-                           ["flow_id"])
+                           ["flow_id"], fits)
     keys = mcol + ["entity_id", "area_id", "src_ip", "side"]
     owned = index.select(*[F.col(k).alias("_o_" + k) for k in mcol + ["entity_id", "area_id"]],
                          F.col("ip").alias("_o_src_ip"), F.lit("dst").alias("_o_side"))
     kept = join_small_side(hits, owned, keys, ["_o_" + k for k in keys], "left_anti", max_rows,
-                           salt_buckets, ["flow_id"])
+                           salt_buckets, ["flow_id"], fits)
     return kept.select(*mc, "entity_id", "flow_id", "area_id", "src_ip", "dst_ip", "event_time",
                        F.col("_fip").alias("ip"), "side")
 
@@ -92,10 +93,12 @@ def touch_semi(flows: DataFrame, index: DataFrame, max_rows: int = ASSET_BROADCA
     keys = index.select(*mcol, F.col("area_id").alias("_area"), F.col("ip").alias("_ip")).distinct()
     salt_from = ["flow_id"] if "flow_id" in flows.columns else ["src_ip", "dst_ip"]
     f = _sides(flows, flows.columns)
+    fits = fits_broadcast(keys, max_rows)
     hits = join_small_side(f, keys, ["area_id", "_fip"], ["_area", "_ip"], "inner", max_rows, salt_buckets,
-                           salt_from)
+                           salt_from, fits)
     k = mcol + ["area_id", "src_ip", "side"]
     owned = keys.select(*[F.col(m).alias("_o_" + m) for m in mcol], F.col("_area").alias("_o_area_id"),
                         F.col("_ip").alias("_o_src_ip"), F.lit("dst").alias("_o_side"))
-    kept = join_small_side(hits, owned, k, ["_o_" + c for c in k], "left_anti", max_rows, salt_buckets, salt_from)
+    kept = join_small_side(hits, owned, k, ["_o_" + c for c in k], "left_anti", max_rows, salt_buckets, salt_from,
+                           fits)
     return kept.select(*mcol, *flows.columns)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import segment_candidates, segment_key
 from ..functions.segments import SPAN_KEYS, key_for_span
 from ..schemas import EDGE_KEY
-from .common import ASSET_BROADCAST_ROWS, bounded_broadcast, join_small_side
+from .common import ASSET_BROADCAST_ROWS, bounded_broadcast, fits_broadcast, join_small_side
 
 _SEGS = ["seg_hour", "seg_isodow", "seg_month"]
 
@@ -73,16 +73,16 @@ def profile_edges(flows: DataFrame, scoped: DataFrame, side: str = "src", host:
     """
     id_col, ip_col = host_columns(side, host)
     models = scoped.select("model_id", "span", F.col("entity_id").alias("_eid"))
-    small = bounded_broadcast(models, max_rows)
-    if small is not models:
+    if fits_broadcast(models, max_rows):
         met = (flows.where(F.col(ip_col).isNotNull()).select(id_col, ip_col, time_col)
-               .join(small, F.col(id_col) == F.col("_eid"), "inner"))
+               .join(F.broadcast(models), F.col(id_col) == F.col("_eid"), "inner"))
         return dedupe_edges(met.select(
             "model_id", F.col("_eid").alias("entity_id"),
             segment_key(time_col, F.col("span"), tz).alias("segment_key"),
             F.col(ip_col).alias("host_ip"), F.col(time_col).alias("updated_at")))
     pre = preaggregate(flows, id_col, ip_col, tz, time_col=time_col, spans=spans)
-    j = join_small_side(pre, models, ["entity_id"], ["_eid"], "inner", 0, salt_buckets, ["entity_id", "host_ip"])
+    j = join_small_side(pre, models, ["entity_id"], ["_eid"], "inner", max_rows, salt_buckets,
+                        ["entity_id", "host_ip"], fits=False)
     edges = j.select("model_id", "entity_id", key_for_span("span").cast("int").alias("segment_key"),
                      "host_ip", "updated_at")
     return dedupe_edges(edges)
