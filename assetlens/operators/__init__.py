@@ -7,7 +7,7 @@ from .assets import scope_assets, group_candidates, asset_ip_rows, area_index
 from .flows import parse_flows, complete_flows, quarantine, flow_projection, to_upper_json
 from .match import join_assets, ip_index, touch_pairs, touch_semi
 from .profile import (profile_edges, match_edges, multiset_profile, multiset_counts, merge_edges, replace_set,
-                      dedupe_edges, preaggregate, model_spans, host_columns)
+                      dedupe_edges, preaggregate, model_spans, host_columns, scope_fits)
 from .encode import named_csv_rows, render_profiles, decode_profiles, segment_ips, ENCODINGS
 from .status import latest_status, status_event, status_rank
 
@@ -19,7 +19,7 @@ __all__ = [
     "parse_flows", "complete_flows", "quarantine", "flow_projection", "to_upper_json",
     "join_assets", "ip_index", "touch_pairs", "touch_semi",
     "profile_edges", "match_edges", "multiset_profile", "multiset_counts", "merge_edges", "replace_set", "dedupe_edges",
-    "preaggregate", "model_spans", "host_columns",
+    "preaggregate", "model_spans", "host_columns", "scope_fits",
     "named_csv_rows", "render_profiles", "decode_profiles", "segment_ips", "ENCODINGS",
     "latest_status", "status_event", "status_rank",
 ]

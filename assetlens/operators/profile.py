@@ -60,20 +60,25 @@ def preaggregate(flows: DataFrame, id_col: str, ip_col: str, tz: str | None = No
     return f.groupBy("entity_id", "host_ip", *_SEGS).agg(*aggs)
 
 
+def scope_fits(scoped: DataFrame, max_rows: int = ASSET_BROADCAST_ROWS) -> bool:
+    """Whether the columns of ``scoped`` that ``profile_edges`` joins with fit a broadcast."""
+    return fits_broadcast(scoped.select("model_id", "span", "entity_id"), max_rows)
+
+
 def profile_edges(flows: DataFrame, scoped: DataFrame, side: str = "src", host: str = "own",
                   tz: str | None = None, max_rows: int = ASSET_BROADCAST_ROWS,
-                  salt_buckets: int = 1, time_col: str = "event_time", spans=None) -> DataFrame:
+                  salt_buckets: int = 1, time_col: str = "event_time", spans=None, fits: bool | None = None) -> DataFrame:
     """Edges of the assets in scope, matched on the flow's ``side`` asset id.
 
     host='own' (parity): the IP the asset itself used in the flow; host='peer': the other end.
     Where the (model, asset) table is small it is broadcast and met first: flows of assets in no model never
     reach a shuffle, and the only one left is that of the edges, after a map-side combine. Otherwise the flows are
     first reduced to distinct (asset, ip, hour, weekday, month) with a map-side partial aggregate, and only that
-    reduced set meets the table.
+    reduced set meets the table. ``fits`` tells which, where the caller has found out already (``scope_fits``).
     """
     id_col, ip_col = host_columns(side, host)
     models = scoped.select("model_id", "span", F.col("entity_id").alias("_eid"))
-    if fits_broadcast(models, max_rows):
+    if fits if fits is not None else fits_broadcast(models, max_rows):
         met = (flows.where(F.col(ip_col).isNotNull()).select(id_col, ip_col, time_col)
                .join(F.broadcast(models), F.col(id_col) == F.col("_eid"), "inner"))
         return dedupe_edges(met.select(

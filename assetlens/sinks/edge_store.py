@@ -94,9 +94,11 @@ class EdgeStore:
 
     def _generations(self, batch_id: int) -> dict[str, tuple[int, int | None]]:
         """Per model its current generation and the one that this batch committed, if any: one read of the commits."""
-        rows = self.commit_rows().groupBy("model_id").agg(
-            F.max("gen").alias("cur"), F.max(F.when(F.col("batch_id") == batch_id, F.col("gen"))).alias("mine"))
-        return {r["model_id"]: (r["cur"], r["mine"]) for r in rows.collect()}
+        out: dict[str, tuple[int, int | None]] = {}
+        for model, gen, batch in self.commit_rows().collect():
+            cur, mine = out.get(model, (gen, None))
+            out[model] = max(cur, gen), max(gen, -1 if mine is None else mine) if batch == batch_id else mine
+        return out
 
     def _write(self, edges: DataFrame, gens: dict[str, int], batch_id: int) -> None:
         # a row per model of the batch

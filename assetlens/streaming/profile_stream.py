@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import operators as op
 from ..functions import segment_candidates
+from ..operators.common import ASSET_BROADCAST_ROWS
 from ..session import scratch_path
 from ..sinks.edge_store import EdgeStore
 from ..sinks.status_log import StatusLog
@@ -85,6 +86,7 @@ class ProfileStream:
         rows = params.select("model_id", "span", "accumulate").collect()  # a row per model
         self._modes = {r["model_id"]: bool(r["accumulate"]) for r in rows}
         self._spans = sorted({r["span"] for r in rows if r["span"] is not None})  # decides the pre-aggregation keys
+        self._fits = op.scope_fits(scoped, self.join_opts.get("max_rows", ASSET_BROADCAST_ROWS))  # once per refresh
         self._loaded_at = time.monotonic()
         if self.status is not None and failed:
             ids = {r[0] for r in failed[0].select("model_id").distinct().collect()}
@@ -136,7 +138,7 @@ class ProfileStream:
             flows, time_col = flows.withColumn("_processing_time", F.current_timestamp()), "_processing_time"
         # the batch's edges are used by up to three writes and a probe: compute them once
         edges = op.profile_edges(flows, self._scoped, side=self.side, host=self.host, tz=self.tz,
-                                 time_col=time_col, spans=self._spans, **self.join_opts) \
+                                 time_col=time_col, spans=self._spans, fits=self._fits, **self.join_opts) \
             .persist(StorageLevel.MEMORY_AND_DISK)
         try:
             replace = self._to_replace(batch_id)
