@@ -85,6 +85,8 @@ def profile_edges(flows: DataFrame, scoped: DataFrame, side: str = "src", host:
             "model_id", F.col("_eid").alias("entity_id"),
             segment_key(time_col, F.col("span"), tz).alias("segment_key"),
             F.col(ip_col).alias("host_ip"), F.col(time_col).alias("updated_at")))
+    if spans is None:
+        spans = model_spans(models)
     pre = preaggregate(flows, id_col, ip_col, tz, time_col=time_col, spans=spans)
     j = join_small_side(pre, models, ["entity_id"], ["_eid"], "inner", max_rows, salt_buckets,
                         ["entity_id", "host_ip"], fits=False)

@@ -64,7 +64,7 @@ def test_profile_preaggregates_before_a_shuffled_join(spark):
     from assetlens.plans.queries import Inputs
     inp = Inputs(spark, SF001)
     small = op.profile_edges(inp.complete, inp.scoped("contains"))
-    large = op.profile_edges(inp.complete, inp.scoped("contains"), max_rows=0, spans=inp.spans)
+    large = op.profile_edges(inp.complete, inp.scoped("contains"), max_rows=0)
     lines = executed(large).splitlines()
     assert any("HashAggregate" in l and "seg_hour" in l for l in lines)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
