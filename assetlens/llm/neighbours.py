@@ -15,12 +15,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SEGMENTS, BUCKET_ROWS = 32, 64
 
 
-def _bucketed(rows: DataFrame) -> DataFrame:
-    """Adds ``seg`` and ``bucket``, both rising with ``id``; null ids come before all others."""
+def _bucketing(rows: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds ``seg`` and ``bucket``, both rising with ``id``; null ids come before all others.
+
+    The quantiles are approximate and may differ each time they are computed, so they are computed once, here: whatever
+    must agree on the buckets has to use the same returned function.
+    """
     stats = rows.agg(F.count("id"), F.min("id"), F.max("id"),
                      F.percentile_approx("id", [i / SEGMENTS for i in range(SEGMENTS + 1)], 1000)).first()
     if not stats[0]:
-        return rows.withColumn("seg", F.lit(-1)).withColumn("bucket", F.lit(-1).cast("long"))
+        return lambda df: df.withColumn("seg", F.lit(-1)).withColumn("bucket", F.lit(-1).cast("long"))
     edges = sorted({stats[1], *stats[3]})
     ends = [*edges[1:], stats[2] + 1]
     per_segment = max(1.0, stats[0] / len(edges))
@@ -28,9 +32,10 @@ def _bucketed(rows: DataFrame) -> DataFrame:
     seg = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col("id"))) - 1
     at = lambda values: F.get(F.array(*[F.lit(float(v)) for v in values]), F.col("seg"))
     inside = F.floor((F.col("id").cast("double") - at(edges)) / at(widths)).cast("long")
-    return (rows.withColumn("seg", F.when(F.col("id").isNull(), -1).otherwise(seg))
-            .withColumn("bucket", F.when(F.col("id").isNull(), F.lit(-1).cast("long"))
-                        .otherwise(F.shiftleft(F.col("seg").cast("long"), 40) + F.greatest(inside, F.lit(0)))))
+    return lambda df: (
+        df.withColumn("seg", F.when(F.col("id").isNull(), -1).otherwise(seg))
+        .withColumn("bucket", F.when(F.col("id").isNull(), F.lit(-1).cast("long"))
+                    .otherwise(F.shiftleft(F.col("seg").cast("long"), 40) + F.greatest(inside, F.lit(0)))))
 
 
 def _chain(rows: DataFrame) -> DataFrame:
@@ -52,8 +57,9 @@ def with_next(docs: DataFrame, make: Callable[[Column], Column], id_col: str = "
     text, null ids come last, a single row is its own next. Null texts count as empty. Rows that share an id, or have
     none, are sorted in one task (which may spill), so ids should tell rows apart."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    placed = _bucketed(rows)
-    chain = _chain(_bucketed(docs.select(F.col(id_col).alias("id"))))
+    bucketed = _bucketing(rows)
+    placed = bucketed(rows)
+    chain = _chain(bucketed(docs.select(F.col(id_col).alias("id"))))
     ordered = Window.partitionBy("bucket").orderBy(F.desc_nulls_last("id"), F.desc(F.xxhash64("text")))
     # made after the shuffle, so that only texts are shuffled
     dealt = placed.select("bucket", "id", "text").repartition("bucket")

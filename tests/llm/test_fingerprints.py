@@ -115,3 +115,18 @@ def test_next_row_over_many_buckets(spark):
     got = {int(r["text"]): int(r["next_text"]) for r in with_next(df, F.length).collect()}
     ids = sorted(ids, reverse=True)
     assert got == dict(zip(ids, ids[1:] + ids[:1]))
+
+
+def test_no_row_is_lost_if_quantiles_differ_between_calls(spark, monkeypatch):
+    """Approximate quantiles depend on the order in which their sketches are merged; here each call gives other ones."""
+    calls, real = [], F.percentile_approx
+
+    def unsteady(col, shares, accuracy):
+        calls.append(col)
+        return real(col, [min(1.0, max(0.0, s + 0.011 * (len(calls) - 1))) for s in shares], accuracy)
+
+    monkeypatch.setattr(F, "percentile_approx", unsteady)
+    ids = sorted({n * n * 13 for n in range(2000)} | set(range(10**9, 10**9 + 1000, 3)), reverse=True)
+    df = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string").repartition(5)
+    got = {int(r["text"]): int(r["next_text"]) for r in with_next(df, F.length).collect()}
+    assert got == dict(zip(ids, ids[1:] + ids[:1]))
