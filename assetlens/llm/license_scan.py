@@ -1,7 +1,8 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-A text is cut into blocks (its lines; longer lines into half-overlapping windows). A template matches a block when
-the share of its distinct tokens that the block holds reaches the threshold. The join is the prefix-filter kind:
+A text is cut into blocks (its lines; longer lines into half-overlapping windows; on request also such windows over
+the words of the whole text, for notices wrapped over several lines). A template matches a block when the share of
+its distinct tokens that the block holds reaches the threshold. The join is the prefix-filter kind:
 tokens are put in one global order, rarest in the corpus first; a template of ``n`` tokens that must share at
 least ``o`` can only match a block that holds one of its first ``n - o + 1``; a block with fewer than ``o``
 template tokens is too short; and a match at position ``i`` of the block and ``j`` of the template leaves at most
@@ -145,14 +146,15 @@ def template_matches(blocks: DataFrame, index: TemplateIndex) -> DataFrame:
 
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES,
                  threshold: float = 0.9, block_words: int = 64, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", across_lines: bool = False) -> DataFrame:
     """One row per input row: ``id``, ``n_words``, ``places`` (phrase places, in order), ``matches`` (label, block,
     containment; one per template met, from its best and then first block) and ``score``, the best containment
     (1 for a phrase, 0 for nothing found). ``block`` counts the text's blocks from 0.
 
     A null or empty text has no words, no places and score 0. Repeated rows each get their row; other columns of
     the input are not read. Windows of ``block_words`` overlap by half, so a notice of up to half that many words
-    always lies whole in one block. An empty table gives an empty table.
+    always lies whole in one block if it stands in one line, or if ``across_lines`` is set: then the text's lines are
+    followed by windows over all its words. An empty table gives an empty table.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     vocabulary = sorted({t for x in templates.values() for t in tokens_of(x)})
@@ -167,11 +169,18 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases
         short = F.transform(near, lambda b: F.struct(b["at"], F.array_intersect(ordered, b["words"]).alias("tokens")))
         return F.filter(short, lambda b: F.size(b["tokens"]) >= least)
 
+    def cut(lines: Column, words: Column) -> Column:
+        if not across_lines:
+            return blocks_of(lines, block_words)
+        # the windows of a text of one line are its blocks already
+        wrapped = F.size(F.filter(lines, lambda line: F.size(line) > 0)) > 1
+        return blocks_of(F.when(wrapped, F.concat(lines, F.array(words))).otherwise(lines), block_words)
+
     def from_lines(lines: Column) -> Column:
         return let(F.flatten(lines), lambda words: F.struct(
             F.size(words).cast("long").alias("n_words"),
             phrase_places(words, phrases).alias("places"),
-            reduced(blocks_of(lines, block_words)).alias("blocks")))
+            reduced(cut(lines, words)).alias("blocks")))
 
     scanned = docs.select(
         # numbers the rows of one scan; it is used in this one pass only

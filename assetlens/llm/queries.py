@@ -44,7 +44,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates found in every text."""
-    found = license_scan.license_scan(read(spark, sf_dir, "documents"))
+    found = license_scan.license_scan(read(spark, sf_dir, "documents"), across_lines=True)
     base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
     own = F.transform("matches", lambda m: m["label"])
     at = F.transform("places", lambda p: p["at"])

@@ -65,3 +65,21 @@ def test_order_counts_the_whole_corpus(spark):
     df = spark.createDataFrame([(["b", "b", "a", "z"],), (["b", "c"],)], "words array<string>")
     assert ls.token_order(df, ["a", "b", "c", "d"]) == ["d", "a", "c", "b"]
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_notice_broken_at_every_word_position(spark, tmp_path):
+    """Every template with a line end after any of its words, after all of them, and somewhere in a long text."""
+    from assetlens.llm.queries import op3_licenses
+
+    rnd = random.Random(4)
+    filler = lambda n: "".join(f"x{rnd.randrange(10**6)}" + rnd.choice("   \n") for _ in range(n))
+    rows = []
+    for label, wording in ls.TEMPLATES.items():
+        words = wording.split()
+        broken = [" ".join(words[:i]) + "\n * " + " ".join(words[i:]) for i in range(1, len(words))]
+        for text in (*broken, "\n".join(words)):
+            rows.append((len(rows), label, text))
+            rows.append((len(rows), label, filler(rnd.randrange(1, 150)) + "\n" + text + "\n" + filler(rnd.randrange(1, 150))))
+    spark.createDataFrame(rows, "doc_id long, label string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["labels"].split(",") for r in op3_licenses(spark, str(tmp_path)).collect()}
+    assert [(n, label, text) for n, label, text in rows if label not in got[n]] == []
