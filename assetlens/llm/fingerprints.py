@@ -6,16 +6,27 @@ every window of ``window`` consecutive runs the smallest hash is chosen, the rig
 log2(window) passes; a run chosen by several windows is kept once, with its position. Two texts that share
 ``k + window - 1`` consecutive tokens share at least one whole window, and so at least one kept hash.
 
-All of it is native array work on one row: no shuffle and no user function.
+There are two forms. Over words it is native array work on one row: no shuffle and no user function. Over code points,
+for texts of any length and script (``char_prints``), it is the same in numpy, as native array functions take several
+times the time limit there. Texts of less than ``SHORT`` code points also keep all their short runs, so that an edit
+leaves what it does not touch.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import let
 
 K, WINDOW = 5, 4
+CHAR_K, CHAR_WINDOW = 8, 8
+SHORT = {3: 64, 2: 16}  # runs of so many code points are all kept in texts of fewer code points than this
+CHAR_BLOCK = 1 << 20  # windows of a long text done at a time
 
 # Blocks of scripts that put no spaces between words (Thai, Lao, Burmese, Khmer, kana, CJK ideographs).
 UNSPACED = (r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF"
@@ -114,3 +125,93 @@ def fingerprint_documents(docs: DataFrame, k: int = K, window: int = WINDOW, id_
     """``id, fingerprint`` per input row. Null texts count as empty, repeated rows each get their row, other
     columns are not read, and an empty table gives an empty table."""
     return docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), k, window).alias("fingerprint"))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """The finaliser of SplitMix64: spreads near values over all 64 bits."""
+    h = h + np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _char_runs(letters: np.ndarray, k: int) -> np.ndarray:
+    """The cyclic polynomial of every run of ``k`` letter hashes, mixed once more, as signed numbers."""
+    def rolled(k: int) -> np.ndarray:
+        if k == 1:
+            return letters
+        step = k // 2 if k % 2 == 0 else k - 1
+        h = rolled(step)
+        by, rest = (step, h[step:]) if k % 2 == 0 else (1, letters[k - 1:])
+        first = h[:len(rest)]
+        return (first << np.uint64(by % 64) | first >> np.uint64(-by % 64)) ^ rest
+
+    return _mixed(rolled(k)).view(np.int64)
+
+
+def _char_winnow(runs: np.ndarray, window: int) -> np.ndarray:
+    """Positions of the rightmost smallest (truncated) hash of every window, in order; a chosen one may repeat."""
+    least = runs & np.int64(~POSITION) | (POSITION - np.arange(len(runs)))
+    window, reach = min(window, len(runs)), 1
+    while reach < window:
+        step = min(reach, window - reach)
+        least, reach = np.minimum(least[:-step], least[step:]), reach + step
+    return POSITION - (least & POSITION)
+
+
+def char_prints(text: str | None, k: int = CHAR_K, window: int = CHAR_WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and positions of the kept runs of lower-cased code points, null counting as empty. Any run of
+    ``k + window - 1`` code points that two texts share leaves a common hash, in texts under ``SHORT`` shorter ones
+    do; a text of less than ``k`` is one run, an empty one has none."""
+    raw = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    hashes, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    whole = min(k, len(raw))
+    windows = max(len(raw) - whole - window + 2, 1) if len(raw) else 0
+    for at in range(0, windows, CHAR_BLOCK):
+        runs = _char_runs(_mixed(raw[at:at + CHAR_BLOCK + whole + window - 2].astype(np.uint64)), whole)
+        chosen = _char_winnow(runs, window)
+        chosen = chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))]
+        # a block's first choice may be the last one of the block before
+        if len(places[-1]) and places[-1][-1] == chosen[0] + at:
+            chosen = chosen[1:]
+        hashes.append(runs[chosen])
+        places.append(chosen + at)
+    for size, under in SHORT.items():
+        if size < whole and len(raw) < under:
+            runs = _char_runs(_mixed(raw.astype(np.uint64)), size)
+            hashes.append(runs)
+            places.append(np.arange(len(runs)))
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+def prints_id(prints: tuple[np.ndarray, np.ndarray]) -> str:
+    """A short name of code point prints: equal exactly if hashes and positions are (SHA-256)."""
+    return hashlib.sha256(b"".join(x.astype("<i8").tobytes() for x in prints)).hexdigest()
+
+
+def prints_likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """``likeness`` of two sets of distinct hashes."""
+    if len(a) + len(b) == 0:
+        return 1.0
+    return 2.0 * len(np.intersect1d(a, b, assume_unique=True)) / (len(a) + len(b))
+
+
+def compared(text: Column, edited: Column, next_text: Column) -> Column:
+    """Struct (fingerprint, edited_fingerprint, near_edited, near_next) over code points. Rows in the order of
+    ``with_next`` have their text's prints at hand from the row before."""
+    def both(x: str | None) -> tuple[str, np.ndarray]:
+        prints = char_prints(x)
+        return prints_id(prints), np.unique(prints[0])
+
+    @F.pandas_udf("fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    def compare(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        last, known = None, both("")
+        for batch in batches:
+            rows = []
+            for x, e, n in zip(*batch):
+                own = known if x == last else both(x)
+                changed = both(e)
+                last, known = n, own if n == x else both(n)
+                rows.append((own[0], changed[0], prints_likeness(own[1], changed[1]), prints_likeness(own[1], known[1])))
+            yield pd.DataFrame(rows, columns=["fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+    return compare(text, edited, next_text)

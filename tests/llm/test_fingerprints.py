@@ -130,3 +130,51 @@ def test_no_row_is_lost_if_quantiles_differ_between_calls(spark, monkeypatch):
     df = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string").repartition(5)
     got = {int(r["text"]): int(r["next_text"]) for r in with_next(df, F.length).collect()}
     assert got == dict(zip(ids, ids[1:] + ids[:1]))
+
+
+def test_code_point_prints_match_plain_winnowing(monkeypatch):
+    def mixed(x):
+        x = (x + 0x9E3779B97F4A7C15) & MASK
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & MASK
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & MASK
+        return x ^ (x >> 31)
+
+    def plain(text, k, window):
+        letters, out = [mixed(ord(c)) for c in text.lower()], []
+        sizes = [(min(k, len(letters)), window), *((n, 1) for n, under in fp.SHORT.items() if len(letters) < under and n < min(k, len(letters)))]
+        for size, span in sizes if letters else []:
+            runs = []
+            for i in range(len(letters) - size + 1):
+                x = 0
+                for t in letters[i:i + size]:
+                    x = rot(x, 1) ^ t
+                runs.append(signed(mixed(x)))
+            at = []
+            for i in range(max(1, len(runs) - span + 1)):
+                j = max(range(i, min(i + span, len(runs))), key=lambda j: (-(runs[j] >> 31), j))
+                at += [j] if j not in at else []
+            out += [(runs[j], j) for j in at]
+        return out
+
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("aB \n日é\U0001F600") for _ in range(n)) for n in (*range(0, 90), 300)]
+    for block in (1 << 20, 7):
+        monkeypatch.setattr(fp, "CHAR_BLOCK", block)
+        for k, window in ((8, 8), (5, 4), (1, 1), (3, 7)):
+            for t in texts:
+                hashes, places = fp.char_prints(t, k, window)
+                assert list(zip(hashes.tolist(), places.tolist())) == plain(t, k, window), (k, window, block, t)
+
+
+def test_edited_texts_of_any_length_stay_alike(spark, tmp_path):
+    """Two thirds of each text are kept: texts of a few characters, of a few words, and of one unbroken run."""
+    from assetlens.llm.queries import op1_fingerprints
+
+    rnd = random.Random(6)
+    letters = lambda n, of: "".join(rnd.choice(of) for _ in range(n))
+    texts = [letters(n, of) for n in (*range(3, 100), 1000) for of in ("abcdefghijklmnopqrstuvwxyz    ", "abcdefghij0123456789", "日本語テキスト", "#*$%&|")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in op1_fingerprints(spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts)
+    assert [texts[i] for i in got if not got[i]["near_edited"] > 0] == []
