@@ -168,9 +168,19 @@ def pieces_of(ids: np.ndarray, end_id: int, capacity: int) -> Iterator[tuple[int
         yield piece, at, len(part), zlib.crc32(part.tobytes())
 
 
+def group_name(level: int, task: int, run: int = 0) -> int:
+    """The first bin number of a packed group: 5 bits of level, 24 of task, 14 of run and 20 of bin."""
+    for part, value, bits in (("rounds", level, 5), ("tasks", task, 24), ("groups of a task", run, 14)):
+        if not 0 <= value < 1 << bits:
+            raise ValueError(f"too many {part} to number the sequences: {value} does not fit {bits} bits")
+    return (level << 58) + (task << 34) + (run << 20)
+
+
 def _bins(items: list[tuple[int, list[dict]]], capacity: int, full: float, name: int) -> Iterator[tuple]:
     """Output rows of one packed group; ``name`` sets the group's bin numbers apart."""
     for n, chosen in enumerate(best_fit([length for length, _ in items], capacity)):
+        if n >> 20:
+            raise ValueError("too many sequences in a group to number them: more than 2**20")
         members, used = [], 0
         for i in chosen:
             length, inside = items[i]
@@ -194,7 +204,7 @@ def pack(docs: DataFrame, encoder: Callable[[], WordEncoder], end_id: int = 1, c
         return pa.RecordBatch.from_pylist([dict(zip(arrow.names, b)) for b in bins], arrow)
 
     def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a group has at most 2**20 bins; task and run number tell groups apart
+        # level, task and run number tell groups apart
         encode, task, runs = encoder().encode, TaskContext.get().partitionId(), 0
         items: list[tuple[int, list[dict]]] = []
         for batch in batches:
@@ -203,14 +213,14 @@ def pack(docs: DataFrame, encoder: Callable[[], WordEncoder], end_id: int = 1, c
                     for piece, start, length, crc in pieces_of(ids, end_id, capacity):
                         items.append((length, [dict(zip(FIELDS, (doc_id, piece, start, length, crc, 0)))]))
                     if len(items) >= group:
-                        yield out(_bins(items, capacity, full, (task << 40) + (runs << 20)))
+                        yield out(_bins(items, capacity, full, group_name(0, task, runs)))
                         items, runs = [], runs + 1
         if items:
-            yield out(_bins(items, capacity, full, (task << 40) + (runs << 20)))
+            yield out(_bins(items, capacity, full, group_name(0, task, runs)))
 
     def next_round(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
         items = [(r["length"], r["members"]) for batch in batches for r in batch.to_pylist()]
-        yield out(_bins(items, capacity, full, (level << 58) + (TaskContext.get().partitionId() << 32)))
+        yield out(_bins(items, capacity, full, group_name(level, TaskContext.get().partitionId())))
 
     rounds = [stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(first_round, schema), "pack")]
     left = rounds[0].where(~F.col("done"))

@@ -82,3 +82,14 @@ def test_query_against_plain_version(spark, sf):
     rows = op2_packing(spark, sf).collect()
     bins = check(rows, texts)
     assert len(bins) <= 1.02 * sum(r["length"] for r in rows) / packing.CAPACITY + 1
+
+
+def test_sequence_numbers_of_groups_never_meet():
+    """Each group has 2**20 numbers of its own, also past 262,144 tasks, and a part that does not fit is an error."""
+    places = [(level, task, run) for level in (0, 1, 2, 31) for task in (0, 1, 262143, 262144, 262145, (1 << 24) - 1)
+              for run in (0, 1, (1 << 14) - 1)]
+    starts = sorted(packing.group_name(*p) for p in places)
+    assert all(b - a >= 1 << 20 for a, b in zip(starts, starts[1:])) and starts[0] == 0 and starts[-1] + (1 << 20) <= 1 << 63
+    for level, task, run in ((32, 0, 0), (0, 1 << 24, 0), (0, 0, 1 << 14)):
+        with pytest.raises(ValueError):
+            packing.group_name(level, task, run)
