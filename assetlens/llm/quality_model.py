@@ -137,8 +137,9 @@ def _picked(doc_id: Column, rate: float, seed: int) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> QualityModel:
     """Fit on documents outside the held-out fold: positives are those whose labels all say quality 1, unlabelled
-    text is any document, its labels unread. About ``sample`` rows of each are picked by hash of the id (so the
-    driver gets at most that many small vectors); null ids are left out."""
+    text is any document, its labels unread. About ``sample`` ids of each are picked by hash, and one row of each id, the
+    first by a hash of its text (so the driver gets at most that many small vectors, also where an id repeats); null
+    ids are left out."""
     good = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
             .agg(F.min("quality").alias("quality")).where("quality = 1").select(F.col("doc_id").alias("good")))
     good = good.where(fold(F.col("good")) != 0)
@@ -150,7 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     got = (rows.join(F.broadcast(chosen), F.col("id") == F.col("good"), "left")
            .withColumn("u", _picked(F.col("id"), sample / max(1, n_rows), 2))
            .where("good is not null or u")
-           .select("id", F.col("good").isNotNull().alias("p"), "u", vector("text").alias("x")).toPandas())
+           .groupBy("id", F.col("good").isNotNull().alias("p"), "u").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+           .select("id", "p", "u", vector("text").alias("x")).toPandas())
     got = got.sort_values("id", kind="stable")
     stack = lambda part: np.array(part["x"].tolist(), float).reshape(len(part), N_FEATURES)
     return fit(stack(got[got["p"]]), stack(got[got["u"]]))

@@ -60,3 +60,15 @@ def test_edges(spark, edge_docs, no_docs):
     assert len(rows) == 10 and all(0 <= r["score"] <= 1 for r in rows)
     assert qm.classify(no_docs, model).count() == 0
     assert qm.classify(edge_docs, qm.train(no_docs, labels.limit(0))).where("predicted = 1").count() == 0
+
+
+def test_repeated_id_gives_the_driver_one_row(spark, monkeypatch):
+    """An id that a third of all rows share, labelled good or not."""
+    sizes, real = [], qm.fit
+    monkeypatch.setattr(qm, "fit", lambda p, u, **kw: sizes.append((len(p), len(u))) or real(p, u, steps=2, **kw))
+    ids = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"text number {i}") for i in ids] + [(ids[0], f"again {n}") for n in range(len(ids) // 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(ids[0], 1), (ids[1], 1)], "doc_id long, quality int")
+    qm.train(docs, labels, sample=10**6)
+    assert sizes == [(2, len(ids))]
