@@ -4,7 +4,7 @@ from assetlens import app, operators as op
 from assetlens.plans.queries import Inputs
 from assetlens.sources import fixtures as fx
 
-from conftest import SF001
+from sf_dirs import SF001
 
 
 def test_app_once_over_kafka_files(spark, tmp_dir):

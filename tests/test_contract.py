@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from assetlens.plans import QUERIES
 from tools.check_oracle import TABLES, digest
 
-from conftest import SF001
+from sf_dirs import SF001
 
 
 def test_entry_runs(spark):

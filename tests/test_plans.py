@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from assetlens import operators as op
 
-from conftest import SF001
+from sf_dirs import SF001
 
 
 def executed(df) -> str:

@@ -11,7 +11,7 @@ from assetlens.sources import fixtures as fx
 from assetlens.sources.kafka import kafka_envelope
 from assetlens.streaming import ProfileStream, run_profile_stream_on_files
 
-from conftest import SF001
+from sf_dirs import SF001
 
 
 def rows(df):
