@@ -82,4 +82,67 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op3_licenses": OP3, "op4_quality_rules": OP4, "op8_line_dedup": OP8, "op10_chat": OP10}
+# crc32 of a decimal number: its table of 256 entries by eight shifts each, then one step per digit
+_CRC_TABLE = "list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i))"
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0} END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Recursive levels of the trees in ``leaves`` (tree, i, n, d, hi): every node with its run's digests; ``hi`` is the height."""
+    return f"""{name} AS (
+  SELECT tree, i, n, d, 0 AS level, list(d) OVER run AS run, row_number() OVER run_at AS slot FROM {leaves}
+    WINDOW run AS (PARTITION BY tree, i // 3 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING),
+           run_at AS (PARTITION BY tree, i // 3 ORDER BY i)
+  UNION ALL
+  SELECT tree, i, n, d, level, list(d) OVER run AS run, row_number() OVER run_at AS slot
+    FROM (SELECT tree, i // 3 AS i, (n + 2) // 3 AS n, sha256(array_to_string(run, '')) AS d, level + 1 AS level FROM {name} WHERE slot = 1 AND n > 1)
+    WINDOW run AS (PARTITION BY tree, i // 3 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING),
+           run_at AS (PARTITION BY tree, i // 3 ORDER BY i))"""
+
+
+def _folded(name: str, start: str, nodes: str) -> str:
+    """Recursive walk of the rows in ``start`` (id, tree, i, d, proof) up ``nodes``: the digest met and the siblings so far."""
+    return f"""{name} AS (
+  SELECT id, tree, i, d, proof, 0 AS level FROM {start}
+  UNION ALL
+  SELECT w.id, w.tree, w.i // 3, sha256(array_to_string(list_concat(t.run[:t.slot - 1], [w.d], t.run[t.slot + 1:]), '')),
+         w.proof || array_to_string(list_concat(t.run[:t.slot - 1], t.run[t.slot + 1:]), ''), w.level + 1
+    FROM {name} w JOIN {nodes} t ON t.tree = w.tree AND t.i = w.i AND t.level = w.level WHERE t.n > 1)"""
+
+
+OP12 = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS t),
+docs AS (SELECT row_number() OVER () AS id, d.*, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+             lambda c, x: xor(crc.t[(xor(c, x) & 255) + 1], c // 256), 4294967295::BIGINT) AS c FROM documents d, crc),
+kept AS (SELECT id, doc_id, coalesce('=' || source, '') AS tree, {_LEAF.format(text="text")} AS d,
+             {_LEAF.format(text="(CASE WHEN xor(c, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END)")} AS other FROM docs),
+leaves AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM kept),
+{_tree("nodes", "leaves")},
+subroots AS MATERIALIZED (SELECT tree AS grp, '' AS tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n, d FROM nodes WHERE n = 1),
+{_tree("crown", "subroots")},
+root AS (SELECT d AS root FROM crown WHERE n = 1),
+starts AS (SELECT id, tree, i, d, '' AS proof FROM leaves UNION ALL SELECT -id, tree, i, other, '' FROM leaves),
+{_folded("walked", "starts", "nodes")},
+halfway AS (SELECT w.id, '' AS tree, s.i, w.d, w.proof FROM (SELECT *, max(level) OVER (PARTITION BY id) AS top FROM walked) w JOIN subroots s ON s.grp = w.tree WHERE level = top),
+{_folded("finished", "halfway", "crown")},
+ends AS (SELECT id, d, proof FROM (SELECT *, max(level) OVER (PARTITION BY id) AS top FROM finished) WHERE level = top)
+SELECT doc_id, l.d AS leaf, s.d AS subroot, root, sha256(e.proof) AS proof_sha256, t.d AS folded_root, t.d = root AS verified
+FROM leaves l JOIN subroots s ON s.grp = l.tree CROSS JOIN root JOIN ends e ON e.id = l.id JOIN ends t ON t.id = -l.id
+"""
+
+OP13 = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+d AS (SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+        ('0x' || h[17:24])::BIGINT % 100 AS c, ('0x' || h[25:32])::BIGINT % 100 AS e FROM t),
+f AS (SELECT *, least(a, b) AS x, greatest(a, b) AS y, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain'
+        WHEN e < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, substring(t, 1, x) AS prefix, substring(t, x + 1, y - x) AS middle, substring(t, y + 1) AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars, CASE WHEN form <> 'plain' THEN y - x END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+ORACLE_SQL = {"op3_licenses": OP3, "op4_quality_rules": OP4, "op8_line_dedup": OP8, "op10_chat": OP10, "op12_merkle": OP12,
+              "op13_infill": OP13}

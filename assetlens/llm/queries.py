@@ -6,7 +6,8 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, fingerprints, langid, license_scan, line_dedup, packing, quality_model, quality_rules, sentencepiece_codec, simhash
+from . import (chat, fingerprints, infill, langid, license_scan, line_dedup, merkle, packing, personal_data, quality_model,
+               quality_rules, sentencepiece_codec, simhash)
 from .common import read
 from .neighbours import with_next
 
@@ -111,6 +112,37 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "valid")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: fixed patterns, and identifiers found by their context."""
+    found = personal_data.find_personal_data(read(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    counts = [count(k) for k in personal_data.KINDS]
+    base, learned = personal_data.span_text(F.col("base")), personal_data.span_text(F.col("learned"), personal_data.LEARNED)
+    both = F.array_join(F.filter(F.array(base, learned), lambda x: x != ""), ",")
+    return found.select(F.col("id").alias("doc_id"), *counts, sha256(base).alias("base_sha256"), both.alias("spans"))
+
+
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle tree of every source and of all of them, proofs, and proofs tried on tampered rows."""
+    chosen = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    text = F.when(chosen, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    tampered = merkle.leaf_digest(*[text if f == "text" else F.col(f) for f in FIELDS])
+    rows = merkle.manifest(read(spark, sf_dir, "documents"), FIELDS, carry={"tampered": tampered})
+    rows = rows.withColumn("folded_root", merkle.fold(F.col("tampered"), F.col("proof")))
+    return rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", sha256(merkle.proof_text(F.col("proof"))).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut twice and written in another order, and put together again."""
+    rows = infill.fill_in_middle(read(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", sha256(F.col("output")).alias("output_sha256"),
+                       sha256(infill.restore(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_packing, op3_licenses, op4_quality_rules, op5_simhash, op6_quality_model, op7_language,
-    op8_line_dedup, op9_sentencepiece, op10_chat)}
+    op8_line_dedup, op9_sentencepiece, op10_chat, op11_personal_data, op12_merkle, op13_infill)}
