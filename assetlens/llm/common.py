@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_path
 
@@ -14,6 +14,8 @@ SPACE = " \t\n\x0b\f\r"
 SPACES_RE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_ROWS = (1 << 33) - 1  # the low bits of monotonically_increasing_id are the place in the partition
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also where ``body`` uses it inside lambdas."""
@@ -58,6 +60,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
+    """``rows`` with ``i``, the row's number from 0 in its group by ``order`` (nulls first), and ``n``, the group's rows.
+    Groups may not be null; rows that agree in ``order`` get any order among themselves.
+
+    One range shuffle, however large a group is: a row's number is its place in its partition, less where its group
+    begins there, plus the group's rows in the partitions before. Only a row per group and partition is summed up."""
+    spread = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    placed = stored(spread.withColumn("at", F.monotonically_increasing_id()).select(
+        "*", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit(_ROWS)).alias("place")).drop("at"), "placed")
+    shares = placed.groupBy(group, "part").agg(F.count(F.lit(1)).alias("rows"), F.min("place").alias("begin"))
+    whole = Window.partitionBy(group)
+    before = F.coalesce(F.sum("rows").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shares = stored(shares.select(group, "part", (before - F.col("begin")).alias("shift"), F.sum("rows").over(whole).alias("n")),
+                    "shares")
+    return placed.join(shares, [group, "part"]).withColumn("i", F.col("place") + F.col("shift")).drop("part", "place", "shift")
+
+
 def slices(batch, column: str, most: int = 8 << 20) -> Iterator:
     """Cut an Arrow batch so that a slice's texts have about ``most`` bytes; a longer text is a slice of its own.
     What Arrow held for a slice is given back before the next one."""

@@ -1,52 +1,46 @@
-"""Winnowing: document fingerprints from rolling hashes of k token runs.
+"""Winnowing: document fingerprints from rolling hashes of runs of k units.
 
-Each run of ``k`` tokens is hashed by a cyclic polynomial (rotate and exclusive-or of token hashes). The hash of
+Units are up to four letters, marks or digits, counted from where a word begins (single characters in scripts that put no
+spaces between words), and every other sign by itself; the text's first two code points stand before them as a unit of
+their own. Each run of ``k`` units is hashed by a cyclic polynomial (rotate and exclusive-or of unit hashes). The hash of
 every run is rolled up from those of its two halves, so all runs of a text cost log2(k) passes over its array. In
 every window of ``window`` consecutive runs the smallest hash is chosen, the rightmost one on ties, again in
 log2(window) passes; a run chosen by several windows is kept once, with its position. Two texts that share
-``k + window - 1`` consecutive tokens share at least one whole window, and so at least one kept hash.
+``k + window - 1`` consecutive units share at least one whole window, and so at least one kept hash.
 
-There are two forms. Over words it is native array work on one row: no shuffle and no user function. Over code points,
-for texts of any length and script (``char_prints``), it is the same in numpy, as native array functions take several
-times the time limit there. Texts of less than ``SHORT`` code points also keep all their short runs, so that an edit
-leaves what it does not touch.
+Runs and windows also reach back over the beginning of a text, where they hold what there is. So the first run is always
+kept, there is no other rule for short texts, and a text keeps its likeness, whatever its length, when its end changes.
+
+It is native array work on one row: no shuffle and no user function.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import let
 
-K, WINDOW = 5, 4
-CHAR_K, CHAR_WINDOW = 8, 8
-SHORT = {3: 64, 2: 16}  # runs of so many code points are all kept in texts of fewer code points than this
-CHAR_BLOCK = 1 << 20  # windows of a long text done at a time
+K, WINDOW = 3, 3
 
 # Blocks of scripts that put no spaces between words (Thai, Lao, Burmese, Khmer, kana, CJK ideographs).
 UNSPACED = (r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF"
             r"\x{20000}-\x{323AF}")
-#: Runs of letters, marks and digits; in texts that hold an unspaced script, its characters stand alone.
-RUN_RE = r"[\p{L}\p{M}\p{N}]+"
-MIXED_RE = rf"[{UNSPACED}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]+"
+#: Pieces of words, and other signs; in texts that hold an unspaced script, its characters stand alone. Both cut what is
+#: outside these scripts alike.
+UNIT_RE = r"[\p{L}\p{M}\p{N}]{1,4}|[^\p{L}\p{M}\p{N}\s]"
+MIXED_RE = rf"[{UNSPACED}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]{{1,4}}|[^\p{{L}}\p{{M}}\p{{N}}\s]"
 POSITION = 0x7FFFFFFF  # the low bits of a packed choice hold the position, counted down
 
 
-def token_hashes(text: Column) -> Column:
-    """Hashes of the lower-cased tokens; a text without letters or digits is one token, an empty one has none."""
-    def hashed(tokens: Column) -> Column:
-        return F.when(F.size(tokens) > 0, F.transform(tokens, lambda t: F.xxhash64(t))).otherwise(
-            F.when(F.length(text) > 0, F.array(F.xxhash64(text))).otherwise(F.array().cast("array<bigint>")))
+def unit_hashes(text: Column) -> Column:
+    """Hashes of the first two code points and the units of the lower-cased text; an empty text has none."""
     # the mixed pattern costs several times the plain one, so only texts that need it pay for it
-    lower = F.lower(text)
-    runs = F.when(F.rlike(text, F.lit(f"[{UNSPACED}]")), F.regexp_extract_all(lower, F.lit(MIXED_RE), F.lit(0))).otherwise(
-        F.regexp_extract_all(lower, F.lit(RUN_RE), F.lit(0)))
-    return let(runs, hashed)
+    def hashed(lower: Column) -> Column:
+        units = F.when(F.rlike(lower, F.lit(f"[{UNSPACED}]")), F.regexp_extract_all(lower, F.lit(MIXED_RE), F.lit(0))).otherwise(
+            F.regexp_extract_all(lower, F.lit(UNIT_RE), F.lit(0)))
+        first = F.substring(lower, 1, 2)
+        return F.transform(F.when(first == "", units).otherwise(F.concat(F.array(first), units)), lambda t: F.xxhash64(t))
+    return let(F.lower(text), hashed)
 
 
 def _rotate(h: Column, by: int) -> Column:
@@ -60,8 +54,8 @@ def _paired(a: Column, b: Column, step: int, join) -> Column:
                    F.lit(1), F.greatest(F.size(b) - step, F.lit(0)))
 
 
-def run_hashes(tokens: Column, k: int = K) -> Column:
-    """The cyclic polynomial of every run of ``k`` tokens; a shorter text is one run."""
+def run_hashes(units: Column, k: int = K) -> Column:
+    """The cyclic polynomial of the run that ends at each unit; the first ``k - 1`` begin before the text."""
     def rolled(t: Column, k: int) -> Column:
         if k == 1:
             return t
@@ -70,148 +64,59 @@ def run_hashes(tokens: Column, k: int = K) -> Column:
             return let(rolled(t, half), lambda h: _paired(h, h, half, lambda x, y: _rotate(x, half).bitwiseXOR(y)))
         return let(rolled(t, k - 1), lambda h: _paired(h, t, k - 1, lambda x, y: _rotate(x, 1).bitwiseXOR(y)))
 
-    whole = F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: _rotate(acc, 1).bitwiseXOR(t))
-    # mixed once more, as the polynomial of equal tokens is not uniform
-    mixed = F.transform(F.when(F.size(tokens) < k, F.array(whole)).otherwise(rolled(tokens, k)), lambda h: F.xxhash64(h))
-    return F.when(F.size(tokens) == 0, F.array().cast("array<bigint>")).otherwise(mixed)
+    before = F.array_repeat(F.lit(0).cast("long"), k - 1)
+    return let(F.concat(before, units), lambda t: rolled(t, k))
 
 
 def winnow(hashes: Column, window: int = WINDOW) -> Column:
-    """Array of (hash, position): the rightmost smallest hash of every window, each position once, in order.
-
-    A choice packs the hash's upper bits above the counted-down position, so the smallest number is the smallest
-    (truncated) hash and, among equal ones, the rightmost.
-    """
-    packed = F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(~POSITION)).bitwiseOR(F.lit(POSITION) - i.cast("long")))
+    """The rightmost smallest hash of every window, each position once, in order, as packed numbers: the upper bits
+    of the hash (mixed once more, as the polynomial of equal units is not uniform) above the counted-down position, so that the
+    smallest number is the smallest hash and, among equal ones, the rightmost."""
+    packed = F.transform(hashes, lambda h, i: F.xxhash64(h).bitwiseAND(F.lit(~POSITION)).bitwiseOR(F.lit(POSITION) - i.cast("long")))
 
     def halved(values: Column, step: int) -> Column:
-        return let(values, lambda m: F.zip_with(m, F.slice(m, F.lit(1 + step), F.size(m)), lambda x, y: F.least(x, y)))
+        return let(values, lambda m: _paired(m, m, step, lambda x, y: F.least(x, y)))
 
-    least, reach = packed, 1
+    nothing = F.array_repeat(F.lit(0x7FFFFFFFFFFFFFFF), window - 1)
+    least, reach = F.concat(nothing, packed), 1
     while reach < window:
         step = min(reach, window - reach)
         least, reach = halved(least, step), reach + step
-    # windows that would run over the end are cut off; a text with fewer runs than a window is one window
-    chosen = F.array_distinct(F.slice(least, F.lit(1), F.greatest(F.size(hashes) - (window - 1), F.least(F.size(hashes), F.lit(1)))))
+    return F.array_distinct(least)
+
 
-    def located(p: Column) -> Column:
-        at = (F.lit(POSITION) - p.bitwiseAND(F.lit(POSITION))).cast("int")
-        return F.struct(F.get(hashes, at).alias("hash"), at.alias("position"))
+def print_hash(packed: Column) -> Column:
+    """The hash of a packed choice (its low bits are zero)."""
+    return packed.bitwiseAND(F.lit(~POSITION))
 
-    return F.transform(chosen, located)
+
+def print_position(packed: Column) -> Column:
+    """The unit that a chosen run ends with, from 0 (the first two code points)."""
+    return (F.lit(POSITION) - packed.bitwiseAND(F.lit(POSITION))).cast("int")
 
 
 def fingerprint(text: Column, k: int = K, window: int = WINDOW) -> Column:
-    """Array of (hash, position) of a text, null counting as empty; an empty text has an empty fingerprint."""
-    return let(F.coalesce(text, F.lit("")), lambda x: let(token_hashes(x), lambda t: let(
-        run_hashes(t, k), lambda h: winnow(h, window))))
+    """Packed choices of a text, null counting as empty; an empty text has an empty fingerprint."""
+    return let(F.coalesce(text, F.lit("")), lambda x: let(unit_hashes(x), lambda t: F.when(F.size(t) > 0, let(
+        run_hashes(t, k), lambda h: winnow(h, window))).otherwise(F.array().cast("array<bigint>"))))
 
 
 def fingerprint_id(prints: Column) -> Column:
     """A short name of a fingerprint: equal exactly if hashes and positions are (SHA-256)."""
-    return F.sha2(F.array_join(F.transform(prints, lambda p: F.concat_ws(":", F.hex(p["hash"]), p["position"])), ",").cast("binary"), 256)
+    return F.sha2(F.array_join(F.transform(prints, lambda p: F.hex(p)), ",").cast("binary"), 256)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Shared hashes against all (Dice): 1 for equal sets, two empty ones included, 0 for disjoint ones."""
-    return let(F.struct(F.array_distinct(F.transform(a, lambda p: p["hash"])).alias("a"),
-                        F.array_distinct(F.transform(b, lambda p: p["hash"])).alias("b")),
+    return let(F.struct(F.array_distinct(F.transform(a, print_hash)).alias("a"), F.array_distinct(F.transform(b, print_hash)).alias("b")),
                lambda s: F.when(F.size(s["a"]) + F.size(s["b"]) == 0, 1.0).otherwise(
                    2.0 * F.size(F.array_intersect(s["a"], s["b"])) / (F.size(s["a"]) + F.size(s["b"]))))
 
 
 def fingerprint_documents(docs: DataFrame, k: int = K, window: int = WINDOW, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
-    """``id, fingerprint`` per input row. Null texts count as empty, repeated rows each get their row, other
-    columns are not read, and an empty table gives an empty table."""
-    return docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), k, window).alias("fingerprint"))
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    """The finaliser of SplitMix64: spreads near values over all 64 bits."""
-    h = h + np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def _char_runs(letters: np.ndarray, k: int) -> np.ndarray:
-    """The cyclic polynomial of every run of ``k`` letter hashes, mixed once more, as signed numbers."""
-    def rolled(k: int) -> np.ndarray:
-        if k == 1:
-            return letters
-        step = k // 2 if k % 2 == 0 else k - 1
-        h = rolled(step)
-        by, rest = (step, h[step:]) if k % 2 == 0 else (1, letters[k - 1:])
-        first = h[:len(rest)]
-        return (first << np.uint64(by % 64) | first >> np.uint64(-by % 64)) ^ rest
-
-    return _mixed(rolled(k)).view(np.int64)
-
-
-def _char_winnow(runs: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the rightmost smallest (truncated) hash of every window, in order; a chosen one may repeat."""
-    least = runs & np.int64(~POSITION) | (POSITION - np.arange(len(runs)))
-    window, reach = min(window, len(runs)), 1
-    while reach < window:
-        step = min(reach, window - reach)
-        least, reach = np.minimum(least[:-step], least[step:]), reach + step
-    return POSITION - (least & POSITION)
-
-
-def char_prints(text: str | None, k: int = CHAR_K, window: int = CHAR_WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and positions of the kept runs of lower-cased code points, null counting as empty. Any run of
-    ``k + window - 1`` code points that two texts share leaves a common hash, in texts under ``SHORT`` shorter ones
-    do; a text of less than ``k`` is one run, an empty one has none."""
-    raw = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    hashes, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    whole = min(k, len(raw))
-    windows = max(len(raw) - whole - window + 2, 1) if len(raw) else 0
-    for at in range(0, windows, CHAR_BLOCK):
-        runs = _char_runs(_mixed(raw[at:at + CHAR_BLOCK + whole + window - 2].astype(np.uint64)), whole)
-        chosen = _char_winnow(runs, window)
-        chosen = chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))]
-        # a block's first choice may be the last one of the block before
-        if len(places[-1]) and places[-1][-1] == chosen[0] + at:
-            chosen = chosen[1:]
-        hashes.append(runs[chosen])
-        places.append(chosen + at)
-    for size, under in SHORT.items():
-        if size < whole and len(raw) < under:
-            runs = _char_runs(_mixed(raw.astype(np.uint64)), size)
-            hashes.append(runs)
-            places.append(np.arange(len(runs)))
-    return np.concatenate(hashes), np.concatenate(places)
-
-
-def prints_id(prints: tuple[np.ndarray, np.ndarray]) -> str:
-    """A short name of code point prints: equal exactly if hashes and positions are (SHA-256)."""
-    return hashlib.sha256(b"".join(x.astype("<i8").tobytes() for x in prints)).hexdigest()
-
-
-def prints_likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """``likeness`` of two sets of distinct hashes."""
-    if len(a) + len(b) == 0:
-        return 1.0
-    return 2.0 * len(np.intersect1d(a, b, assume_unique=True)) / (len(a) + len(b))
-
-
-def compared(text: Column, edited: Column, next_text: Column) -> Column:
-    """Struct (fingerprint, edited_fingerprint, near_edited, near_next) over code points. Rows in the order of
-    ``with_next`` have their text's prints at hand from the row before."""
-    def both(x: str | None) -> tuple[str, np.ndarray]:
-        prints = char_prints(x)
-        return prints_id(prints), np.unique(prints[0])
-
-    @F.pandas_udf("fingerprint string, edited_fingerprint string, near_edited double, near_next double")
-    def compare(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        last, known = None, both("")
-        for batch in batches:
-            rows = []
-            for x, e, n in zip(*batch):
-                own = known if x == last else both(x)
-                changed = both(e)
-                last, known = n, own if n == x else both(n)
-                rows.append((own[0], changed[0], prints_likeness(own[1], changed[1]), prints_likeness(own[1], known[1])))
-            yield pd.DataFrame(rows, columns=["fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-    return compare(text, edited, next_text)
+    """``id, fingerprint`` (array of hash and position) per input row. Null texts count as empty, repeated rows each get
+    their row, other columns are not read, and an empty table gives an empty table."""
+    prints = fingerprint(F.col(text_col), k, window)
+    return docs.select(F.col(id_col).alias("id"), F.transform(prints, lambda p: F.struct(
+        print_hash(p).alias("hash"), print_position(p).alias("position"))).alias("fingerprint"))

@@ -6,9 +6,7 @@ that is the exclusive-or with 1). The rows in slot zero then emit the parents. T
 so a tree that holds a third of all rows is spread like any other. Each level is a third of the one below it and
 is written as a table. Proofs are handed down: a node takes its parent's proof by one join and adds its siblings.
 
-Rows are numbered within their tree by one range shuffle: a row's number is its place in its partition, less where its tree
-begins there, plus the tree's rows in the partitions before. Nothing is sorted in one task, and only counts
-(tree, partition) are summed up.
+Rows are numbered within their tree by one range shuffle (``common.numbered``); nothing is sorted in one task.
 """
 
 from __future__ import annotations
@@ -16,12 +14,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stored
+from .common import numbered, stored
 
 FANOUT = 3
-_ROWS = (1 << 33) - 1  # the low bits of monotonically_increasing_id are the place in the partition
 
 
 def digest(*parts: Column) -> Column:
@@ -39,21 +36,6 @@ def leaf_digest(*fields: Column) -> Column:
     return digest(*[field_text(f) for f in fields])
 
 
-def numbered(rows: DataFrame, tree: str, order: Sequence[str]) -> DataFrame:
-    """``rows`` with ``i``, the row's number from 0 in its tree by ``order`` (nulls first), and ``n``, the tree's rows.
-    Rows that agree in ``order`` get any order among themselves."""
-    spread = rows.repartitionByRange(tree, *order).sortWithinPartitions(tree, *order)
-    placed = stored(spread.withColumn("at", F.monotonically_increasing_id()).select(
-        "*", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit(_ROWS)).alias("place")).drop("at"), "merkle-placed")
-    shares = placed.groupBy(tree, "part").agg(F.count(F.lit(1)).alias("rows"), F.min("place").alias("begin"))
-    # a row per tree and partition
-    whole = Window.partitionBy(tree)
-    before = F.coalesce(F.sum("rows").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shares = stored(shares.select(tree, "part", (before - F.col("begin")).alias("shift"), F.sum("rows").over(whole).alias("n")),
-                    "merkle-shares")
-    return placed.join(shares, [tree, "part"]).withColumn("i", F.col("place") + F.col("shift")).drop("part", "place", "shift")
-
-
 def with_siblings(nodes: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """``nodes`` (tree, i, n, d and others) of trees that have more than one, with ``left`` and ``right``: the digests of the
     siblings before and after each node, written one after another."""

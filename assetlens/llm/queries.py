@@ -24,15 +24,17 @@ def sha256(text):
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowing fingerprints of every text and of its edited text."""
-    pairs = with_next(read(spark, sf_dir, "documents"), F.length)
-    n = F.col("made")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 3).cast("int")),
-                      F.substring(F.col("next_text"), F.lit(1), F.floor(n / 3).cast("int")))
-    pairs = pairs.withColumn("edited", edited)
-    pairs = pairs.withColumn("c", fingerprints.compared(F.col("text"), F.col("edited"), F.col("next_text")))
+    pairs = with_next(read(spark, sf_dir, "documents"), fingerprints.fingerprint)
+    n = F.length("text")
+    third = F.floor(n / 3).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third))
+    pairs = pairs.withColumn("edited", edited).withColumn("changed", fingerprints.fingerprint(F.col("edited")))
     return pairs.select(
         F.col("id").alias("doc_id"), n.cast("long").alias("n_chars"), sha256(F.col("edited")).alias("edited_sha256"),
-        "c.fingerprint", "c.edited_fingerprint", "c.near_edited", "c.near_next")
+        fingerprints.fingerprint_id(F.col("made")).alias("fingerprint"),
+        fingerprints.fingerprint_id(F.col("changed")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("made"), F.col("changed")).alias("near_edited"),
+        fingerprints.likeness(F.col("made"), F.col("next_made")).alias("near_next"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
