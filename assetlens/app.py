@@ -24,19 +24,26 @@ Run as ``python -m assetlens.app [--config job.properties] key=value ...``. Keys
   salt.buckets      salt for hot assets when the asset side is shuffled (default 1 = off)
   segment.time      event | processing: segment keys from event time or the wall clock (default event)
   only.new.edges    true: write only edges not stored yet (anti join with the profile; default false)
+  matcher           id | touch: profile by the source asset id, or by area and IP (default id)
+  late.assets       true: flows also match assets (and models) that come after them (default false)
+  late.days         days that past flows are kept for that (default: for ever)
+  counts.path       also accumulate the flows per edge in a store at this path (default: none)
+  store.buckets     hash buckets of the asset id in the edge store (default 1); only.new.edges reads a batch's buckets only
+  fold.tier         put every so many older batches together, level by level (default 0 = never)
   compact.every     rewrite the profile as one generation every N batches, and remove older ones
                     (default 100; 0 = never)
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import operators as op
 from .session import get_session, scratch_path
-from .sinks import EdgeStore, StatusLog
+from .sinks import CountStore, EdgeStore, FlowMemory, StatusLog
 from .sources import jdbc, load_options, read_kafka, read_flow_files, read_kafka_files
 from .sources.kafka import kafka_envelope
 from .streaming import ProfileStream
@@ -96,9 +103,16 @@ def resolve_trigger(spark: SparkSession, opts: dict[str, str]) -> dict:
 
 def build(spark: SparkSession, opts: dict[str, str]) -> tuple[ProfileStream, EdgeStore, StatusLog]:
     root = opts.get("store.path") or scratch_path(spark, "assetlens/store")
-    store = EdgeStore(spark, root).init()
+    store = EdgeStore(spark, root, int(opts.get("store.buckets", "1"))).init()
     status = StatusLog(spark, opts.get("status.path") or f"{root}_status").init()
+    matcher, memory = opts.get("matcher", "id"), None
+    if opts.get("late.assets", "false").lower() == "true":
+        days = opts.get("late.days")
+        memory = FlowMemory(spark, f"{root}_flows", ProfileStream.memory_columns(matcher), opts.get("zone"),
+                            dt.timedelta(days=float(days)) if days else None)
     job = ProfileStream(spark, scope_loader(spark, opts), store, status=status, parse=True,
+                        matcher=matcher, memory=memory,
+                        counts=CountStore(spark, opts["counts.path"]) if opts.get("counts.path") else None,
                         quarantine_path=opts.get("quarantine.path") or f"{root}_quarantine",
                         tz=opts.get("zone"), ttl_s=float(opts.get("refresh.seconds", "3600")),
                         honour_update_mode=opts.get("update.mode", "accumulate") == "honour",
@@ -106,7 +120,8 @@ def build(spark: SparkSession, opts: dict[str, str]) -> tuple[ProfileStream, Edg
                                    "salt_buckets": int(opts.get("salt.buckets", "1"))},
                         segment_time=opts.get("segment.time", "event"),
                         only_new_edges=opts.get("only.new.edges", "false").lower() == "true",
-                        compact_every=int(opts.get("compact.every", "100")))
+                        compact_every=int(opts.get("compact.every", "100")),
+                        fold_tier=int(opts.get("fold.tier", "0")))
     return job, store, status
 
 

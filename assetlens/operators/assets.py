@@ -6,7 +6,8 @@ Group matching (D3) has two modes:
   the model's group list (so group "1" matches list "10,12", and an empty group matches
   every list). Instead of a nested-loop join, the (small) params side is expanded into all
   substrings of its list up to the longest asset group, and assets are joined on equality -
-  an exact rewrite that becomes a hash join.
+  an exact rewrite that becomes a hash join. Lists with too many substrings for that are cut into q-grams instead, one row
+  each: a group can only stand in a list that holds its first q-gram, and the few pairs that meet so are verified.
 * ``exact``: the list is split at commas and groups must equal one entry.
 """
 
@@ -18,6 +19,7 @@ from ..functions import asset_ips
 from .common import bounded_broadcast
 
 PARAM_COLUMNS = ["model_id", "span", "accumulate"]
+GRAM = 4  # characters of a q-gram
 ASSET_COLUMNS = ["entity_id", "entity_name", "asset_ip", "area_id", "entity_groups"]
 
 
@@ -51,6 +53,30 @@ def group_candidates(params: DataFrame, assets: DataFrame, mode: str = "contains
     return one.select("model_id", *[F.col("_rest")[c].alias(c) for c in rest], "grp")
 
 
+def gram_candidates(params: DataFrame, assets: DataFrame, q: int = GRAM) -> DataFrame:
+    """The groups of ``assets`` that stand in each model's list, as ``group_candidates`` has them, for lists of any length.
+
+    A list of n characters gives n rows of a q-gram and n of each shorter length, made from slices of its characters;
+    only distinct groups are met with them, by their first ``q`` characters, and compared with the list itself.
+    """
+    lst = F.col("entity_group_list")
+    keep = [c for c in PARAM_COLUMNS if c in params.columns]
+    lists = params.where(lst.isNotNull()).select(*keep, lst.alias("_lst"))
+    lists = lists.withColumn("_list", F.xxhash64("_lst"))
+    texts = lists.select("_list", "_lst").distinct()
+    cut = texts.select("_list", F.split("_lst", "").alias("_c"), F.explode(F.sequence(F.lit(1), F.lit(q))).alias("_k"))
+    grams = cut.select("_list", "_k", "_c", F.explode(F.sequence(F.lit(1), F.greatest(F.size("_c") - F.col("_k") + 1, F.lit(1)))).alias("_i"))
+    grams = grams.select("_list", F.array_join(F.slice("_c", F.col("_i"), F.col("_k")), "").alias("_gram")).distinct()
+    groups = assets.select(F.col("entity_groups").alias("grp")).where("grp is not null").distinct()
+    met = groups.where("grp <> ''").withColumn("_gram", F.substring("grp", 1, q)).join(grams, "_gram").select("_list", "grp")
+    inside = met.join(texts, "_list").where(F.contains("_lst", "grp")).select("_list", "grp")
+    pairs = lists.join(inside, "_list").select(*keep, "grp").unionByName(  # the empty group stands in every list
+        lists.select(*keep, F.lit("").alias("grp")))
+    rest = [c for c in keep if c != "model_id"]
+    one = pairs.groupBy("model_id", "grp").agg(F.max(F.struct(*rest)).alias("_rest")) if rest else pairs.distinct()
+    return one.select("model_id", *[F.col("_rest")[c].alias(c) for c in rest], "grp")
+
+
 def candidate_bound(params: DataFrame, mode: str = "contains") -> int:
     """Upper bound of ``group_candidates`` rows from the params alone: every substring of each
     list (plus the empty one) for 'contains', every comma-separated entry for 'exact'."""
@@ -63,8 +89,11 @@ def candidate_bound(params: DataFrame, mode: str = "contains") -> int:
 def scope_assets(assets: DataFrame, params: DataFrame, mode: str = "contains",
                  max_broadcast_rows: int = 200_000) -> DataFrame:
     """D3 + C4: one row per (model, asset in scope)."""
-    cand = bounded_broadcast(group_candidates(params, assets, mode), max_broadcast_rows,
-                             bound=candidate_bound(params, mode))
+    bound = candidate_bound(params, mode)
+    if mode == "contains" and bound > max_broadcast_rows:
+        cand = bounded_broadcast(gram_candidates(params, assets), max_broadcast_rows)
+    else:
+        cand = bounded_broadcast(group_candidates(params, assets, mode), max_broadcast_rows, bound=bound)
     a = assets.select(*ASSET_COLUMNS)
     j = a.join(cand, a.entity_groups == cand.grp, "inner")
     keep = [c for c in PARAM_COLUMNS if c in cand.columns]

@@ -58,10 +58,26 @@ def _sides(flows: DataFrame, keep: list[str]) -> DataFrame:
         F.struct(F.col("dst_ip").alias("_fip"), F.lit("dst").alias("side")))))
 
 
+def scope_delta(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """H2, E5: the rows of ``new`` whose ``keys`` (null-safe) are not in ``old``: what a refresh of the static side brought.
+
+    Compared by a hash of the keys, seeded apart for its two halves; only these 16 bytes of ``old`` are shuffled.
+    """
+    def digest(name: str) -> list:
+        cols = [F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys]
+        return [F.xxhash64(F.lit(seed), *cols).alias(f"{name}{seed}") for seed in (1, 2)]
+
+    known = old.select(*digest("_old")).distinct()
+    rows = new.select("*", *digest("_new"))
+    return rows.join(known, [F.col("_new1") == F.col("_old1"), F.col("_new2") == F.col("_old2")], "left_anti").select(*new.columns)
+
+
 def touch_pairs(flows: DataFrame, index: DataFrame, max_rows: int = ASSET_BROADCAST_ROWS,
-                salt_buckets: int = 1) -> DataFrame:
+                salt_buckets: int = 1, owners: DataFrame | None = None) -> DataFrame:
     """(model, asset, matched ip, side) for every flow touching an asset of its area.
 
+    ``owners`` is the whole index where ``index`` is a part of it: it decides whether the asset owns the source IP.
+
     One pass over the flows: both IPs are joined with the (area, ip) index at once; a
     destination match is then dropped when the same asset owns the source IP (the anti join
     carries ``side`` in its key, so source matches can never hit it).
@@ -74,7 +90,9 @@ def touch_pairs(flows: DataFrame, index: DataFrame, max_rows: int = ASSET_BROADC
     hits = join_small_side(f, idx, ["area_id", "_fip"], ["_area", "_ip"], "inner", max_rows, salt_buckets,
                            ["flow_id"], fits)
     keys = mcol + ["entity_id", "area_id", "src_ip", "side"]
-    owned = index.select(*[F.col(k).alias("_o_" + k) for k in mcol + ["entity_id", "area_id"]],
+    if owners is not None:
+        fits = fits_broadcast(owners.select(*mcol, "entity_id", "area_id", "ip"), max_rows)
+    owned = (index if owners is None else owners).select(*[F.col(k).alias("_o_" + k) for k in mcol + ["entity_id", "area_id"]],
                          F.col("ip").alias("_o_src_ip"), F.lit("dst").alias("_o_side"))
     kept = join_small_side(hits, owned, keys, ["_o_" + k for k in keys], "left_anti", max_rows,
                            salt_buckets, ["flow_id"], fits)

@@ -385,6 +385,20 @@ FROM p""",
 
     "store_accumulate": _merged("SELECT NULL WHERE false"),
     "store_replace": _merged("SELECT model_id FROM new_edges"),
+    "store_replay": _with(BASE, _SPLIT, f"""
+smaller AS (SELECT * FROM scoped WHERE area_id <> 0),
+odd_edges AS ({_edges(f"(SELECT * FROM complete WHERE event_time >= {SPLIT} AND event_id % 2 = 1)", 'src_id', 'src_ip', 'smaller')}),
+even_edges AS ({_edges(f"(SELECT * FROM complete WHERE event_time >= {SPLIT} AND event_id % 2 = 0)", 'src_id', 'src_ip')}),
+kept AS (SELECT DISTINCT model_id, entity_id, segment_key, host_ip FROM (
+    SELECT * FROM hist_edges UNION ALL SELECT * FROM even_edges UNION ALL SELECT * FROM odd_edges))""") + "\n" + _named_csv("kept"),
+    "store_dimension_change": _with(BASE, _SPLIT, _NEXT, f"""
+later AS (SELECT * FROM params_next WHERE model_type = 1 AND model_child_type = 1 AND switch_on AND switch2_on
+          AND modify_time < {AS_OF} - INTERVAL 10 MINUTE AND valid_span),
+scoped_later AS (SELECT p.model_id, p.span, p.accumulate, a.* FROM assets a JOIN later p ON contains(p.entity_group_list, a.entity_groups)),
+later_edges AS ({_edges(f"(SELECT * FROM complete WHERE event_time >= {SPLIT})", 'src_id', 'src_ip', 'scoped_later')}),
+turned AS (SELECT l.model_id FROM later l JOIN runnable r USING (model_id) WHERE l.span <> r.span),
+kept AS (SELECT DISTINCT model_id, entity_id, segment_key, host_ip FROM (
+    SELECT * FROM hist_edges WHERE model_id NOT IN (SELECT model_id FROM turned) UNION ALL SELECT * FROM later_edges))""") + "\n" + _named_csv("kept"),
     "profile_accumulate": _merged("SELECT NULL WHERE false"),
     "profile_replace": _merged("SELECT model_id FROM runnable"),
     "profile_by_mode": _merged("SELECT model_id FROM runnable WHERE NOT accumulate"),
@@ -415,3 +429,9 @@ good AS (SELECT *, make_timestamp(r_time * 1000) AS event_time FROM parsed
 live_edges AS ({_edges('good', 'src_id', 'src_ip')}),
 live AS ({_named_csv('live_edges')})""") + """
 SELECT live.*, (SELECT count(*) FROM parsed) - (SELECT count(*) FROM good) AS n_quarantined FROM live"""
+
+# The job ends where the batch queries begin: with all flows and all assets.
+ORACLE_SQL["profile_late_assets"] = ORACLE_SQL["profile_src"]
+ORACLE_SQL["profile_match_stream"] = ORACLE_SQL["profile_match"]
+ORACLE_SQL["store_multiset"] = ORACLE_SQL["profile_multiset_counts"]
+ORACLE_SQL["kafka_backfill"] = ORACLE_SQL["kafka_envelope"]

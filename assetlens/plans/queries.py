@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import operators as op
 from ..functions import local_day, segment_candidates
 from ..session import scratch_path
-from ..sinks import EdgeStore, StatusLog, write_day_files
+from ..sinks import CountStore, EdgeStore, FlowMemory, StatusLog, write_day_files
 from ..sources import fixtures as fx
 from ..sources.files import read_table
 from ..sources.kafka import kafka_envelope
@@ -349,6 +349,110 @@ def store_replace(spark, sf_dir):
     return _stored(spark, sf_dir, replace=True)
 
 
+# ---------------------------------------------------------------- the job over changing models and assets
+def _job(spark, root, loader, **kw):
+    """A job object over the store at ``root``, as a restarted application makes one."""
+    from ..streaming import ProfileStream
+
+    store = EdgeStore(spark, f"{root}/store").init()
+    return ProfileStream(spark, loader, store, ttl_s=0.0, **kw), store
+
+
+def _part(flows: DataFrame, i: int, n: int) -> DataFrame:
+    return flows.where(F.col("flow_id").cast("long") % n == i)
+
+
+def store_replay(spark, sf_dir):
+    """A batch dies after it was written and is run again over a smaller inventory; the next batch uses that."""
+    inp, root = inputs(spark, sf_dir), _scratch(spark, "store_replay")
+    before = inp.complete.where(F.col("event_time") < F.lit(fx.SPLIT_AT).cast("timestamp"))
+    after = inp.complete.where(F.col("event_time") >= F.lit(fx.SPLIT_AT).cast("timestamp"))
+    assets = {"now": inp.assets}
+    loader = lambda: (inp.runnable, op.scope_assets(assets["now"], inp.runnable))
+    job, store = _job(spark, root, loader)
+    job.process(before, 0)
+    job.process(_part(after, 0, 2), 1)
+    # what a dead attempt may leave: more edges than the batch has
+    store.write_batch(op.profile_edges(after, inp.scoped()), 1)
+    job.close()
+    assets["now"] = inp.assets.where("area_id <> 0")
+    again, store = _job(spark, root, loader)
+    again.process(_part(after, 0, 2), 1)
+    again.process(_part(after, 1, 2), 2)
+    again.close()
+    return op.named_csv_rows(store.read_edges())
+
+
+def store_dimension_change(spark, sf_dir):
+    """History under the first parameters, new flows after a restart under the later ones, where m2 turns from weekdays to hours."""
+    inp, root = inputs(spark, sf_dir), _scratch(spark, "store_dimension")
+    before = inp.complete.where(F.col("event_time") < F.lit(fx.SPLIT_AT).cast("timestamp"))
+    after = inp.complete.where(F.col("event_time") >= F.lit(fx.SPLIT_AT).cast("timestamp"))
+    later = op.runnable_params(op.active_params(inp.next_params, as_of=fx.AS_OF))
+    for batch, (flows, params) in enumerate(((before, inp.runnable), (after, later))):
+        job, store = _job(spark, root, lambda: (params, op.scope_assets(inp.assets, params)))  # noqa: B023
+        job.process(flows, batch)
+        job.close()
+    return op.named_csv_rows(store.read_edges())
+
+
+def _growing(spark, sf_dir, mode, name, **kw):
+    """Three batches, before each of which a third of the inventory arrives, with a restart before the last."""
+    from ..streaming import ProfileStream
+
+    inp, root, arrived = inputs(spark, sf_dir), _scratch(spark, name), {"thirds": 0}
+
+    def loader():
+        arrived["thirds"] += 1
+        known = inp.assets.where(F.pmod(F.xxhash64("entity_id"), F.lit(3)) < arrived["thirds"])
+        return inp.runnable, op.scope_assets(known, inp.runnable, mode)
+
+    memory = FlowMemory(spark, f"{root}/flows", ProfileStream.memory_columns(kw.get("matcher", "id")), fold_every=2)
+    job, store = _job(spark, root, loader, memory=memory, **kw)
+    for batch in range(3):
+        if batch == 2:
+            job.close()
+            job, store = _job(spark, root, loader, memory=memory, **kw)
+        job.process(_part(inp.complete, batch, 3), batch)
+    job.close()
+    return op.named_csv_rows(store.read_edges())
+
+
+def profile_late_assets(spark, sf_dir):
+    return _growing(spark, sf_dir, "contains", "late_assets")
+
+
+def profile_match_stream(spark, sf_dir):
+    return _growing(spark, sf_dir, "exact", "match_stream", matcher="touch")
+
+
+def kafka_backfill(spark, sf_dir):
+    """Three reads over overlapping offset ranges, one of them run again, each keeping only what no other read has."""
+    from ..sources.offset_ledger import OffsetLedger
+
+    inp, root = inputs(spark, sf_dir), _scratch(spark, "kafka_backfill")
+    ledger, records = OffsetLedger(spark, f"{root}/ledger").init(), inp.kafka
+    most = records.agg(F.max("offset")).first()[0] + 1
+    for read, (start, until) in enumerate(((0, most * 6 // 10), (most * 3 // 10, most * 8 // 10), (0, most))):
+        wanted = records.select("topic", "partition").distinct().select("topic", "partition", F.lit(start).alias("start"), F.lit(until).alias("until"))
+        for _ in range(2 if read == 1 else 1):
+            new = ledger.new_records(records, read, wanted.select("topic", "partition", F.col("start").cast("long"), F.col("until").cast("long")))
+            new.write.mode("overwrite").parquet(f"{root}/records/read_id={read}")
+            ledger.record(spark.read.parquet(f"{root}/records/read_id={read}"), read)
+    p = op.to_upper_json(op.parse_flows(kafka_envelope(spark.read.parquet(f"{root}/records").drop("read_id"))))
+    return p.select("key", "topic", "partition", "offset", _ntz("timestamp"), "parse_status",
+                    F.when(F.col("parse_status") == "ok", F.col("flow_json")).alias("flow_json"))
+
+
+def store_multiset(spark, sf_dir):
+    """Five batches of counts, one of them run again, folded two by two."""
+    inp = inputs(spark, sf_dir)
+    store = CountStore(spark, _scratch(spark, "store_multiset"), tier=2)
+    for batch in (0, 1, 2, 2, 3, 4):
+        store.write_batch(op.multiset_counts(_part(inp.complete, batch, 5), inp.runnable, side="src"), batch)
+    return store.read_counts()
+
+
 # ---------------------------------------------------------------- status, files
 def status_latest(spark, sf_dir):
     inp = inputs(spark, sf_dir)
@@ -417,6 +521,12 @@ QUERIES = {
     "profile_accumulate": profile_accumulate,
     "profile_replace": profile_replace,
     "profile_by_mode": profile_by_mode,
+    "kafka_backfill": kafka_backfill,
+    "store_replay": store_replay,
+    "store_dimension_change": store_dimension_change,
+    "store_multiset": store_multiset,
+    "profile_late_assets": profile_late_assets,
+    "profile_match_stream": profile_match_stream,
     "status_latest": status_latest,
     "flow_day_files": flow_day_files,
     "profile_stream": profile_stream,
@@ -457,6 +567,12 @@ OPERATORS = {
     "profile_multiset_counts": "E3: flows per (model, asset, segment, IP), the long form of the non-distinct profile",
     "store_accumulate": "B1 B3 A9: two batches written through the edge store and read back",
     "store_replace": "B2 A9: the same, the second batch replacing the models it has edges for",
+    "kafka_backfill": "A1 A2: overlapping reads of a topic, each keeping what no other has, by a ledger of offset ranges; equals kafka_envelope",
+    "store_replay": "B5 H6: a batch run again under its pinned scope, in place of all that its dead attempt wrote",
+    "store_dimension_change": "D7 H7: a model's changed result span begins a new profile, over a restart",
+    "store_multiset": "E3 B4: flows per edge accumulated over batches, one of them replayed, folded in tiers",
+    "profile_late_assets": "H2 H6: assets that come after their flows, matched with what is kept of them; equals profile_src",
+    "profile_match_stream": "E2 D5 E5 H6: the area/IP matcher in the job over a growing inventory; equals profile_match",
     "profile_accumulate": "B3 E4 D6 A9: history and new edges merged (set union)",
     "profile_replace": "B2: history replaced by new edges",
     "profile_by_mode": "B2 B3: each model merged by its update mode",

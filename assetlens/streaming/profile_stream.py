@@ -4,10 +4,16 @@
   come from it, not from the wall clock.
 * The asset side is static and re-read inside ``foreachBatch`` once it is older than ``ttl_s``
   (H6), because a static DataFrame keeps its file listing / JDBC snapshot for the life of the
-  query. A stream-static join needs no join state (H2).
-* Each micro-batch is aggregated once and written to ``batch_id=N`` folders (B1, B5), so the
-  checkpoint (H4) plus idempotent writes give exactly-once results after a restart or a lost
-  executor.
+  query. A stream-static join needs no join state (H2). Each version of it is kept, and each batch is pinned to one: a
+  batch that is run again after a restart matches with the version it began with (``ScopeLog``).
+* Each micro-batch is aggregated once and written as a batch of the edge store (B1, B5), whose readers only see the last
+  attempt, so the checkpoint (H4) gives exactly-once results after a restart or a lost executor.
+* With a ``FlowMemory`` flows also match assets that come after them (H2): when a refresh brings new (model, asset) pairs,
+  those alone are matched with the past flows, which are kept reduced to one per possible edge. A model that
+  changes its dimension is such a change too, so its new profile covers the past.
+* ``matcher="touch"`` profiles by area and IP (D5, E2) instead of the asset id. The (area, IP) index is part of the pinned
+  version, and a refresh matches past flows with the index rows that are new in it only (E5).
+* With a ``CountStore`` the flows per edge (E3) accumulate beside the profile.
 * With ``honour_update_mode`` (H7) the models' update modes are compared with those last applied, which the store
   keeps, so the comparison survives a restart. A model that has turned to replace (0) is written as a new
   generation once, by the first batch that has edges for it. The live path of the original job always
@@ -30,20 +36,44 @@ from .. import operators as op
 from ..functions import segment_candidates
 from ..operators.common import ASSET_BROADCAST_ROWS
 from ..session import scratch_path
+from ..sinks.count_store import CountStore
 from ..sinks.edge_store import EdgeStore
+from ..sinks.flow_memory import FlowMemory
+from ..sinks.scope_log import ScopeLog
 from ..sinks.status_log import StatusLog
 
 # Returns the runnable models, the (model, asset) table and, optionally, the models that cannot run.
 ScopeLoader = Callable[[], "tuple[DataFrame, DataFrame] | tuple[DataFrame, DataFrame, DataFrame]"]
 
 
+class _Scope:
+    """One version of the static side, cached while it is in use."""
+
+    def __init__(self, version: str, tables: dict[str, DataFrame], max_rows: int):
+        self.version = version
+        self.params, self.scoped = tables["params"].cache(), tables["assets"].cache()
+        self.index = tables["index"].cache() if "index" in tables else None
+        rows = self.params.select("model_id", "span", "accumulate").collect()  # a row per model
+        self.modes = {r["model_id"]: bool(r["accumulate"]) for r in rows}
+        self.dimensions = {r["model_id"]: r["span"] for r in rows}
+        self.spans = sorted({r["span"] for r in rows if r["span"] is not None})  # decides the pre-aggregation keys
+        self.fits = op.scope_fits(self.scoped, max_rows) if self.index is None else None  # once per version
+
+    def unpersist(self) -> None:
+        for df in (self.params, self.scoped, self.index):
+            if df is not None:
+                df.unpersist()
+
+
 class ProfileStream:
     def __init__(self, spark: SparkSession, scope_loader: ScopeLoader, store: EdgeStore, *,
                  status: StatusLog | None = None, quarantine_path: str | None = None,
                  prepare: Callable[[DataFrame], DataFrame] | None = None, parse: bool = False,
                  tz: str | None = None, ttl_s: float = 3600.0, honour_update_mode: bool = False,
                  side: str = "src", host: str = "own", join_opts: dict | None = None,
-                 segment_time: str = "event", only_new_edges: bool = False, compact_every: int = 100):
+                 segment_time: str = "event", only_new_edges: bool = False, compact_every: int = 100,
+                 matcher: str = "id", memory: FlowMemory | None = None, counts: CountStore | None = None,
+                 scopes: ScopeLog | None = None, fold_tier: int = 0):
         self.spark = spark
         self.scope_loader = scope_loader
         self.store = store
@@ -64,35 +94,68 @@ class ProfileStream:
         self.only_new_edges = only_new_edges
         # every N batches the current profile is rewritten as one generation and older ones removed (0 = never)
         self.compact_every = compact_every
-        self._loaded_at = 0.0
-        self._params: DataFrame | None = None
-        self._scoped: DataFrame | None = None
-        self._modes: dict[str, bool] = {}      # update mode wanted per model
-        self._applied: dict[str, bool] | None = None  # and last applied
+        if matcher not in ("id", "touch"):
+            raise ValueError("matcher must be 'id' or 'touch'")
+        self.matcher, self.memory, self.counts = matcher, memory, counts
+        self.scopes = scopes or ScopeLog(spark, f"{store.root}_scopes")
+        store.exclusive = True  # this job is the only writer
+        # full tiers of so many older batches are folded (0 = never)
+        self.fold_tier = fold_tier
+        self._loaded_at: float | None = None
+        self._latest: str | None = None        # version of the last refresh
+        self._scope: _Scope | None = None      # the version in use
+        self._before: str | None = None        # the version of the batch before
+        self._begun: int | None = None         # the last batch begun by this object
+        self._schemas: dict[str, dict] = {}
+        self._applied: dict[str, bool] | None = None  # update modes last applied
         self._succeeded: set[str] = set()
         self._failed: set[str] = set()
 
+    @staticmethod
+    def memory_columns(matcher: str = "id", side: str = "src", host: str = "own") -> list[str]:
+        """What a ``FlowMemory`` must keep of the flows for this kind of profile."""
+        return ["area_id", "src_ip", "dst_ip"] if matcher == "touch" else list(op.host_columns(side, host))
+
     # H6: refresh the static side when it is older than the TTL
     def _refresh(self) -> None:
-        if self._scoped is not None and time.monotonic() - self._loaded_at < self.ttl_s:
+        if self._loaded_at is not None and time.monotonic() - self._loaded_at < self.ttl_s:
+            self._use(self._latest)
             return
         params, scoped, *failed = self.scope_loader()
-        # the snapshot is persisted so that every use within the TTL sees the same rows
-        params, scoped = params.cache(), scoped.cache()
-        if self._params is not None:
-            self._params.unpersist()
-            self._scoped.unpersist()
-        self._params, self._scoped = params, scoped
-        rows = params.select("model_id", "span", "accumulate").collect()  # a row per model
-        self._modes = {r["model_id"]: bool(r["accumulate"]) for r in rows}
-        self._spans = sorted({r["span"] for r in rows if r["span"] is not None})  # decides the pre-aggregation keys
-        self._fits = op.scope_fits(scoped, self.join_opts.get("max_rows", ASSET_BROADCAST_ROWS))  # once per refresh
+        # read once for the digest and, where it changed, the snapshot
+        tables = {"params": params.cache(), "assets": scoped.cache()}
+        if self.matcher == "touch":
+            tables["index"] = op.ip_index(tables["assets"])
+        self._latest = self.scopes.save(tables)
+        self._schemas[self._latest] = {k: df.schema for k, df in tables.items()}
+        for df in (params, scoped):
+            df.unpersist()
+        self._use(self._latest)
         self._loaded_at = time.monotonic()
         if self.status is not None and failed:
             ids = {r[0] for r in failed[0].select("model_id").distinct().collect()}
             self._report(ids - self._failed, "failed")
             self._failed = ids
 
+    def _use(self, version: str) -> None:
+        """Switch to a version of the static side."""
+        if self._scope is None or self._scope.version != version:
+            scope = _Scope(version, self.scopes.load(version, self._schemas.get(version)),
+                           self.join_opts.get("max_rows", ASSET_BROADCAST_ROWS))
+            if self._scope is not None:
+                self._scope.unpersist()
+            self._scope = scope
+
+    def _begin(self, batch_id: int) -> None:
+        """Settle the version that a batch is run with: the pinned one if it was begun before, else the latest."""
+        pinned = self.scopes.pinned(batch_id) if self._begun is None or batch_id <= self._begun else None
+        if pinned is None:
+            self._refresh()
+            pinned = self.scopes.pin(batch_id, self._latest)
+        version, self._before = pinned
+        self._use(version)
+        self._begun = max(batch_id, self._begun if self._begun is not None else batch_id)
+
     def _report(self, models: Iterable[str], status: str) -> None:
         """One status event per model, in a folder of its own, so that nothing overwrites earlier events."""
         models = sorted(models)
@@ -105,11 +168,14 @@ class ProfileStream:
         try:
             self._process(batch, batch_id)
         except Exception:
-            self._report(self._modes, "stop")
+            self._report(self._models(), "stop")
             raise
 
+    def _models(self) -> set[str]:
+        return set(self._scope.modes) if self._scope else set()
+
     def _process(self, batch: DataFrame, batch_id: int) -> None:
-        self._refresh()
+        self._begin(batch_id)
         df = self.prepare(batch) if self.prepare else batch
         parsed = None
         if self.parse:
@@ -117,7 +183,7 @@ class ProfileStream:
             if self.quarantine_path:
                 # parsed once for both uses: the quarantine write and the profile
                 parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-                (op.quarantine(parsed, op.host_columns(self.side, self.host)[1])
+                (op.quarantine(parsed, op.host_columns(self.side, self.host)[1] if self.matcher == "id" else None)
                  .withColumn("batch_id", F.lit(batch_id).cast("long"))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(self.quarantine_path))
@@ -127,6 +193,8 @@ class ProfileStream:
         finally:
             if parsed is not None and self.quarantine_path:
                 parsed.unpersist()
+        if self.fold_tier and (batch_id + 1) % self.fold_tier == 0:
+            self.store.fold(batch_id, self.fold_tier)
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
             self.store.compact(self.store.compaction_id(batch_id))
             self.store.vacuum()
@@ -136,21 +204,52 @@ class ProfileStream:
         time_col = "event_time"
         if self.segment_time == "processing":
             flows, time_col = flows.withColumn("_processing_time", F.current_timestamp()), "_processing_time"
+        edges = self._edges(flows, time_col)
+        past = self._past_edges(batch_id)
+        if past is not None:
+            edges = op.dedupe_edges(edges.unionByName(past))
         # the batch's edges are used by up to three writes and a probe: compute them once
-        edges = op.profile_edges(flows, self._scoped, side=self.side, host=self.host, tz=self.tz,
-                                 time_col=time_col, spans=self._spans, fits=self._fits, **self.join_opts) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             replace = self._to_replace(batch_id)
-            present = self.store.write_batch(edges, batch_id, replace_models=replace, only_new=self.only_new_edges)
+            present = self.store.write_batch(edges, batch_id, replace_models=replace, only_new=self.only_new_edges,
+                                             spans=self._scope.dimensions)
             if done := replace & present:
                 self.store.record_modes({m: False for m in done}, batch_id)
                 self._applied.update({m: False for m in done})
+            if self.memory is not None:
+                self.memory.write(flows, batch_id, time_col)
+            if self.counts is not None:
+                timed = flows if time_col == "event_time" else flows.withColumn("event_time", F.col(time_col))
+                self.counts.write_batch(op.multiset_counts(timed, self._scope.params, self.side, self.tz), batch_id)
             self._report(present - self._succeeded, "success")
             self._succeeded |= present
         finally:
             edges.unpersist()
 
+    def _edges(self, flows: DataFrame, time_col: str = "event_time") -> DataFrame:
+        """The edges of flows with the scope in use."""
+        scope = self._scope
+        if self.matcher == "id":
+            return op.profile_edges(flows, scope.scoped, side=self.side, host=self.host, tz=self.tz,
+                                    time_col=time_col, spans=scope.spans, fits=scope.fits, **self.join_opts)
+        timed = flows if time_col == "event_time" else flows.withColumn("event_time", F.col(time_col))
+        return op.match_edges(op.touch_pairs(timed, scope.index, **self.join_opts), self.tz)
+
+    def _past_edges(self, batch_id: int) -> DataFrame | None:
+        """Edges of past flows with what is new in the scope since the batch before; None where there is nothing."""
+        if self.memory is None or self._before in (None, self._scope.version):
+            return None
+        past = self.memory.before(batch_id)
+        if past is None:
+            return None
+        old = self.scopes.load(self._before, self._schemas.get(self._before))
+        if self.matcher == "id":
+            new = op.scope_delta(old["assets"], self._scope.scoped, ["model_id", "entity_id", "span"])
+            return op.profile_edges(past, new, side=self.side, host=self.host, tz=self.tz, spans=self._scope.spans, **self.join_opts)
+        new = op.scope_delta(old["index"], self._scope.index, ["model_id", "area_id", "entity_id", "ip", "span"])
+        return op.match_edges(op.touch_pairs(past, new, owners=self._scope.index, **self.join_opts), self.tz)
+
     def _to_replace(self, batch_id: int) -> set[str]:
         """Models that turned from accumulate to replace and have not been replaced since.
 
@@ -160,8 +259,8 @@ class ProfileStream:
             return set()
         if self._applied is None:
             self._applied = self.store.applied_modes()
-        turned = {m for m, acc in self._modes.items() if not acc and self._applied.get(m)}
-        learned = {m: acc for m, acc in self._modes.items() if m not in turned and self._applied.get(m) != acc}
+        turned = {m for m, acc in self._scope.modes.items() if not acc and self._applied.get(m)}
+        learned = {m: acc for m, acc in self._scope.modes.items() if m not in turned and self._applied.get(m) != acc}
         if learned:
             self.store.record_modes(learned, batch_id)
             self._applied.update(learned)
@@ -169,16 +268,15 @@ class ProfileStream:
 
     def close(self) -> None:
         """Release the cached static-side snapshot (call after the query has stopped)."""
-        for df in (self._params, self._scoped):
-            if df is not None:
-                df.unpersist()
-        self._params = self._scoped = None
+        if self._scope is not None:
+            self._scope.unpersist()
+        self._scope = None
 
     def start(self, flows_stream: DataFrame, checkpoint: str, trigger: dict | None = None,
               query_name: str | None = None):
         if self.status is not None:
             self._refresh()
-            self._report(self._modes, "running")
+            self._report(self._models(), "running")
         w = flows_stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
         if query_name:
             w = w.queryName(query_name)
@@ -191,7 +289,7 @@ class ProfileStream:
         try:
             query.awaitTermination()
         except Exception:
-            self._report(self._modes, "stop")
+            self._report(self._models(), "stop")
             raise
         finally:
             self.close()

@@ -1,8 +1,12 @@
 """D3 (contains | exact), F4/F6, E5: brute force on small inputs."""
 
 import itertools
+import random
+
+import pytest
 
 from assetlens import operators as op
+from assetlens.operators.assets import gram_candidates
 
 
 def assets(spark, groups):
@@ -32,6 +36,27 @@ def test_contains_matches_substring_semantics(spark):
     assert ("m0", "a0") in got      # group "1" is inside "10,12"
 
 
+@pytest.mark.parametrize("q", [1, 2, 4])
+def test_gram_candidates_match_substring_semantics(spark, q):
+    groups = [*GROUPS, "é日", "日本語テ", "本語テキ", "NG,MA", "BUILDING,MACHINERY"]
+    lists = [*LISTS, "日本語テキスト,é日", "10,12"]
+    a, p = assets(spark, groups), params(spark, lists)
+    cand = gram_candidates(p, a, q)
+    got = pairs(a.join(cand, a.entity_groups == cand.grp))
+    assert got == sorted((f"m{j}", f"a{i}") for (i, g), (j, l) in itertools.product(enumerate(groups), enumerate(lists))
+                         if g is not None and l is not None and g in l)
+
+
+def test_long_lists(spark):
+    """Lists of 100,000 characters, far beyond what all substrings would take."""
+    rnd = random.Random(2)
+    lists = [",".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(3, 9))) for _ in range(15000))[:100_000] for _ in range(2)]
+    groups = [lists[0][i:i + n] for i, n in ((0, 1), (5, 3), (777, 40), (99_000, 1000), (50, 0))] + ["abcdefghabcdefgh", lists[1][60_000:60_012]]
+    a, p = assets(spark, groups), params(spark, lists)
+    got = pairs(op.scope_assets(a, p, "contains"))
+    assert got == sorted((f"m{j}", f"a{i}") for (i, g), (j, l) in itertools.product(enumerate(groups), enumerate(lists)) if g in l)
+
+
 def test_exact_matches_list_entries(spark):
     got = pairs(op.scope_assets(assets(spark, GROUPS), params(spark, LISTS), "exact"))
     want = sorted((f"m{j}", f"a{i}") for (i, g), (j, l) in itertools.product(enumerate(GROUPS), enumerate(LISTS))
