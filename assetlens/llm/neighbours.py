@@ -48,7 +48,8 @@ def _bucketing(rows: DataFrame) -> tuple[int, DataFrame | None, Callable[[DataFr
             hot = repeated.select(F.col("key").alias("hot"), "m", "from")
             out = out.withColumn("deal", F.monotonically_increasing_id()).join(F.broadcast(hot), F.col("key") == F.col("hot"), "left")
             out = out.withColumn("at", F.when(F.col("m").isNull(), F.col("at")).otherwise(F.col("from") + F.col("deal") % F.col("m")))
-        return out.select(*df.columns, F.col("at").alias("bucket"))
+        # never null, and plainly so: a check for null in one use of the result would keep its shuffle from being shared
+        return out.select(*df.columns, F.coalesce("at", F.lit(0)).alias("bucket"))
 
     return -(-n // step), repeated if some else None, bucketed
 
@@ -74,7 +75,7 @@ def with_next(docs: DataFrame, make: Callable[[Column], Column], id_col: str = "
     first = (dealt.withColumn("n", F.row_number().over(ordered)).where("n = 1")
              .select(F.col("bucket").alias("lower"), F.col("text").alias("next_text")))
     if repeated is None:  # every bucket holds its edge
-        last = last.withColumn("lower", (F.col("bucket") + (buckets - 1)) % buckets)
+        last = last.withColumn("lower", F.coalesce((F.col("bucket") + (buckets - 1)) % buckets, F.lit(0)))
     else:  # a bucket of copies may have got none: one number per bucket, BUCKETS at most, is put in order
         in_use = placed.select("bucket").distinct()
         down = Window.orderBy(F.desc("bucket"))
