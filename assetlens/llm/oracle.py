@@ -4,7 +4,7 @@ best-fit packing, components) are held against brute force in the tests."""
 from __future__ import annotations
 
 from .common import LOWER, UPPER
-from .license_scan import PHRASES, TEMPLATES
+from .license_scan import PHRASES, TEMPLATES, half_window
 from .queries import PROBE
 from .quality_rules import STOP_WORDS
 
@@ -23,14 +23,12 @@ WITH t AS (SELECT doc_id, translate(coalesce(text, ''), {_LOWER}) AS t FROM docu
 w AS (SELECT doc_id, regexp_extract_all(t, '{_LICENSE_WORD}') AS words FROM t),
 places AS ({" UNION ALL ".join(_places(p, x) for p, x in PHRASES.items())}),
 base AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS labels FROM places GROUP BY doc_id),
-lines AS (SELECT doc_id, regexp_extract_all(unnest(string_split(t, chr(10))), '{_LICENSE_WORD}') AS words FROM t),
-blocks AS (SELECT doc_id, list_distinct(words) AS tokens FROM lines WHERE len(words) <= 64
-           UNION ALL SELECT doc_id, list_distinct(words[s:s + 63])
-           FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 32, 1) + 1, 32)) AS s FROM lines WHERE len(words) > 64)),
-templates AS (SELECT label, list_distinct(regexp_extract_all(wording, '{_LICENSE_WORD}')) AS tokens
-              FROM (VALUES {", ".join(f"('{k}', '{v}')" for k, v in TEMPLATES.items())}) v(label, wording)),
+templates AS (SELECT label, half, list_distinct(regexp_extract_all(wording, '{_LICENSE_WORD}')) AS tokens
+              FROM (VALUES {", ".join(f"('{k}', '{v.lower()}', {half_window(v)})" for k, v in TEMPLATES.items())}) v(label, wording, half)),
+starts AS (SELECT doc_id, words, half, unnest(range(0, greatest(ceil(len(words) / half)::BIGINT - 1, 1))) AS k FROM w, (SELECT DISTINCT half FROM templates)),
+blocks AS (SELECT doc_id, half, list_distinct(words[k * half + 1:(k + 2) * half]) AS tokens FROM starts),
 met AS (SELECT doc_id, label, max(len(list_intersect(b.tokens, t.tokens)) / len(t.tokens)) AS containment
-        FROM blocks b JOIN templates t ON len(list_intersect(b.tokens, t.tokens)) >= ceil(0.9 * len(t.tokens) - 1e-9) GROUP BY ALL),
+        FROM blocks b JOIN templates t ON b.half = t.half AND len(list_intersect(b.tokens, t.tokens)) >= ceil(0.9 * len(t.tokens) - 1e-9) GROUP BY ALL),
 own AS (SELECT doc_id, list(label) AS labels, max(containment) AS score FROM met GROUP BY doc_id)
 SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
   array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
