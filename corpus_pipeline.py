@@ -16,11 +16,6 @@ from assetlens.llm.common import read
 from assetlens.llm.queries import tokenizer_path
 from assetlens.session import scratch_path
 
-# A document is kept if its cosine with the language found for it is at least this; only text whose letters follow no
-# learned language at all lies below (the shortest clean ones, of one word, reach 0.07).
-MIN_LANGUAGE_SCORE = 0.05
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the quality classifier predicts 0 for. Null and empty texts are scored like any other."""
     model = quality_model.train(docs, read(spark, sf_dir, "labels"))
@@ -28,9 +23,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of no language: null texts, those without a letter, and those unlike every learned one."""
+    """Drop documents of no language: null texts, those without a letter, and those unlike every learned one: noise and
+    other scripts. How like is enough depends on the number of n-grams, so texts of a word or two stay."""
     found = langid.predict_column(langid.train(docs), F.col("text"))
-    return docs.where((found["lang"] != langid.UNDETERMINED) & (found["score"] >= MIN_LANGUAGE_SCORE))
+    return docs.where((found["lang"] != langid.UNDETERMINED) & (found["score"] >= langid.least_score(found["grams"])))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 from hypothesis import given, settings, strategies as st
 
@@ -35,6 +39,34 @@ def test_long_text_in_parts(monkeypatch):
     assert np.array_equal(whole, parts)
 
 
+def test_both_ways_of_adding_agree(monkeypatch):
+    texts = ["日本語のテキストを書く", "Der schnelle braune Fuchs", "", None, "aaa " * 700, "x", "日本" * 400]
+    want = np.stack([plain_bundle(t or "") for t in texts])
+    for dense in (0, 1 << 30):
+        monkeypatch.setattr(langid, "DENSE", dense)
+        for step in (7, 1 << 13):
+            monkeypatch.setattr(langid, "STEP", step)
+            assert np.array_equal(langid.bundles(texts)[0], want)
+
+
+def test_many_letters_take_little_memory():
+    """300 texts of random ideographs, 1.8 MB, most n-grams once."""
+    code = """
+import random, resource, time
+from assetlens.llm import langid
+rnd = random.Random(1)
+texts = ["".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(2040)) for _ in range(300)]
+langid.bundles(["warm"])
+before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+langid.bundles(texts)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before, time.process_time() - began)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         cwd=os.path.join(os.path.dirname(__file__), "..", ".."))
+    grown, seconds = map(float, out.stdout.split())
+    assert grown < 200_000 and seconds < 5
+
+
 def test_spelling():
     assert "".join(chr(c) if c else "_" for c in langid.spelled("Ab, c1É")) == "_ab_c_é_"
     assert langid.spelled(None).size == 0 and not langid.spelled("12 !").any()

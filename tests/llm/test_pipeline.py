@@ -1,3 +1,4 @@
+import random
 import tempfile
 
 import numpy as np
@@ -27,7 +28,7 @@ def test_stages_against_plain_versions(spark):
             assert kept[name] == {k: t for (k, t), s in zip(texts.items(), score) if s >= 0.3}
         elif name == "language":
             found = langid.train(docs).predict(list(texts.values()))
-            ok = (found["lang"] != "und") & (found["score"] >= cp.MIN_LANGUAGE_SCORE)
+            ok = (found["lang"] != "und") & (found["score"] >= np.minimum(langid.MOST_CUT, langid.CUT_PER_ROOT * np.sqrt(found["grams"])))
             assert kept[name] == {k: t for (k, t), s in zip(texts.items(), ok) if s}
         elif name == "lines":
             assert kept[name] == {k: t for k, t, *_ in plain_lines(list(texts.items()), 10)}
@@ -51,6 +52,21 @@ def test_clean_labelled_documents_stay(spark):
     assert sum(good) / len(good) > 0.97
 
 
+def test_language_rejects_noise_and_other_scripts_and_keeps_short_texts(spark):
+    rnd = random.Random(3)
+    of = {"latin": "abcdefghijklmnopqrstuvwxyz     ", "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя      ",
+          "cjk": "".join(map(chr, range(0x4E00, 0x5A00)))}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = [(f"{k}{n}", "".join(rnd.choice(a) for _ in range(n)), k) for k, a in of.items() for n in [400, 1500] * 60]
+    words = [w for r in docs.where("lang = 'en'").limit(40).collect() for w in (r["text"] or "").split()[:8]]
+    short = [(f"s{i}", " ".join(words[i:i + n]), "short") for n in (2, 4, 6) for i in range(0, 150, 3)]
+    noise = spark.createDataFrame([(None, t, None, k, len(t)) for i, t, k in odd + short], docs.schema)
+    left = cp.language(spark, docs.unionByName(noise), SF).where("doc_id is null").groupBy("source").count().collect()
+    left = {r["source"]: r["count"] for r in left}
+    assert all(left.get(k, 0) <= 0.05 * 120 for k in of), left
+    assert left["short"] >= 0.97 * 150
+
+
 def test_run(spark):
     assert cp.run(spark, SF).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
