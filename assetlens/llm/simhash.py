@@ -27,6 +27,7 @@ from .components import components
 SHINGLE, RADIUS, SEED = 4, 4, 42
 TILE = 2048  # most rows of a bucket that one side of a piece of work holds
 BLOCK = 512  # rows compared at a time
+SALTS = 16  # places that the fingerprints of a component are dealt to when they get its smallest id
 
 
 def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -173,10 +174,15 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
     """
     rows = stored(docs.select(F.col(id_col).alias("id"), simhash_column(F.col(text_col), shingle, seed).alias("fp")), "simhash")
     smallest = rows.groupBy("fp").agg(F.min("id").alias("id"))
-    roots = simhash_groups(smallest.select("fp"), radius)
-    labelled = smallest.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    by_root = labelled.groupBy("root").agg(F.min("id").alias("component_id"))
-    return rows.join(labelled.select("fp", "root").join(by_root, "root").select("fp", "component_id"), "fp")
+    labelled = stored(smallest.join(simhash_groups(smallest.select("fp"), radius), "fp", "left"), "simhash-labelled")
+    grouped = labelled.where("root is not null")
+    # a component of very many fingerprints is dealt to SALTS places, each of which gets its smallest id
+    by_root = grouped.groupBy("root").agg(F.min("id").alias("component_id")).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = (grouped.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")).join(by_root, ["root", "salt"])
+             .select("fp", "component_id"))
+    alone = labelled.where("root is null").select("fp", F.col("id").alias("component_id"))
+    return rows.join(named.unionByName(alone), "fp")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED,
@@ -197,12 +203,15 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed
             .agg(F.min("place").alias("place")).select("place.h", F.col("place.id").alias("id")))
     kept = stored(rows.join(kept, (rows["id"].eqNullSafe(kept["id"])) & (rows["h"] == kept["h"]), "left_semi")
                   .groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")), "simhash-kept")
-    marked = docs.withColumn("__row_hash", row_hash)
+    name = "row_hash"
+    while name in docs.columns:
+        name += "_"
+    marked = docs.withColumn(name, row_hash)
 
     def those(keys: DataFrame) -> DataFrame:
-        return marked.join(keys, marked[id_col].eqNullSafe(keys["id"]) & (marked["__row_hash"] == keys["h"]), "left_semi")
+        return marked.join(keys, marked[id_col].eqNullSafe(keys["id"]) & (marked[name] == keys["h"]), "left_semi")
 
-    single = those(kept.where("n = 1")).drop("__row_hash")
+    single = those(kept.where("n = 1")).drop(name)
     if kept.where("n > 1").isEmpty():
         return single
-    return single.unionByName(those(kept.where("n > 1")).dropDuplicates([id_col, "__row_hash"]).drop("__row_hash"))
+    return single.unionByName(those(kept.where("n > 1")).dropDuplicates([id_col, name]).drop(name))
