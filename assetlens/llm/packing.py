@@ -2,9 +2,9 @@
 
 Round one runs where the documents are read: each task encodes its documents, cuts those longer than a sequence, and
 packs its pieces best-fit, longest first, a bounded number at a time. Bins that are nearly full are done. The
-underfull ones become items of the next round, a few groups at a time: the groups of a round are merged into fewer
-ones, packed best-fit again, until one group is left or a round gains nothing. A task never holds more than
-``group`` items, whatever the size of the corpus, and no document text or token is shuffled.
+underfull ones become items of the next round, dealt anew to as few groups as hold them and packed best-fit again, until
+one group is left or a round gains next to nothing. A group has about ``group`` items, whatever the size of the
+corpus and however little a round gains, and no document text or token is shuffled.
 
 Each round is a table in the shared scratch folder, so a lost executor costs at most the tasks that were running.
 """
@@ -31,7 +31,6 @@ from .common import slices, stored
 CAPACITY = 4096
 FULL = 0.995  # share of a sequence from which on a bin is done
 GROUP = 16384  # most items that are packed together
-FAN_IN = 16  # tasks of round one whose bins meet in a group of round two, at least
 FIELDS = ("doc_id", "piece", "start", "length", "crc", "offset")
 WORDS = 200_000  # recurring words whose ids a task keeps at hand
 
@@ -224,9 +223,9 @@ def pack(docs: DataFrame, encoder: Callable[[], WordEncoder], end_id: int = 1, c
 
     rounds = [stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(first_round, schema), "pack")]
     left = rounds[0].where(~F.col("done"))
-    count, groups = left.count(), None
+    count = left.count()
     while count > 1:
-        groups = min(math.ceil(count / group), math.ceil(groups / FAN_IN) if groups else count)
+        groups = math.ceil(count / group)
         level = len(rounds)
         merged = stored(left.select("length", "members").repartition(groups).mapInArrow(
             functools.partial(next_round, level=level), schema), "pack")
