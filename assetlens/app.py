@@ -30,6 +30,8 @@ Run as ``python -m assetlens.app [--config job.properties] key=value ...``. Keys
   counts.path       also accumulate the flows per edge in a store at this path (default: none)
   store.buckets     hash buckets of the asset id in the edge store (default 1); only.new.edges reads a batch's buckets only
   fold.tier         put every so many older batches together, level by level (default 0 = never)
+  flush.assets      show batches to readers only when more than so many assets wait (default: each batch at once), or
+  flush.seconds     after this time since the last flush (default 3600)
   compact.every     rewrite the profile as one generation every N batches, and remove older ones
                     (default 100; 0 = never)
 """
@@ -121,7 +123,9 @@ def build(spark: SparkSession, opts: dict[str, str]) -> tuple[ProfileStream, Edg
                         segment_time=opts.get("segment.time", "event"),
                         only_new_edges=opts.get("only.new.edges", "false").lower() == "true",
                         compact_every=int(opts.get("compact.every", "100")),
-                        fold_tier=int(opts.get("fold.tier", "0")))
+                        fold_tier=int(opts.get("fold.tier", "0")),
+                        flush_assets=int(opts["flush.assets"]) if opts.get("flush.assets") else None,
+                        flush_s=float(opts.get("flush.seconds", "3600")))
     return job, store, status
 
 

@@ -8,6 +8,7 @@ from .flows import parse_flows, complete_flows, quarantine, flow_projection, to_
 from .match import join_assets, ip_index, scope_delta, touch_pairs, touch_semi
 from .profile import (profile_edges, match_edges, multiset_profile, multiset_counts, merge_edges, replace_set,
                       dedupe_edges, preaggregate, model_spans, host_columns, scope_fits)
+from .bitmap import bitmap_profile, ip_number, ip_text, profile_counts, profile_to_edges, union_profiles
 from .encode import named_csv_rows, render_profiles, decode_profiles, segment_ips, ENCODINGS
 from .status import latest_status, status_event, status_rank
 
@@ -20,6 +21,7 @@ __all__ = [
     "join_assets", "ip_index", "scope_delta", "touch_pairs", "touch_semi",
     "profile_edges", "match_edges", "multiset_profile", "multiset_counts", "merge_edges", "replace_set", "dedupe_edges",
     "preaggregate", "model_spans", "host_columns", "scope_fits",
+    "bitmap_profile", "ip_number", "ip_text", "profile_counts", "profile_to_edges", "union_profiles",
     "named_csv_rows", "render_profiles", "decode_profiles", "segment_ips", "ENCODINGS",
     "latest_status", "status_event", "status_rank",
 ]

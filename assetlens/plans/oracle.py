@@ -435,3 +435,5 @@ ORACLE_SQL["profile_late_assets"] = ORACLE_SQL["profile_src"]
 ORACLE_SQL["profile_match_stream"] = ORACLE_SQL["profile_match"]
 ORACLE_SQL["store_multiset"] = ORACLE_SQL["profile_multiset_counts"]
 ORACLE_SQL["kafka_backfill"] = ORACLE_SQL["kafka_envelope"]
+ORACLE_SQL["profile_bitmap"] = ORACLE_SQL["profile_src_peer"]
+ORACLE_SQL["profile_bitmap_counts"] = f"SELECT model_id, entity_id, segment_key, n_ips FROM ({ORACLE_SQL['profile_src_peer']})"

@@ -330,6 +330,25 @@ def profile_by_mode(spark, sf_dir):
     return _merged(spark, sf_dir, "by_model")
 
 
+def _bitmaps(spark, sf_dir, dense: int) -> DataFrame:
+    """Peer profiles of history and new flows, each stored as a profile table of bitmaps and edges, then united and stored."""
+    inp, split, root = inputs(spark, sf_dir), F.lit(fx.SPLIT_AT).cast("timestamp"), _scratch(spark, "profile_bitmap")
+    parts = {"old": F.col("event_time") < split, "new": F.col("event_time") >= split}
+    for name, part in parts.items():
+        edges = op.profile_edges(inp.complete.where(part), inp.scoped(), side="src", host="peer")
+        op.bitmap_profile(edges, dense).write.parquet(f"{root}/{name}")
+    op.union_profiles(*[spark.read.parquet(f"{root}/{name}") for name in parts], dense).write.parquet(f"{root}/both")
+    return spark.read.parquet(f"{root}/both")
+
+
+def profile_bitmap(spark, sf_dir):
+    return op.named_csv_rows(op.profile_to_edges(_bitmaps(spark, sf_dir, dense=8)))
+
+
+def profile_bitmap_counts(spark, sf_dir):
+    return op.profile_counts(_bitmaps(spark, sf_dir, dense=8))
+
+
 def _stored(spark, sf_dir, replace: bool):
     """History and new edges written through the store as two batches, read back."""
     inp = inputs(spark, sf_dir)
@@ -522,6 +541,8 @@ QUERIES = {
     "profile_replace": profile_replace,
     "profile_by_mode": profile_by_mode,
     "kafka_backfill": kafka_backfill,
+    "profile_bitmap": profile_bitmap,
+    "profile_bitmap_counts": profile_bitmap_counts,
     "store_replay": store_replay,
     "store_dimension_change": store_dimension_change,
     "store_multiset": store_multiset,
@@ -567,6 +588,8 @@ OPERATORS = {
     "profile_multiset_counts": "E3: flows per (model, asset, segment, IP), the long form of the non-distinct profile",
     "store_accumulate": "B1 B3 A9: two batches written through the edge store and read back",
     "store_replace": "B2 A9: the same, the second batch replacing the models it has edges for",
+    "profile_bitmap": "E1 E4: peer profiles of two periods as bitmaps and edges, united by OR, back as edges; equals profile_src_peer",
+    "profile_bitmap_counts": "E1 E4: distinct IPs per segment counted in the bitmaps",
     "kafka_backfill": "A1 A2: overlapping reads of a topic, each keeping what no other has, by a ledger of offset ranges; equals kafka_envelope",
     "store_replay": "B5 H6: a batch run again under its pinned scope, in place of all that its dead attempt wrote",
     "store_dimension_change": "D7 H7: a model's changed result span begins a new profile, over a restart",

@@ -6,6 +6,7 @@ Layout under ``root``::
     commits/part-*.parquet   (model_id, gen, batch_id, span): what began a generation, and its dimension
     batches/part-*.parquet   (batch_id, attempt, model_id, gen): the manifest, the folders each attempt of a batch owns
     modes/part-*.parquet     (model_id, accumulate, batch_id): update modes applied
+    shown                    where batches are held back: the last one shown to readers, and when
 
 * Every attempt of a batch writes folders of its own and is recorded in the manifest after its data (a row without a
   model stands for the attempt itself). Readers take the folders of each batch's last recorded attempt and nothing else, so a
@@ -18,6 +19,8 @@ Layout under ``root``::
   update mode, so hours and weekdays never mix in a profile (D7). The dimension is kept with the generation, over restarts.
 * A model's current generation is the highest one that the manifest owns folders of. The read view is an equi join of
   the edges with these (few) folders on the partition columns: dynamic partition pruning skips all others.
+* ``hold`` and ``flush`` keep batches from readers until enough of them wait (H5). They are stored all the same, so what waits
+  is neither lost nor written twice by a restart.
 * ``fold`` puts full tiers of older batches together, level by level: a row is rewritten once per level, and the newest
   batches, which may be run again, are left alone. ``compact`` rewrites the whole current profile as one folder per model.
   ``vacuum`` removes what no reader needs any more.
@@ -28,6 +31,7 @@ The driver holds the models' generations and update modes: some numbers per mode
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from urllib.parse import unquote
 
@@ -36,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..operators.common import bounded_broadcast
 from ..operators.profile import dedupe_edges
 from ..schemas import EDGE, EDGE_KEY
+from .folder import Folder
 
 _FOLDER = ["model_id", "gen", "batch_id", "attempt"]
 _STORED = T.StructType(EDGE.fields + [T.StructField("gen", T.IntegerType()), T.StructField("batch_id", T.LongType()),
@@ -79,20 +84,44 @@ class EdgeStore:
     def batch_rows(self) -> DataFrame:
         return self.spark.read.schema(_BATCH).parquet(self.batches).coalesce(1)
 
-    def owned(self) -> DataFrame:
-        """The folders that count: those of the last recorded attempt of each batch."""
+    def owned(self, upto: int | None = None) -> DataFrame:
+        """The folders that count: those of the last recorded attempt of each batch (up to batch ``upto``)."""
         rows = self.batch_rows()
+        rows = rows if upto is None else rows.where(F.col("batch_id") <= upto)
         last = rows.groupBy("batch_id").agg(F.max("attempt").alias("attempt"))
         return rows.where("model_id is not null").join(last, ["batch_id", "attempt"]).select(*_FOLDER).distinct()
 
-    def generations(self) -> DataFrame:
+    def generations(self, upto: int | None = None) -> DataFrame:
         """(model_id, gen): the current generation of every model that has a profile."""
-        return self.owned().groupBy("model_id").agg(F.max("gen").alias("gen"))
+        return self.owned(upto).groupBy("model_id").agg(F.max("gen").alias("gen"))
 
-    def current_folders(self) -> DataFrame:
+    def current_folders(self, upto: int | None = None) -> DataFrame:
         """The folders of the current generations."""
-        owned = self.owned()
-        return owned.join(self.generations(), ["model_id", "gen"]).select(*_FOLDER)
+        return self.owned(upto).join(self.generations(upto), ["model_id", "gen"]).select(*_FOLDER)
+
+    # ------------------------------------------------------------------ held back and shown
+    def _shown(self) -> tuple[int, float] | None:
+        text = Folder(self.spark, self.root).read("shown")
+        return None if text is None else (int(text.split()[0]), float(text.split()[1]))
+
+    def hold(self) -> None:
+        """From now on batches are shown to readers by ``flush`` only."""
+        if self._shown() is None:
+            top = self.batch_rows().agg(F.max("batch_id")).first()[0]
+            Folder(self.spark, self.root).write("shown", f"{-1 if top is None else max(top, -1)} {time.time()}")
+
+    def flush(self, batch_id: int, assets: int = 0, seconds: float = 0.0) -> bool:
+        """Show all batches up to ``batch_id`` if more than ``assets`` assets wait in them, or the last flush was ``seconds``
+        ago. Returns whether it did."""
+        shown = self._shown()
+        if shown is None:
+            return True
+        if time.time() - shown[1] < seconds:
+            waiting = self._rows(self.owned().where(F.col("batch_id") > shown[0]))
+            if waiting.select("entity_id").distinct().limit(assets + 1).count() <= assets:
+                return False
+        Folder(self.spark, self.root).write("shown", f"{max(batch_id, shown[0])} {time.time()}")
+        return True
 
     def dimensions(self) -> DataFrame:
         """(model_id, gen, span): the dimension of every current generation (null: unknown)."""
@@ -113,8 +142,9 @@ class EdgeStore:
         return self._rows(self.owned())
 
     def read_edges(self) -> DataFrame:
-        """The current profile as distinct edges with the latest ``updated_at``."""
-        return dedupe_edges(self._rows(self.current_folders()).select(*EDGE_KEY, "updated_at"))
+        """The current profile as distinct edges with the latest ``updated_at``, of the batches that are shown."""
+        shown = self._shown()
+        return dedupe_edges(self._rows(self.current_folders(shown and shown[0])).select(*EDGE_KEY, "updated_at"))
 
     def read_model(self, model_id: str) -> DataFrame:
         """A9 for one model (partition pruned on model_id)."""
@@ -123,7 +153,8 @@ class EdgeStore:
     def read_asset(self, model_id: str, entity_id: str) -> DataFrame:
         """A9 for one asset (partition pruned on model and bucket)."""
         mine = (F.col("model_id") == model_id) & (F.col("entity_id") == entity_id) & (F.col("bucket") == self.bucket(F.lit(entity_id)))
-        return dedupe_edges(self._rows(self.current_folders(), mine).select(*EDGE_KEY, "updated_at"))
+        shown = self._shown()
+        return dedupe_edges(self._rows(self.current_folders(shown and shown[0]), mine).select(*EDGE_KEY, "updated_at"))
 
     def applied_modes(self) -> dict[str, bool]:
         """The update mode (True: accumulate) last applied to each model."""
@@ -240,6 +271,9 @@ class EdgeStore:
         """
         if tier < 2:
             raise ValueError("tier must be at least 2")
+        shown = self._shown()
+        if shown is not None:  # what is not shown stays apart
+            batch_id = min(batch_id, shown[0] + 1)
         folded = 0
         for level in range(_LEVELS - 1):
             at = F.when(F.col("batch_id") <= _FOLDED, (F.lit(_FOLDED) - F.col("batch_id")) % _LEVELS).otherwise(0)
@@ -273,6 +307,8 @@ class EdgeStore:
         if batch_id is None:
             batch_id = min(seen[0] or 0, 0) - 1
             batch_id -= 1 - batch_id % 2  # odd: apart from the ids of a stream's compactions
+        if self._shown() is not None:
+            self.flush(self.batch_rows().agg(F.max("batch_id")).first()[0] or 0)
         path = f"{self.root}/compact/batch_id={batch_id}"
         self.read_edges().write.mode("overwrite").parquet(path)
         snap = self.spark.read.parquet(path)

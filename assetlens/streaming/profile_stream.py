@@ -13,6 +13,8 @@
   changes its dimension is such a change too, so its new profile covers the past.
 * ``matcher="touch"`` profiles by area and IP (D5, E2) instead of the asset id. The (area, IP) index is part of the pinned
   version, and a refresh matches past flows with the index rows that are new in it only (E5).
+* With ``flush_assets`` a batch is stored at once but shown to readers when more than so many assets wait, or after
+  ``flush_s`` (H5); what waits survives a restart.
 * With a ``CountStore`` the flows per edge (E3) accumulate beside the profile.
 * With ``honour_update_mode`` (H7) the models' update modes are compared with those last applied, which the store
   keeps, so the comparison survives a restart. A model that has turned to replace (0) is written as a new
@@ -35,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import operators as op
 from ..functions import segment_candidates
 from ..operators.common import ASSET_BROADCAST_ROWS
+from ..schemas import EDGE_KEY
 from ..session import scratch_path
 from ..sinks.count_store import CountStore
 from ..sinks.edge_store import EdgeStore
@@ -73,7 +76,8 @@ class ProfileStream:
                  side: str = "src", host: str = "own", join_opts: dict | None = None,
                  segment_time: str = "event", only_new_edges: bool = False, compact_every: int = 100,
                  matcher: str = "id", memory: FlowMemory | None = None, counts: CountStore | None = None,
-                 scopes: ScopeLog | None = None, fold_tier: int = 0):
+                 scopes: ScopeLog | None = None, fold_tier: int = 0, flush_assets: int | None = None,
+                 flush_s: float = 3600.0):
         self.spark = spark
         self.scope_loader = scope_loader
         self.store = store
@@ -99,6 +103,8 @@ class ProfileStream:
         self.matcher, self.memory, self.counts = matcher, memory, counts
         self.scopes = scopes or ScopeLog(spark, f"{store.root}_scopes")
         store.exclusive = True  # this job is the only writer
+        # readers see a batch when more than so many assets, or for so long, have been waiting (None = at once)
+        self.flush_assets, self.flush_s = flush_assets, flush_s
         # full tiers of so many older batches are folded (0 = never)
         self.fold_tier = fold_tier
         self._loaded_at: float | None = None
@@ -212,11 +218,15 @@ class ProfileStream:
         edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             replace = self._to_replace(batch_id)
+            if self.flush_assets is not None:
+                self.store.hold()
             present = self.store.write_batch(edges, batch_id, replace_models=replace, only_new=self.only_new_edges,
                                              spans=self._scope.dimensions)
             if done := replace & present:
                 self.store.record_modes({m: False for m in done}, batch_id)
                 self._applied.update({m: False for m in done})
+            if self.flush_assets is not None:
+                self.store.flush(batch_id, self.flush_assets, self.flush_s)
             if self.memory is not None:
                 self.memory.write(flows, batch_id, time_col)
             if self.counts is not None:
@@ -332,12 +342,16 @@ def run_profile_stream_on_files(spark: SparkSession, sf_dir: str, root: str | No
 
 
 def edge_stream(flows_stream: DataFrame, scoped: DataFrame, side: str = "src", host: str = "own",
-                tz: str | None = None) -> DataFrame:
+                tz: str | None = None, once_within: str | None = None) -> DataFrame:
     """H3 (append form): a streaming DataFrame of edges, however late their flows come.
 
     Flows are matched with the static (model, asset) table (stream-static join, no join state). Nothing is held
-    back or dropped by event time and no state is kept: an edge seen again is appended again, and the read view of
+    back or dropped by event time: an edge seen again is appended again, and the read view of
     the edge table (``dedupe_edges``) makes it a set, as for every other writer.
+
+    With ``once_within`` ("1 hour") an edge that comes again within that time of its arrival is not appended (H1). The watermark
+    runs on the time of arrival, which no row is late for, so late flows still count; the state holds the edges of that
+    time only. An edge's ``updated_at`` may then stay behind by as much.
     """
     from ..functions.segments import key_for_span
 
@@ -348,8 +362,12 @@ def edge_stream(flows_stream: DataFrame, scoped: DataFrame, side: str = "src", h
     seg = segment_candidates("event_time", tz)
     e = j.select("model_id", "span", F.col("_eid").alias("entity_id"), F.col(ip_col).alias("host_ip"),
                  "event_time", *seg)
-    return e.select("model_id", "entity_id", key_for_span("span").cast("int").alias("segment_key"), "host_ip",
-                    F.col("event_time").alias("updated_at"))
+    edges = e.select("model_id", "entity_id", key_for_span("span").cast("int").alias("segment_key"), "host_ip",
+                     F.col("event_time").alias("updated_at"))
+    if once_within is None:
+        return edges
+    arrived = edges.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", once_within)
+    return arrived.dropDuplicatesWithinWatermark(EDGE_KEY).drop("_arrived")
 
 
 def start_edge_file_stream(edges: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):

@@ -1,0 +1,65 @@
+"""Bitmap profiles against sets of edges."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from assetlens import operators as op
+
+ODD = ["", "10.0.0", "010.0.0.1", "10.0.0.256", "fe80::1", "10.0.0.1 ", "1.2.3.4\n", None, "host"]
+
+
+def edges(spark, rows):
+    return spark.createDataFrame([(m, e, k, ip, dt.datetime(2024, 1, d)) for m, e, k, ip, d in rows],
+                                 "model_id string, entity_id string, segment_key int, host_ip string, updated_at timestamp")
+
+
+def keyset(df):
+    return sorted((r.model_id, r.entity_id, r.segment_key, r.host_ip or "") for r in df.collect())
+
+
+def test_numbers_and_texts(spark):
+    good = {"0.0.0.0": 0, "255.255.255.255": 2**32 - 1, "10.0.1.2": 10 * 2**24 + 258, "192.168.0.1": 3232235521}
+    rows = spark.createDataFrame([(ip,) for ip in [*good, *ODD]], "ip string").select("ip", op.ip_number(F.col("ip")).alias("n"))
+    for r in rows.withColumn("back", op.ip_text(F.col("n"))).collect():
+        assert r.n == good.get(r.ip) and (r.n is None or r.back == r.ip)
+
+
+def random_edges(spark, rnd):
+    ips = [f"10.{rnd.choice('01')}.{rnd.randrange(256)}.{rnd.randrange(256)}" for _ in range(400)] + [ip for ip in ODD if ip]
+    ips += ["0.0.0.0", "255.255.255.255", "10.0.127.255", "10.0.128.0"]
+    return edges(spark, [(rnd.choice("mn"), rnd.choice("ab"), rnd.randrange(2), rnd.choice(ips), rnd.randrange(1, 28)) for _ in range(900)])
+
+
+@pytest.mark.parametrize("dense", [1, 30, 10**6])
+def test_round_trip_union_and_counts(spark, dense):
+    rnd = random.Random(dense)
+    a, b = random_edges(spark, rnd), random_edges(spark, rnd)
+    pa, pb = op.bitmap_profile(a, dense).cache(), op.bitmap_profile(b, dense).cache()
+    assert keyset(op.profile_to_edges(pa)) == keyset(op.dedupe_edges(a))
+    forms = {r[0] for r in pa.select(F.col("bits").isNull()).distinct().collect()}
+    assert forms == ({True} if dense == 10**6 else {True, False})  # texts that are no address stay edges
+    both = op.union_profiles(pa, pb, dense).cache()
+    want = op.merge_edges(a, b)
+    assert keyset(op.profile_to_edges(both)) == keyset(want)
+    counts = {tuple(r)[:3]: r.n_ips for r in op.profile_counts(both).collect()}
+    assert counts == {tuple(r)[:3]: r["count"] for r in want.groupBy("model_id", "entity_id", "segment_key").count().collect()}
+    again = op.union_profiles(both, pb, dense)        # uniting again changes nothing
+    assert keyset(op.profile_to_edges(again)) == keyset(want)
+
+
+def test_a_dense_block_is_smaller_as_bits(spark, tmp_dir):
+    """What DENSE is about: a gateway's 20,000 neighbouring peers in 24 segments."""
+    import glob
+    import os
+
+    e = spark.range(24 * 20000).select(F.lit("m").alias("model_id"), F.lit("gw").alias("entity_id"), (F.col("id") % 24).cast("int").alias("segment_key"),
+                                       op.ip_text(F.col("id") % 20000 + 167772160).alias("host_ip"), F.lit(dt.datetime(2024, 1, 1)).alias("updated_at"))
+    sizes = {}
+    for name, df in (("edges", e), ("bits", op.bitmap_profile(e))):
+        df.coalesce(1).write.parquet(f"{tmp_dir}/{name}")
+        sizes[name] = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_dir}/{name}/*.parquet"))
+    assert sizes["bits"] * 5 < sizes["edges"]
+    assert op.profile_counts(spark.read.parquet(f"{tmp_dir}/bits")).agg(F.sum("n_ips")).first()[0] == e.distinct().count()

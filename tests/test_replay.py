@@ -331,3 +331,51 @@ def test_counts_of_the_job(spark, tmp_dir):
         job.process(inp.complete.where(f"cast(flow_id as long) % 3 = {b}"), b)
     assert rows(counts.read_counts()) == rows(op.multiset_counts(inp.complete, inp.runnable).withColumn(
         "segment_key", F.col("segment_key").cast("int")))
+
+
+# ---------------------------------------------------------------- flush by number or time, and bounded state
+def test_batches_are_shown_by_number_of_assets_or_by_time(spark, tmp_dir):
+    st = EdgeStore(spark, f"{tmp_dir}/store").init()
+    st.write_batch(edges(spark, [("m1", "z", 1, "x")]), 0)
+    st.hold()
+    seen = lambda: sorted({k[1] for k in keyset(EdgeStore(spark, st.root).read_edges())})
+    for b, asset in enumerate("abca", 1):
+        st.write_batch(edges(spark, [("m1", asset, 1, "x"), ("m2", asset, 1, "x")]), b)
+        flushed = st.flush(b, assets=2, seconds=3600)
+        assert (flushed, seen()) == ((True, ["a", "b", "c", "z"]) if b == 3 else (False, ["a", "b", "c", "z"] if b > 3 else ["z"]))
+    st.write_batch(edges(spark, [("m1", "q", 1, "x")]), 4, replace_models=["m1"])  # run again, now as a replacement
+    again = EdgeStore(spark, st.root)                 # after a restart what waits is still there
+    assert seen() == ["a", "b", "c", "z"] and again.flush(4, assets=100, seconds=0.0)
+    assert keyset(again.read_edges()) == sorted([("m1", "q", 1, "x"), *(("m2", a, 1, "x") for a in "abc")])
+
+
+def test_the_job_holds_batches_back(spark, tmp_dir):
+    inp = Inputs(spark, SF001)
+    job = ProfileStream(spark, lambda: (inp.runnable, inp.scoped()), EdgeStore(spark, f"{tmp_dir}/store").init(), flush_assets=10**6)
+    for b in range(2):
+        job.process(inp.complete.where(f"cast(flow_id as long) % 2 = {b}"), b)
+    assert keyset(job.store.read_edges()) == []
+    job.flush_s = 0
+    job.process(inp.complete.where("cast(flow_id as long) % 2 = 1"), 1)
+    assert keyset(job.store.read_edges()) == keyset(inp.src_edges)
+
+
+def test_repeated_edges_are_appended_once_within_the_time(spark, tmp_dir):
+    from assetlens.streaming import edge_stream, start_edge_file_stream
+
+    inp = Inputs(spark, SF001)
+    flows = inp.complete.unionAll(inp.complete)
+    for i in range(3):                                # the last part holds the oldest flows: late by their own time
+        flows.where(f"cast(flow_id as long) % 3 = {i}").orderBy(F.desc("event_time")).coalesce(1).write.parquet(f"{tmp_dir}/in/p{i}")
+    counts = {}
+    for within in (None, "1 hour"):
+        stream = spark.readStream.schema(flows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_dir}/in")
+        out = f"{tmp_dir}/out-{within is None}"
+        q = start_edge_file_stream(edge_stream(stream, inp.scoped(), once_within=within), out, f"{tmp_dir}/ck-{within is None}", {"availableNow": True})
+        q.awaitTermination()
+        got = spark.read.parquet(out)
+        counts[within] = got.count()
+        assert keyset(op.dedupe_edges(got)) == keyset(inp.src_edges)
+        state = q.lastProgress["stateOperators"]
+        assert (state == []) if within is None else state[0]["numRowsTotal"] == counts[within]
+    assert counts["1 hour"] == len(keyset(inp.src_edges)) < counts[None]
