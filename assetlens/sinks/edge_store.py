@@ -189,11 +189,18 @@ class EdgeStore:
         # advisory-size chunks: few, evenly sized files per (model, gen, batch) instead of one file
         # per model in every task
         rows = rows.hint("rebalance", *_FOLDER, "bucket")
-        # an attempt that died here is overwritten by the next one; what it may leave is in no manifest
         (rows.select(*[f.name for f in _STORED.fields]).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*_FOLDER, "bucket").parquet(self.data))
 
+    def _clear(self, batch_id: int, attempt: int) -> None:
+        """Remove what an attempt that died before it was recorded may have left: the next one has the same number."""
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.data}/model_id=*/gen=*/batch_id={batch_id}/attempt={attempt}")
+        fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in fs.globStatus(pattern) or []:
+            fs.delete(status.getPath(), True)
+
     def _append(self, rows: list[tuple], schema: T.StructType, path: str) -> None:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
@@ -248,6 +255,8 @@ class EdgeStore:
             old = self.stored_except(batch_id, present - fresh, {r[1] for r in touched})
             edges = edges.join(old, EDGE_KEY, "left_anti")
         memo, self._memo = self._memo, None  # a failure below leaves nothing to go by
+        if memo is None or batch_id <= memo[1]:  # else this object has begun no such batch
+            self._clear(batch_id, last + 1)
         if present:
             self._write(edges, gens, batch_id, last + 1)
         # after the data, so that a crash in between changes nothing; the manifest comes last
@@ -287,6 +296,7 @@ class EdgeStore:
                     .groupBy("batch_id").agg(F.max("attempt").alias("attempt")).collect()}
             attempt = last.get(new, -1) + 1
             gens = {r["model_id"]: r["gen"] for r in mine.select("model_id", "gen").distinct().collect()}
+            self._clear(new, attempt)
             # deduplicated while it is rewritten; the manifest holds these folders, so nothing is read that is not current
             self._write(dedupe_edges(self._rows(mine).select(*EDGE_KEY, "updated_at")), gens, new, attempt)
             self._append([(new, attempt, None, None), *((new, attempt, m, g) for m, g in gens.items()),

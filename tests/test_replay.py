@@ -156,11 +156,18 @@ def test_the_job_folds(spark, tmp_dir):
     inp = Inputs(spark, SF001)
     job = ProfileStream(spark, lambda: (inp.runnable, inp.scoped()), EdgeStore(spark, f"{tmp_dir}/store", 4).init(),
                         only_new_edges=True, fold_tier=2)
-    for b in range(5):
-        job.process(inp.complete.where(f"cast(flow_id as long) % 5 = {b}"), b)
-    job.process(inp.complete.where("cast(flow_id as long) % 5 = 4"), 4)
+    for b in range(4):
+        job.process(inp.complete.where(f"cast(flow_id as long) % 4 = {b}"), b)
     assert keyset(job.store.read_edges()) == keyset(inp.src_edges)
-    assert len({r.batch_id for r in job.store.current_folders().collect()}) < 5
+    assert len({r.batch_id for r in job.store.current_folders().collect()}) < 4
+
+
+def test_buckets_of_a_dead_attempt_are_not_taken_over(spark, tmp_dir):
+    st = EdgeStore(spark, f"{tmp_dir}/store", buckets=8).init()
+    many = edges(spark, [("m1", f"a{i}", 1, "x") for i in range(30)])
+    st._write(many, {"m1": 0}, 0)                     # died before it was recorded
+    st.write_batch(edges(spark, [("m1", "a3", 1, "x")]), 0)
+    assert keyset(st.read_edges()) == [("m1", "a3", 1, "x")]
 
 
 # ---------------------------------------------------------------- pinned scopes
