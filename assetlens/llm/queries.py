@@ -128,7 +128,8 @@ FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merkle tree of every source and of all of them, proofs, and proofs tried on tampered rows."""
+    """Merkle tree of every source and of all of them, proofs, and proofs tried on tampered rows. For the choice of rows to
+    tamper with, a null id counts as empty text."""
     chosen = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
     text = F.when(chosen, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     tampered = merkle.leaf_digest(*[text if f == "text" else F.col(f) for f in FIELDS])
