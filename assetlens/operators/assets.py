@@ -77,23 +77,23 @@ def gram_candidates(params: DataFrame, assets: DataFrame, q: int = GRAM) -> Data
     return one.select("model_id", *[F.col("_rest")[c].alias(c) for c in rest], "grp")
 
 
-def candidate_bound(params: DataFrame, mode: str = "contains") -> int:
-    """Upper bound of ``group_candidates`` rows from the params alone: every substring of each
+def candidate_bound(params: DataFrame, mode: str = "contains") -> tuple[int, int]:
+    """Upper bounds of ``group_candidates``' rows and of the bytes of their texts, from the params alone: every substring of each
     list (plus the empty one) for 'contains', every comma-separated entry for 'exact'."""
-    n = F.length("entity_group_list").cast("long")
-    per_model = n * (n + 1) / 2 + 1 if mode == "contains" else F.size(F.split("entity_group_list", ","))
-    v = params.select(F.sum(F.coalesce(per_model, F.lit(0))).cast("long")).first()[0]
-    return int(v or 0)
+    n = F.octet_length("entity_group_list").cast("double")
+    rows, size = (n * (n + 1) / 2 + 1, n * (n + 1) * (n + 2) / 6) if mode == "contains" else (F.size(F.split("entity_group_list", ",")), n)
+    v = params.select(F.sum(F.coalesce(rows, F.lit(0))).cast("double"), F.sum(F.coalesce(size, F.lit(0))).cast("double")).first()
+    return int(v[0] or 0), int(v[1] or 0)
 
 
 def scope_assets(assets: DataFrame, params: DataFrame, mode: str = "contains",
                  max_broadcast_rows: int = 200_000) -> DataFrame:
     """D3 + C4: one row per (model, asset in scope)."""
-    bound = candidate_bound(params, mode)
+    bound, size = candidate_bound(params, mode)
     if mode == "contains" and bound > max_broadcast_rows:
         cand = bounded_broadcast(gram_candidates(params, assets), max_broadcast_rows)
     else:
-        cand = bounded_broadcast(group_candidates(params, assets, mode), max_broadcast_rows, bound=bound)
+        cand = bounded_broadcast(group_candidates(params, assets, mode), max_broadcast_rows, bound=bound, bound_bytes=size)
     a = assets.select(*ASSET_COLUMNS)
     j = a.join(cand, a.entity_groups == cand.grp, "inner")
     keep = [c for c in PARAM_COLUMNS if c in cand.columns]

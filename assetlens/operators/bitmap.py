@@ -81,10 +81,9 @@ def profile_counts(profile: DataFrame) -> DataFrame:
 
 def profile_to_edges(profile: DataFrame) -> DataFrame:
     """The edges of a profile table; those of a bitmap share its ``updated_at``."""
-    hexed = F.hex("bits")
-    octets = F.transform(F.sequence(F.lit(0), F.lit(4095)), lambda i: F.struct(
-        i.alias("at"), F.conv(F.substr(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("int").alias("v")))
-    places = F.flatten(F.transform(F.filter(octets, lambda o: o["v"] > 0), lambda o: F.transform(
+    octets = F.transform(F.regexp_extract_all(F.hex("bits"), F.lit(".."), F.lit(0)), lambda v, i: F.struct(i.alias("at"), v.alias("v")))
+    values = F.transform(F.filter(octets, lambda o: o["v"] != "00"), lambda o: F.struct(o["at"], F.conv(o["v"], 16, 10).cast("int").alias("v")))
+    places = F.flatten(F.transform(values, lambda o: F.transform(
         F.filter(F.array(*map(F.lit, range(8))), lambda j: F.getbit(o["v"], j) == 1), lambda j: o["at"] * 8 + j)))
     spread = profile.where("bits is not null").select(*_OWNER, "updated_at", "block", F.explode(places).alias("place"))
     address = ip_text((F.col("block") - 1) * 32768 + F.col("place"))

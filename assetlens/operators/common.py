@@ -10,14 +10,15 @@ BROADCAST_BYTES = 256 << 20
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound: int | None = None,
-                   max_bytes: int = BROADCAST_BYTES) -> bool:
+                   max_bytes: int = BROADCAST_BYTES, bound_bytes: int = 0) -> bool:
     """Whether ``df`` provably has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    ``bound`` is an upper bound of the rows that the caller already proved (e.g. from a small config table);
+    ``bound`` is an upper bound of the rows that the caller already proved (e.g. from a small config table), and
+    ``bound_bytes`` one of their texts' bytes (0: no texts but ids of the config table's size);
     otherwise rows and bytes are counted up to ``max_rows + 1`` rows (one pass over ``df`` at most; callers
     only pass asset- or config-side tables, never flows).
     """
-    if bound is not None and bound <= max_rows:
+    if bound is not None and bound <= max_rows and bound_bytes + 8 * len(df.columns) * bound <= max_bytes:
         return True
     # fixed-width columns count 8 bytes, others their text's length as well
     text = [F.octet_length(F.col(f"`{c}`").cast("string")) for c, t in df.dtypes if t == "string"]
@@ -26,10 +27,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound:
     return rows <= max_rows and (total or 0) <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound: int | None = None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound: int | None = None,
+                      bound_bytes: int = 0) -> DataFrame:
     """Mark ``df`` for broadcast only when it ``fits_broadcast``. Larger inputs are returned unchanged,
     so the optimizer (and AQE at run time) picks a shuffle join for them."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, bound) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, bound, bound_bytes=bound_bytes) else df
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from assetlens.session import get_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="assetlens-test-ckpt-")
-    s = get_session("local[4]", **{"spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": ckpt})
+    s = get_session("local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": ckpt})
     yield s
 
 

@@ -92,3 +92,15 @@ def test_trigger_from_model_rate(spark, tmp_dir):
     assert app.resolve_trigger(spark, {**base, "trigger": "model"}) == {"processingTime": "3600 seconds"}
     assert app.resolve_trigger(spark, {**base, "trigger": "once"}) == {"availableNow": True}
     assert app.resolve_trigger(spark, {**base, "trigger": "5 minutes"}) == {"processingTime": "5 minutes"}
+
+
+def test_options_of_the_job(spark, tmp_dir):
+    from assetlens.app import build
+
+    opts = {"store.path": f"{tmp_dir}/store", "matcher": "touch", "late.assets": "true", "late.days": "30", "counts.path": f"{tmp_dir}/counts",
+            "store.buckets": "8", "fold.tier": "5", "flush.assets": "10", "flush.seconds": "60"}
+    job, store, _ = build(spark, opts)
+    assert (job.matcher, job.fold_tier, job.flush_assets, job.flush_s, store.buckets) == ("touch", 5, 10, 60.0, 8)
+    assert job.memory.keep == ["area_id", "src_ip", "dst_ip"] and job.memory.retention.days == 30 and job.counts.root == f"{tmp_dir}/counts"
+    plain, store, _ = build(spark, {"store.path": f"{tmp_dir}/plain"})
+    assert (plain.matcher, plain.memory, plain.counts, plain.flush_assets, store.buckets) == ("id", None, None, None, 1)
