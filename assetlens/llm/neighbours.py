@@ -37,13 +37,14 @@ def _bucketing(rows: DataFrame) -> tuple[int, DataFrame | None, Callable[[DataFr
     some = not repeated.isEmpty()
 
     def bucketed(df: DataFrame) -> DataFrame:
-        key = F.struct("id", F.xxhash64("text").alias("hash"))
-        out = df.withColumn("key", key).withColumn("at", F.lit(0).cast("long"))
-        for every, name in ((NODE * NODE, "top"), (NODE, "middle"), (1, "low")):
+        below = lambda keys: (F.size(F.filter(keys, lambda e: e <= F.col("key"))) - 1).cast("long")
+        out = df.withColumn("key", F.struct("id", F.xxhash64("text").alias("hash")))
+        out = out.withColumn("top_keys", nodes(NODE * NODE, "top").select("top_keys").scalar())
+        out = out.withColumn("at", below("top_keys")).drop("top_keys")
+        for every, name in ((NODE, "middle"), (1, "low")):
             # at most BUCKETS keys of 16 bytes in all, in nodes of 64
             out = out.join(F.broadcast(nodes(every, name)), F.col("at") == F.col(name))
-            below = F.size(F.filter(f"{name}_keys", lambda e: e <= F.col("key"))) - 1
-            out = out.withColumn("at", F.col("at") * NODE + below).drop(name, f"{name}_keys")
+            out = out.withColumn("at", F.col("at") * NODE + below(f"{name}_keys")).drop(name, f"{name}_keys")
         if some:  # copies of one row that fill buckets are dealt to these; their order does not matter
             hot = repeated.select(F.col("key").alias("hot"), "m", "from")
             out = out.withColumn("deal", F.monotonically_increasing_id()).join(F.broadcast(hot), F.col("key") == F.col("hot"), "left")
