@@ -451,13 +451,14 @@ def kafka_backfill(spark, sf_dir):
 
     inp, root = inputs(spark, sf_dir), _scratch(spark, "kafka_backfill")
     ledger, records = OffsetLedger(spark, f"{root}/ledger").init(), inp.kafka
-    most = records.agg(F.max("offset")).first()[0] + 1
-    for read, (start, until) in enumerate(((0, most * 6 // 10), (most * 3 // 10, most * 8 // 10), (0, most))):
-        wanted = records.select("topic", "partition").distinct().select("topic", "partition", F.lit(start).alias("start"), F.lit(until).alias("until"))
+    ends = records.groupBy("topic", "partition").agg(F.max("offset") + 1).collect()  # a row per partition
+    for read, (start, until) in enumerate(((0.0, 0.6), (0.3, 0.8), (0.0, 1.0))):
+        wanted = spark.createDataFrame([(t, p, int(n * start), int(n * until)) for t, p, n in ends],
+                                       "topic string, partition int, start long, until long")
         for _ in range(2 if read == 1 else 1):
-            new = ledger.new_records(records, read, wanted.select("topic", "partition", F.col("start").cast("long"), F.col("until").cast("long")))
+            new = ledger.new_records(records, read, wanted)
             new.write.mode("overwrite").parquet(f"{root}/records/read_id={read}")
-            ledger.record(spark.read.parquet(f"{root}/records/read_id={read}"), read)
+            ledger.record(spark.read.schema(records.schema).parquet(f"{root}/records/read_id={read}"), read)
     p = op.to_upper_json(op.parse_flows(kafka_envelope(spark.read.parquet(f"{root}/records").drop("read_id"))))
     return p.select("key", "topic", "partition", "offset", _ntz("timestamp"), "parse_status",
                     F.when(F.col("parse_status") == "ok", F.col("flow_json")).alias("flow_json"))

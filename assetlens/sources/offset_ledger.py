@@ -77,6 +77,12 @@ def in_ranges(ranges: DataFrame, at_most: int = 200) -> Column | None:
                                        & (F.col("offset") >= r["start"]) & (F.col("offset") < r["until"]) for r in rows], F.lit(False))
 
 
+def _few(ranges: DataFrame, at_most: int = 10_000) -> DataFrame:
+    """The same ranges, computed once: from the driver where there are at most so many, else as they are."""
+    rows = ranges.select(*_RANGE.names).limit(at_most + 1).collect()
+    return ranges.sparkSession.createDataFrame(rows, _RANGE).coalesce(1) if len(rows) <= at_most else ranges
+
+
 class OffsetLedger:
     """The ranges read so far, one folder per read under ``root``. A read that is run again replaces its folder."""
 
@@ -90,15 +96,16 @@ class OffsetLedger:
 
     def covered(self, but: int | None = None) -> DataFrame:
         """The islands read so far, without those of read ``but``."""
-        rows = self.spark.read.schema(T.StructType([*_RANGE.fields, T.StructField("read_id", T.LongType())])).parquet(self.root)
+        # one partition: some ranges per read, put together without a shuffle
+        rows = self.spark.read.schema(T.StructType([*_RANGE.fields, T.StructField("read_id", T.LongType())])).parquet(self.root).coalesce(1)
         return islands(rows.where(F.col("read_id") != but) if but is not None else rows)
 
     def new_records(self, records: DataFrame, read_id: int, wanted: DataFrame | None = None) -> DataFrame:
         """The records no other read has, each once. With the ranges ``wanted``, only their gaps are looked for, by a filter
         that reaches the scan where there are few."""
-        covered = self.covered(but=read_id)
+        covered = _few(self.covered(but=read_id))
         if wanted is not None:
-            missing = gaps(wanted, covered)
+            missing = _few(gaps(wanted, covered))
             pushed = in_ranges(missing)
             records = records.where(pushed) if pushed is not None else _held(records, missing, "left_semi")
         return uncovered(records, covered).dropDuplicates([*_KEY, "offset"])

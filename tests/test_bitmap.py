@@ -30,7 +30,7 @@ def test_numbers_and_texts(spark):
 def random_edges(spark, rnd):
     ips = [f"10.{rnd.choice('01')}.{rnd.randrange(256)}.{rnd.randrange(256)}" for _ in range(400)] + [ip for ip in ODD if ip]
     ips += ["0.0.0.0", "255.255.255.255", "10.0.127.255", "10.0.128.0"]
-    return edges(spark, [(rnd.choice("mn"), rnd.choice("ab"), rnd.randrange(2), rnd.choice(ips), rnd.randrange(1, 28)) for _ in range(900)])
+    return edges(spark, [(rnd.choice("mn"), rnd.choice("ab"), rnd.randrange(2), rnd.choice(ips), rnd.randrange(1, 28)) for _ in range(500)])
 
 
 @pytest.mark.parametrize("dense", [1, 30, 10**6])
