@@ -185,6 +185,13 @@ def test_next_row_over_many_buckets(spark):
     assert got == dict(zip(ids, ids[1:] + ids[:1]))
 
 
+def test_no_row_is_lost_between_buckets(spark):
+    ids = sorted({n * n * 13 for n in range(2000)} | set(range(10**9, 10**9 + 1000, 3)), reverse=True)
+    df = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string").repartition(5)
+    got = {int(r["text"]): int(r["next_text"]) for r in with_next(df, F.length).collect()}
+    assert got == dict(zip(ids, ids[1:] + ids[:1]))
+
+
 @pytest.mark.parametrize("ids", [
     [*range(20000), 10**15],  # one far away
     [(d << 40) + n for d in range(20) for n in range(1000)],  # ranges
