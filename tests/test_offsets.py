@@ -73,3 +73,24 @@ def test_pushed_filter_reaches_the_scan(spark, tmp_dir):
     plan = new._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(offset,10)" in plan and new.count() == 5
+
+
+def test_a_gap_after_every_record(spark, tmp_dir, monkeypatch):
+    """As many ranges as records, all of one partition: they are dealt to tasks by block, and come from a scratch table."""
+    for name, value in (("BLOCK_BITS", 4), ("CELL_BITS", 2), ("CROWDED", 2)):
+        monkeypatch.setattr(ol, name, value)
+    monkeypatch.setattr(ol._few, "__defaults__", (10,))
+    records = spark.range(400).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), (F.col("id") * 3).alias("offset"))
+    ledger = ol.OffsetLedger(spark, f"{tmp_dir}/ledger").init()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ledger.record(records.where("offset < 900"), 0)
+        tasks = ledger.covered().groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(r["count"] for r in tasks) == 300 and max(r["count"] for r in tasks) < 300
+    whole = spark.createDataFrame([("t", 0, 0, 2**63 - 1)], RANGE)
+    left = sorted((r.start, r.until) for r in ol.gaps(whole, ledger.covered()).collect())
+    assert left == [(o + 1, o + 3) for o in range(0, 897, 3)] + [(898, 2**63 - 1)]
+    assert sorted(r.offset for r in ledger.new_records(records, 1, table(spark, [(0, 300, 800)])).collect()) == list(range(900, 1100, 3))
+    assert sorted(r.offset for r in ledger.new_records(records, 1).collect()) == list(range(900, 1200, 3))
