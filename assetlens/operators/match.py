@@ -51,6 +51,11 @@ def ip_index(scoped: DataFrame) -> DataFrame:
         [c for c in ("model_id", "area_id", "entity_id", "ip")])
 
 
+def index_fits(index: DataFrame, max_rows: int = ASSET_BROADCAST_ROWS) -> bool:
+    """Whether the columns of an index that ``touch_pairs`` joins with fit a broadcast."""
+    return fits_broadcast(index.select(*_model_cols(index), "entity_id", "area_id", "ip"), max_rows)
+
+
 def _sides(flows: DataFrame, keep: list[str]) -> DataFrame:
     """Each flow as two rows (ip, side): its source and its destination IP."""
     return flows.select(*keep, F.inline(F.array(
@@ -73,10 +78,12 @@ def scope_delta(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def touch_pairs(flows: DataFrame, index: DataFrame, max_rows: int = ASSET_BROADCAST_ROWS,
-                salt_buckets: int = 1, owners: DataFrame | None = None) -> DataFrame:
+                salt_buckets: int = 1, owners: DataFrame | None = None, fits: bool | None = None,
+                owners_fit: bool | None = None) -> DataFrame:
     """(model, asset, matched ip, side) for every flow touching an asset of its area.
 
     ``owners`` is the whole index where ``index`` is a part of it: it decides whether the asset owns the source IP.
+    ``fits`` and ``owners_fit`` tell whether they fit a broadcast, where the caller has found out already (``index_fits``).
 
     One pass over the flows: both IPs are joined with the (area, ip) index at once; a
     destination match is then dropped when the same asset owns the source IP (the anti join
@@ -86,12 +93,12 @@ def touch_pairs(flows: DataFrame, index: DataFrame, max_rows: int = ASSET_BROADC
     mcol = ["model_id"] if "model_id" in index.columns else []
     idx = index.select(*mc, "entity_id", F.col("area_id").alias("_area"), F.col("ip").alias("_ip"))
     f = _sides(flows, ["flow_id", "area_id", "src_ip", "dst_ip", "event_time"])
-    fits = fits_broadcast(idx, max_rows)  # both joins read the same rows
+    fits = index_fits(index, max_rows) if fits is None else fits  # both joins read the same rows
     hits = join_small_side(f, idx, ["area_id", "_fip"], ["_area", "_ip"], "inner", max_rows, salt_buckets,
                            ["flow_id"], fits)
     keys = mcol + ["entity_id", "area_id", "src_ip", "side"]
     if owners is not None:
-        fits = fits_broadcast(owners.select(*mcol, "entity_id", "area_id", "ip"), max_rows)
+        fits = index_fits(owners, max_rows) if owners_fit is None else owners_fit
     owned = (index if owners is None else owners).select(*[F.col(k).alias("_o_" + k) for k in mcol + ["entity_id", "area_id"]],
                          F.col("ip").alias("_o_src_ip"), F.lit("dst").alias("_o_side"))
     kept = join_small_side(hits, owned, keys, ["_o_" + k for k in keys], "left_anti", max_rows,

@@ -54,13 +54,15 @@ class _Scope:
 
     def __init__(self, version: str, tables: dict[str, DataFrame], max_rows: int):
         self.version = version
-        self.params, self.scoped = tables["params"].cache(), tables["assets"].cache()
+        # of the assets, what edges are matched by; the snapshot keeps all their columns
+        self.params, self.scoped = tables["params"].cache(), tables["assets"].select("model_id", "entity_id", "span").cache()
         self.index = tables["index"].cache() if "index" in tables else None
         rows = self.params.select("model_id", "span", "accumulate").collect()  # a row per model
         self.modes = {r["model_id"]: bool(r["accumulate"]) for r in rows}
         self.dimensions = {r["model_id"]: r["span"] for r in rows}
         self.spans = sorted({r["span"] for r in rows if r["span"] is not None})  # decides the pre-aggregation keys
-        self.fits = op.scope_fits(self.scoped, max_rows) if self.index is None else None  # once per version
+        # once per version
+        self.fits = op.scope_fits(self.scoped, max_rows) if self.index is None else op.index_fits(self.index, max_rows)
 
     def unpersist(self) -> None:
         for df in (self.params, self.scoped, self.index):
@@ -131,10 +133,10 @@ class ProfileStream:
         # read once for the digest and, where it changed, the snapshot
         tables = {"params": params.cache(), "assets": scoped.cache()}
         if self.matcher == "touch":
-            tables["index"] = op.ip_index(tables["assets"])
+            tables["index"] = op.ip_index(tables["assets"]).cache()
         self._latest = self.scopes.save(tables)
         self._schemas[self._latest] = {k: df.schema for k, df in tables.items()}
-        for df in (params, scoped):
+        for df in tables.values():
             df.unpersist()
         self._use(self._latest)
         self._loaded_at = time.monotonic()
@@ -244,7 +246,7 @@ class ProfileStream:
             return op.profile_edges(flows, scope.scoped, side=self.side, host=self.host, tz=self.tz,
                                     time_col=time_col, spans=scope.spans, fits=scope.fits, **self.join_opts)
         timed = flows if time_col == "event_time" else flows.withColumn("event_time", F.col(time_col))
-        return op.match_edges(op.touch_pairs(timed, scope.index, **self.join_opts), self.tz)
+        return op.match_edges(op.touch_pairs(timed, scope.index, fits=scope.fits, **self.join_opts), self.tz)
 
     def _past_edges(self, batch_id: int) -> DataFrame | None:
         """Edges of past flows with what is new in the scope since the batch before; None where there is nothing."""
@@ -254,11 +256,14 @@ class ProfileStream:
         if past is None:
             return None
         old = self.scopes.load(self._before, self._schemas.get(self._before))
+        fits = self._scope.fits or None  # a part of a scope that fits does too
         if self.matcher == "id":
             new = op.scope_delta(old["assets"], self._scope.scoped, ["model_id", "entity_id", "span"])
-            return op.profile_edges(past, new, side=self.side, host=self.host, tz=self.tz, spans=self._scope.spans, **self.join_opts)
+            return op.profile_edges(past, new, side=self.side, host=self.host, tz=self.tz, spans=self._scope.spans,
+                                    fits=fits, **self.join_opts)
         new = op.scope_delta(old["index"], self._scope.index, ["model_id", "area_id", "entity_id", "ip", "span"])
-        return op.match_edges(op.touch_pairs(past, new, owners=self._scope.index, **self.join_opts), self.tz)
+        return op.match_edges(op.touch_pairs(past, new, owners=self._scope.index, fits=fits, owners_fit=self._scope.fits,
+                                             **self.join_opts), self.tz)
 
     def _to_replace(self, batch_id: int) -> set[str]:
         """Models that turned from accumulate to replace and have not been replaced since.
