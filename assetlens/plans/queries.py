@@ -392,7 +392,9 @@ def store_replay(spark, sf_dir):
     job.process(before, 0)
     job.process(_part(after, 0, 2), 1)
     # what a dead attempt may leave: more edges than the batch has
-    store.write_batch(op.profile_edges(after, inp.scoped()), 1)
+    left = op.profile_edges(after, inp.scoped()).persist(StorageLevel.MEMORY_AND_DISK)
+    store.write_batch(left, 1)
+    left.unpersist()
     job.close()
     assets["now"] = inp.assets.where("area_id <> 0")
     again, store = _job(spark, root, loader)
